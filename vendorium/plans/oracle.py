@@ -117,6 +117,59 @@ TO_ACCEPTED = TO_CHECKED + _ACCEPTED
 TO_DELIVERIES = TO_ACCEPTED + _DELIVERIES
 TO_CLEAN = TO_DELIVERIES + _VERSIONS
 
+_TEXT_COLUMNS = (
+    "supplier_id supplier_name country_code region category contract_value_usd lead_time_days quality_score "
+    "on_time_delivery_pct risk_rating last_audit_date is_active"
+).split()
+_LINE_KEY = "md5(concat_ws('|', " + ", ".join(f"coalesce({name}, '')" for name in _TEXT_COLUMNS) + "))"
+
+# The feed as lines of text, then as the values that those lines must load as. `k` decides both.
+_LANDED = f"""
+, texts AS (
+  SELECT batch_no, _source_row_number AS k, _load_ts,
+    CASE WHEN _source_row_number % 233 = 0 THEN rpad(supplier_id, 60, 'X') ELSE supplier_id END AS supplier_id,
+    CASE WHEN _source_row_number % 227 = 0 THEN 'acme, "north" ltd'
+         WHEN _source_row_number % 239 = 0 AND batch_no = 3 THEN 'two' || chr(10) || 'lines'
+         ELSE supplier_name END AS supplier_name,
+    country_code, region,
+    CASE WHEN _source_row_number % 229 = 0 THEN 'NULL' ELSE category END AS category,
+    CASE WHEN _source_row_number % 191 = 0 THEN '12.34.5'
+         ELSE CAST(contract_value_usd AS VARCHAR) END AS contract_value_usd,
+    CASE WHEN _source_row_number % 211 = 0 THEN '10.7' ELSE CAST(lead_time_days AS VARCHAR) END AS lead_time_days,
+    CASE WHEN _source_row_number % 193 = 0 THEN 'n/a'
+         WHEN _source_row_number % 223 = 0 THEN '58.739999999999995'
+         WHEN _source_row_number % 241 = 0 THEN '1000'
+         ELSE CAST(quality_score AS VARCHAR) END AS quality_score,
+    CAST(on_time_delivery_pct AS VARCHAR) AS on_time_delivery_pct, risk_rating,
+    CASE WHEN _source_row_number % 197 = 0 THEN '2022'
+         ELSE CAST(last_audit_date AS VARCHAR) END AS last_audit_date,
+    CASE WHEN _source_row_number % 199 = 0 THEN 'maybe' WHEN is_active THEN 'True'
+         WHEN NOT is_active THEN 'False' END AS is_active
+  FROM feed
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY batch_no ORDER BY k, {_LINE_KEY}) AS position,
+    CASE WHEN length(supplier_id) > 50 THEN 'supplier_id: too long: ' || supplier_id
+         WHEN k % 191 = 0 THEN 'contract_value_usd: cannot convert: 12.34.5'
+         WHEN quality_score IN ('n/a', '1000') THEN 'quality_score: cannot convert: ' || quality_score
+         WHEN k % 197 = 0 THEN 'last_audit_date: cannot convert: 2022'
+         WHEN k % 199 = 0 THEN 'is_active: cannot convert: maybe' END AS error
+  FROM texts
+), loaded AS (
+  SELECT supplier_id, nullif(trim(supplier_name), '') AS supplier_name, country_code,
+    nullif(region, '') AS region, nullif(category, 'NULL') AS category,
+    CAST(contract_value_usd AS DECIMAL(18,2)) AS contract_value_usd,
+    CAST(CASE WHEN k % 211 = 0 THEN '11' ELSE lead_time_days END AS INTEGER) AS lead_time_days,
+    CAST(CASE WHEN quality_score = '58.739999999999995' THEN '58.74' ELSE quality_score END AS DECIMAL(5,2))
+      AS quality_score,
+    CAST(on_time_delivery_pct AS DECIMAL(5,2)) AS on_time_delivery_pct, trim(risk_rating) AS risk_rating,
+    CAST(last_audit_date AS DATE) AS last_audit_date, CAST(lower(is_active) AS BOOLEAN) AS is_active,
+    'batch_' || batch_no AS batch, 'batch_' || batch_no AS _source_file_name, position AS _source_row_number,
+    _load_ts, batch_no, 'LOADED' AS _ingestion_status
+  FROM placed WHERE error IS NULL
+)"""
+TO_LOADED = "WITH " + _FEED + _LANDED
+TO_STREAMED = TO_LOADED + _checked("loaded") + _ACCEPTED + _DELIVERIES + _VERSIONS
+
 _RUNS = """
 WITH runs AS (
   SELECT event_id AS run_id,
@@ -424,4 +477,56 @@ def statements() -> dict[str, str]:
           date_diff('second', start_time, end_time) AS seconds,
           TIMESTAMP '{RUN_TS}' AS stamped, DATE '{AS_OF}' AS as_of FROM runs)""",
     )
+
+    sql["csv_ingest"] = TO_LOADED + _out(_BUS + "batch:s _ingestion_status:s", "loaded")
+    sql["csv_row_numbers"] = TO_LOADED + _out(
+        "batch:s lines:i numbers:i last_number:i stems:i",
+        """(SELECT 'batch_' || batch_no AS batch, COUNT(*) AS lines, COUNT(*) AS numbers, COUNT(*) AS last_number,
+          COUNT(*) AS stems FROM placed GROUP BY batch_no)""",
+    )
+    sql["load_log"] = TO_LOADED + _out(
+        "batch:s pipe_name:s row_count:i error_count:i first_error:s failed_files:i",
+        """(SELECT 'batch_' || batch_no AS batch, 'PIPE_RAW_SUPPLIERS' AS pipe_name, COUNT(*) AS row_count,
+          COUNT(error) AS error_count, arg_min(error, position) FILTER (error IS NOT NULL) AS first_error,
+          0 AS failed_files FROM placed GROUP BY batch_no)""",
+    )
+    stream_dim = _DIM_COLUMNS.replace("source_file_name:s source_row_number:i ", "")
+    sql["stream_dimension"] = TO_STREAMED + _out(
+        "supplier_sk:i " + stream_dim,
+        "(SELECT *, row_number() OVER (ORDER BY valid_from, supplier_id) AS supplier_sk FROM versions)",
+    )
+    sql["stream_clean"] = TO_STREAMED + _out(
+        _CLEAN_COLUMNS.replace("source_file_name:s source_row_number:i ", ""), "clean"
+    )
+    sql["stream_rejected"] = TO_STREAMED + _out(
+        _BUS + "rejection_reason:s rejected_ts:s",
+        "(SELECT *, _load_ts AS rejected_ts FROM checked WHERE rejection_reason <> '')",
+    )
+    groups = (
+        "(SELECT COUNT(*) FROM (SELECT DISTINCT region, category, risk_rating FROM versions v "
+        "WHERE v.valid_from <= t._load_ts AND (v.valid_to IS NULL OR v.valid_to > t._load_ts)))"
+    )
+    sql["stream_run_log"] = TO_STREAMED + _out(
+        "run_id:i task_name:s procedure_name:s start_time:s rows_processed:i rows_inserted:i rows_updated:i "
+        "rows_rejected:i status:s error_message:s",
+        f"""(SELECT 2 * batch_no - 1 AS run_id, 'TASK_BRONZE_TO_SILVER' AS task_name,
+          'SP_BRONZE_TO_SILVER' AS procedure_name, _load_ts AS start_time, opened + refused AS rows_processed,
+          opened AS rows_inserted, closed AS rows_updated, refused AS rows_rejected, 'SUCCESS' AS status,
+          NULL AS error_message
+        FROM (SELECT batch_no, _load_ts,
+            (SELECT COUNT(*) FROM versions v WHERE v.valid_from = t._load_ts) AS opened,
+            (SELECT COUNT(*) FROM versions v WHERE v.valid_to = t._load_ts) AS closed,
+            (SELECT COUNT(*) FROM checked c WHERE c._load_ts = t._load_ts AND c.rejection_reason <> '') AS refused
+          FROM (SELECT DISTINCT batch_no, _load_ts FROM feed) t)
+        UNION ALL
+        SELECT 2 * batch_no, 'TASK_SILVER_TO_GOLD', 'SP_SILVER_TO_GOLD', _load_ts, {groups} + 1, {groups} + 1, 0, 0,
+          'SUCCESS', NULL
+        FROM (SELECT DISTINCT batch_no, _load_ts FROM feed) t)""",
+    )
+    sql["stream_kpi"] = (
+        sql["kpi_snapshot"]
+        .replace(TO_CLEAN, TO_STREAMED)
+        .replace(f"TIMESTAMP '{RUN_TS}'", "TIMESTAMP '2024-01-01 00:25:00'")
+        .replace(f"DATE '{AS_OF}'", "DATE '2024-01-01'")
+    )
     return sql

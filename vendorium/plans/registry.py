@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -13,8 +15,11 @@ from vendorium.operators.numbering import number_rows
 from vendorium.plans import audit, dashboard, gold
 from vendorium.plans.oracle import AS_OF, RUN_TS
 from vendorium.schemas import BUSINESS_COLUMNS, DIM_SUPPLIERS, RAW_SUPPLIERS, SUPPLIERS_CLEAN
-from vendorium.session import materialize
-from vendorium.sources.feed import BATCHES, batch_time, run_log, supplier_feed
+from vendorium.session import materialize, scratch_path
+from vendorium.sources import csv_batches
+from vendorium.sources.feed import BATCHES, batch_time, landing_text, run_log, supplier_feed, write_landing
+from vendorium.sources.tables import SupplierTables
+from vendorium.streaming.pipeline import PIPE, SupplierPipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,6 +228,94 @@ def date_functions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The feed as CSV files, ingested in one go and as a stream of five batches.
+
+
+@cache
+def _landed(spark: SparkSession, sf: str) -> str:
+    """A folder with one folder of CSV files per batch, written once per session."""
+    folder = scratch_path(spark, "landing")
+    texts = materialize(landing_text(spark, sf), "texts")
+    for number in range(1, BATCHES + 1):
+        write_landing(texts.filter(F.col("batch_no") == number), f"{folder}/batch_{number}")
+    return folder
+
+
+def _landing_batch(path: str) -> Column:
+    return F.split_part(F.col(path), F.lit("/"), F.lit(-2))
+
+
+@cache
+def _parsed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = csv_batches.split_rows(csv_batches.read_lines(spark, f"{_landed(spark, sf)}/*")).persist()
+    stored = materialize(csv_batches.parse(rows, run_ts()), "parsed")
+    rows.unpersist()
+    return stored
+
+
+def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    loaded = _parsed(spark, sf).filter("_loaded")
+    return loaded.select(*BUSINESS_COLUMNS, _landing_batch("_source_file_name").alias("batch"), "_ingestion_status")
+
+
+def csv_row_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per batch, counted and by the highest row number of each file: equal if numbering is dense."""
+    rows = _parsed(spark, sf).filter("_source_row_number > 0")
+    per_file = rows.groupBy("_source_file_name").agg(
+        F.count("*").alias("lines"),
+        F.countDistinct("_source_row_number").alias("numbers"),
+        F.max("_source_row_number").alias("last_number"),
+        F.count_if(F.col("_batch_id") == csv_batches.file_stem(F.col("_source_file_name"))).alias("stems"),
+    )
+    return per_file.groupBy(_landing_batch("_source_file_name").alias("batch")).agg(
+        *[F.sum(name).alias(name) for name in ("lines", "numbers", "last_number", "stems")]
+    )
+
+
+def load_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-file load log, summed up by batch; the first error is that of the first file with one."""
+    log = audit.load_log(_parsed(spark, sf), PIPE, run_ts())
+    return log.groupBy(_landing_batch("file_name").alias("batch"), "pipe_name").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("error_count").alias("error_count"),
+        F.min_by("first_error", F.when(F.col("error_count") > 0, F.col("file_name"))).alias("first_error"),
+        F.max((F.col("load_status") == "LOAD_FAILED").cast("int")).alias("failed_files"),
+    )
+
+
+@cache
+def _streamed(spark: SparkSession, sf: str) -> SupplierTables:
+    """The tables after streaming the five batches one after the other, run once per session."""
+    root = scratch_path(spark, "stream")
+    tables = SupplierTables(spark, f"{root}/tables", buckets=spark.sparkContext.defaultParallelism)
+    texts = materialize(landing_text(spark, sf), "texts")
+    for number in range(1, BATCHES + 1):
+        now = datetime(2024, 1, 1) + timedelta(minutes=5 * number)
+        write_landing(texts.filter(F.col("batch_no") == number), f"{root}/landing/batch_{number}")
+        SupplierPipeline(tables, lambda now=now: now).start(f"{root}/landing").awaitTermination()
+    return tables
+
+
+def stream_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf).dimension().drop("source_file_name", "source_row_number")
+
+
+def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf).clean().drop("source_file_name", "source_row_number")
+
+
+def stream_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf).rejected().drop("reject_id", "source_file_name", "source_row_number")
+
+
+def stream_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf).run_log().drop("end_time")
+
+
+def stream_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf).kpi_snapshot()
+
+
 def _on(stage: Query, report: Callable[..., DataFrame], *arguments: Callable[[], Column]) -> Query:
     """A query that is one report over one stage; clock arguments are built when it runs."""
     return lambda spark, sf: report(stage(spark, sf), *[argument() for argument in arguments])
@@ -283,6 +376,14 @@ def all_queries() -> dict[str, Query]:
         "text_functions": text_functions,
         "numeric_functions": numeric_functions,
         "date_functions": date_functions,
+        "csv_ingest": csv_ingest,
+        "csv_row_numbers": csv_row_numbers,
+        "load_log": load_log,
+        "stream_dimension": stream_dimension,
+        "stream_clean": stream_clean,
+        "stream_rejected": stream_rejected,
+        "stream_run_log": stream_run_log,
+        "stream_kpi": stream_kpi,
     }
     return {name: _compared_types(query) for name, query in plain.items()}
 

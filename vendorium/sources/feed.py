@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vendorium.schemas import PIPELINE_RUN_LOG, RAW_SUPPLIERS, conform
+from vendorium.schemas import PIPELINE_RUN_LOG, RAW_SUPPLIERS, RAW_TEXT, conform
 from vendorium.session import spread
 
 BATCHES = 5
@@ -137,3 +137,53 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(failed, F.concat(F.lit("error "), event.cast("string"))).alias("error_message"),
     )
     return conform(runs, PIPELINE_RUN_LOG)
+
+
+def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as it would stand in CSV files, with cells that fail, round, quote or span lines.
+
+    `_line_key` orders lines that share a position; equal keys mean equal lines.
+    """
+    feed = supplier_feed(spark, sf_dir)
+    place = F.col("_source_row_number")
+
+    def at(n: int) -> Column:
+        return place % n == 0
+
+    def text(name: str) -> Column:
+        return F.col(name).cast("string")
+
+    lines = feed.select(
+        "batch_no",
+        place.alias("_order"),
+        F.when(at(233), F.rpad("supplier_id", 60, "X")).otherwise(F.col("supplier_id")).alias("supplier_id"),
+        F.when(at(227), 'acme, "north" ltd')
+        .when(at(239) & (F.col("batch_no") == 3), "two\nlines")
+        .otherwise(F.col("supplier_name"))
+        .alias("supplier_name"),
+        "country_code",
+        "region",
+        F.when(at(229), "NULL").otherwise(F.col("category")).alias("category"),
+        F.when(at(191), "12.34.5").otherwise(text("contract_value_usd")).alias("contract_value_usd"),
+        F.when(at(211), "10.7").otherwise(text("lead_time_days")).alias("lead_time_days"),
+        F.when(at(193), "n/a")
+        .when(at(223), "58.739999999999995")
+        .when(at(241), "1000")
+        .otherwise(text("quality_score"))
+        .alias("quality_score"),
+        text("on_time_delivery_pct").alias("on_time_delivery_pct"),
+        "risk_rating",
+        F.when(at(197), "2022").otherwise(text("last_audit_date")).alias("last_audit_date"),
+        F.when(at(199), "maybe").otherwise(F.initcap(text("is_active"))).alias("is_active"),
+    )
+    key = F.md5(F.concat_ws("|", *[F.coalesce(F.col(name), F.lit("")) for name in RAW_TEXT.names]))
+    return lines.withColumn("_line_key", key)
+
+
+def write_landing(texts: DataFrame, folder: str) -> None:
+    """Write lines as CSV files whose names and rows follow the feed's order."""
+    order = ("_order", "_line_key")
+    rows = texts.repartitionByRange(*order).sortWithinPartitions(*order).select(*RAW_TEXT.names)
+    rows.write.options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(folder)
