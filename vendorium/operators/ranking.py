@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from vendorium.session import materialize
+
 # Width of a score bucket, then how many of those buckets make one of the next level.
 # A score moves by 2/3 per day of lead time and spans 80 otherwise, in steps of 0.004. A bucket
 # one point wide is reached by at most 122 lead times with 250 steps each, so it holds no more
@@ -36,11 +38,12 @@ def rank_by_score(df: DataFrame, score: str, group: str) -> DataFrame:
     """Add `rank_in_group`, `overall_rank` (both RANK, greatest first) and `total_rows`.
 
     The rows are first counted per group and score, which needs no more than a partial
-    aggregate per task; all running sums work on those counts. The one join back to the
-    rows is on group and score with a unique right side, so it is broadcast when small
-    and split by adaptive execution when one score is hot.
+    aggregate per task. The counts are written out, as every running sum starts from them
+    and would otherwise scan the rows again. The one join back to the rows is on group and
+    score with a unique right side, so it is broadcast when small and split by adaptive
+    execution when one score is hot.
     """
-    counts = df.groupBy(group, score).agg(F.count("*").alias("n"))
+    counts = materialize(df.groupBy(group, score).agg(F.count("*").alias("n")), "score_counts")
     in_group = rows_above(counts, score, [group]).select(group, score, (F.col("above") + 1).alias("rank_in_group"))
     per_score = counts.groupBy(score).agg(F.sum("n").alias("n"))
     overall = rows_above(per_score, score).select(score, (F.col("above") + 1).alias("overall_rank"))

@@ -73,6 +73,11 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return history.clean_state(versions(spark, sf))
 
 
+def stored(stage: Query) -> Query:
+    """A stage that is written out first, for reports that read it more than once."""
+    return lambda spark, sf: materialize(stage(spark, sf), stage.__name__)
+
+
 # Queries that are more than one call.
 
 
@@ -89,34 +94,36 @@ def rejection_reasons(spark: SparkSession, sf: str) -> DataFrame:
     return rejected_rows(spark, sf).groupBy("rejection_reason").agg(F.count("*").alias("records"))
 
 
-def _each_batch(spark: SparkSession, sf: str) -> list[tuple[Column, DataFrame]]:
-    """Deliveries batch by batch; written once, since every step of a fold reads them."""
-    stored = materialize(deliveries(spark, sf), "deliveries")
+def _each_batch(written: DataFrame) -> list[tuple[Column, DataFrame]]:
     times = [batch_time(F.lit(number)) for number in range(1, BATCHES + 1)]
-    return [(ts, stored.filter(F.col("load_ts") == ts)) for ts in times]
+    return [(ts, written.filter(F.col("load_ts") == ts)) for ts in times]
 
 
-def upsert_clean_state(spark: SparkSession, sf: str) -> DataFrame:
-    state = spark.createDataFrame([], SUPPLIERS_CLEAN)
-    for ts, batch in _each_batch(spark, sf):
+def _upserted(written: DataFrame) -> DataFrame:
+    state = written.sparkSession.createDataFrame([], SUPPLIERS_CLEAN)
+    for ts, batch in _each_batch(written):
         state = history.upsert(state, batch, ts)
     return state
 
 
+def upsert_clean_state(spark: SparkSession, sf: str) -> DataFrame:
+    return _upserted(stored(deliveries)(spark, sf))
+
+
 def scd2_fold(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType([field for field in DIM_SUPPLIERS if field.name != "supplier_sk"])
     dimension = spark.createDataFrame([], schema)
-    for ts, batch in _each_batch(spark, sf):
+    for ts, batch in _each_batch(stored(deliveries)(spark, sf)):
         dimension = history.fold(dimension, batch, ts)
     return dimension
 
 
 def _compared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Deliveries, the version each one meets, and those versions that it expires."""
-    stored = materialize(deliveries(spark, sf), "deliveries")
+    written = stored(deliveries)(spark, sf)
     meets = F.expr("lead(load_ts) OVER (PARTITION BY supplier_id ORDER BY load_ts)")
-    current = stored.select("supplier_id", "record_hash", meets.alias("load_ts")).filter("load_ts IS NOT NULL")
-    return stored, current, history.changed(current, stored, ("supplier_id", "load_ts"))
+    current = written.select("supplier_id", "record_hash", meets.alias("load_ts")).filter("load_ts IS NOT NULL")
+    return written, current, history.changed(current, written, ("supplier_id", "load_ts"))
 
 
 def scd2_expired_by_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,9 +133,9 @@ def scd2_expired_by_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 def new_versions_by_batch(spark: SparkSession, sf: str) -> DataFrame:
     keys = ("supplier_id", "load_ts")
-    stored, current, expired = _compared(spark, sf)
+    written, current, expired = _compared(spark, sf)
     unexpired = history.without_current(current, expired, keys)
-    opened = history.without_current(stored, unexpired, keys)
+    opened = history.without_current(written, unexpired, keys)
     return opened.groupBy("load_ts").agg(F.count("*").alias("opened"))
 
 
@@ -136,13 +143,15 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     def count(df: DataFrame, name: str) -> DataFrame:
         return latest.duplicate_keys(df, "supplier_id").agg(F.count("*").alias(name))
 
-    in_deliveries = count(deliveries(spark, sf), "delivery_duplicates")
-    return in_deliveries.crossJoin(F.broadcast(count(clean(spark, sf), "clean_duplicates")))
+    written = stored(deliveries)(spark, sf)
+    in_clean = count(history.clean_state(history.rebuild(written)), "clean_duplicates")
+    return count(written, "delivery_duplicates").crossJoin(F.broadcast(in_clean))
 
 
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """The folded current state against the rebuilt history: two ways that must agree."""
-    differing = history.reconcile(upsert_clean_state(spark, sf), versions(spark, sf))
+    written = stored(deliveries)(spark, sf)
+    differing = history.reconcile(_upserted(written), history.rebuild(written))
     return differing.agg(F.count("*").alias("disagreeing"))
 
 
@@ -322,7 +331,8 @@ def _on(stage: Query, report: Callable[..., DataFrame], *arguments: Callable[[],
 
 
 def _kpi(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.kpi_snapshot(clean(spark, sf), versions(spark, sf), as_of(), run_ts())
+    dimension = stored(versions)(spark, sf)
+    return gold.kpi_snapshot(history.clean_state(dimension), dimension, as_of(), run_ts())
 
 
 def all_queries() -> dict[str, Query]:
@@ -365,9 +375,9 @@ def all_queries() -> dict[str, Query]:
             clean(spark, sf), as_of(), ("CRITICAL", "WATCH", "OK")
         ),
         "risk_levels": _on(clean, dashboard.risk_levels, as_of),
-        "supplier_rankings": _on(clean, gold.supplier_rankings),
-        "top20_suppliers": _on(clean, dashboard.top_suppliers),
-        "tier_distribution": _on(clean, dashboard.tier_distribution),
+        "supplier_rankings": _on(stored(clean), gold.supplier_rankings),
+        "top20_suppliers": _on(stored(clean), dashboard.top_suppliers),
+        "tier_distribution": _on(stored(clean), dashboard.tier_distribution),
         "recent_runs": _on(run_log, audit.recent_runs),
         "last10_runs": _on(run_log, audit.last_runs),
         "pipeline_health": _on(run_log, audit.pipeline_health),

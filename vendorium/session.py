@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings every job relies on. The rest is left to the cluster.
 SETTINGS = {
@@ -22,6 +24,7 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
     defaults = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         **SETTINGS,
@@ -61,7 +64,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core a share of an input with fewer splits than cores; large inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+@cache
+def _table_schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; its schema is taken from the file once per session, not once per query."""
+    return spark.read.schema(_table_schema(spark, path)).parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.schemas import PIPELINE_RUN_LOG, RAW_SUPPLIERS, RAW_TEXT, conform
-from vendorium.session import spread
+from vendorium.session import read_table, spread
 
 BATCHES = 5
 LINE_COLUMNS = (
@@ -51,13 +51,13 @@ def supplier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped rows of all five batches, plus `batch_no`."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return read_table(spark, f"{sf_dir}/{name}.parquet")
 
     checksum = (
         F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
     )
     lines = (
-        spread(table("lineitem").select(*LINE_COLUMNS))
+        spread(table("lineitem").select(*LINE_COLUMNS), "l_orderkey")
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -123,7 +123,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     task = F.when(event % 2 == 0, "TASK_BRONZE_TO_SILVER").otherwise("TASK_SILVER_TO_GOLD")
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value").cast("decimal(18,6)"))
     start = F.col("ts").cast("timestamp_ntz")
-    runs = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    runs = read_table(spark, f"{sf_dir}/events.parquet").select(
         event.alias("run_id"),
         task.alias("task_name"),
         F.replace(task, F.lit("TASK_"), F.lit("SP_")).alias("procedure_name"),
