@@ -34,19 +34,25 @@ def rows_above(counts: DataFrame, value: str, by: Sequence[str] = (), widths: Se
     return joined.withColumn("above", F.col("above") + F.col("_higher")).select(*by, value, "n", "above")
 
 
-def rank_by_score(df: DataFrame, score: str, group: str) -> DataFrame:
-    """Add `rank_in_group`, `overall_rank` (both RANK, greatest first) and `total_rows`.
+def score_ranks(df: DataFrame, score: str, group: str) -> DataFrame:
+    """Per group and score: `rank_in_group`, `overall_rank` (both RANK, greatest first) and `total_rows`.
 
-    The rows are first counted per group and score, which needs no more than a partial
+    The rows are only counted per group and score, which needs no more than a partial
     aggregate per task. The counts are written out, as every running sum starts from them
-    and would otherwise scan the rows again. The one join back to the rows is on group and
-    score with a unique right side, so it is broadcast when small and split by adaptive
-    execution when one score is hot.
+    and would otherwise scan the rows again.
     """
     counts = materialize(df.groupBy(group, score).agg(F.count("*").alias("n")), "score_counts")
     in_group = rows_above(counts, score, [group]).select(group, score, (F.col("above") + 1).alias("rank_in_group"))
     per_score = counts.groupBy(score).agg(F.sum("n").alias("n"))
     overall = rows_above(per_score, score).select(score, (F.col("above") + 1).alias("overall_rank"))
-    total = counts.agg(F.sum("n").alias("total_rows"))
-    ranks = in_group.join(overall, score).crossJoin(F.broadcast(total))
-    return df.join(ranks, [group, score])
+    total = counts.agg(F.sum("n").alias("total_rows")).scalar()
+    return in_group.join(overall, score).withColumn("total_rows", total)
+
+
+def rank_by_score(df: DataFrame, score: str, group: str) -> DataFrame:
+    """Add the ranks to every row.
+
+    The join is on group and score with a unique right side, so it is broadcast when small
+    and split by adaptive execution when one score is hot.
+    """
+    return df.join(score_ranks(df, score, group), [group, score])

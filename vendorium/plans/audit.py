@@ -22,7 +22,7 @@ def recent_runs(run_log: DataFrame) -> DataFrame:
         "rows_rejected",
         "status",
         "error_message",
-    ).orderBy(F.desc("start_time"))
+    ).orderBy(F.desc("start_time"), F.desc("run_id"))
 
 
 def last_runs(run_log: DataFrame, n: int = 10) -> DataFrame:
@@ -60,12 +60,18 @@ def pipeline_health(run_log: DataFrame) -> DataFrame:
 def load_log(rows: DataFrame, pipe_name: str, load_ts: Column) -> DataFrame:
     """One row per file: data rows read, rows that failed to convert, and the first failure."""
     failed = F.col("_error").isNotNull()
-    first = F.min(F.when(failed, F.struct("_source_row_number", "_error")))
-    per_file = rows.groupBy(F.col("_source_file_name").alias("file_name")).agg(
+    # Only numbers are aggregated, so this hashes; the text comes from the failed rows afterwards.
+    counts = rows.groupBy(F.col("_source_file_name").alias("file_name")).agg(
         F.count_if(F.col("_source_row_number") > 0).alias("row_count"),
         F.count_if(failed).alias("error_count"),
-        first["_error"].alias("first_error"),
+        F.min(F.when(failed, F.col("_source_row_number"))).alias("row_number"),
     )
+    errors = rows.filter(failed).select(
+        F.col("_source_file_name").alias("file_name"),
+        F.col("_source_row_number").alias("row_number"),
+        F.col("_error").alias("first_error"),
+    )
+    per_file = counts.join(errors, ["file_name", "row_number"], "left_outer")
     status = (
         F.when(F.col("error_count") == 0, "LOADED")
         .when(F.col("error_count") < F.col("row_count"), "PARTIALLY_LOADED")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vendorium.functions.scalars import count_where, exact_avg
-from vendorium.plans.gold import category_summary, regional_summary, risk_scorecard, supplier_rankings
+from vendorium.plans.gold import best_suppliers, category_summary, regional_summary, risk_scorecard
 
 
 def headline_figures(clean: DataFrame) -> DataFrame:
@@ -30,7 +30,10 @@ def category_charts(clean: DataFrame) -> DataFrame:
 
 
 def risk_list(clean: DataFrame, as_of: Column, levels: Sequence[str] | None = None) -> DataFrame:
-    """Scorecard rows of the chosen levels, by level name descending, then worst quality first."""
+    """Scorecard rows of the chosen levels, by level name descending, then worst quality first.
+
+    The id comes last in the order so that a hot level and score can be split over tasks.
+    """
     rows = risk_scorecard(clean, as_of).select(
         "supplier_id",
         "supplier_name",
@@ -45,7 +48,7 @@ def risk_list(clean: DataFrame, as_of: Column, levels: Sequence[str] | None = No
     )
     if levels is not None:
         rows = rows.filter(F.col("risk_level").isin(*levels))
-    return rows.orderBy(F.desc("risk_level"), "quality_score")
+    return rows.orderBy(F.desc("risk_level"), "quality_score", "supplier_id")
 
 
 def risk_levels(clean: DataFrame, as_of: Column) -> DataFrame:
@@ -54,19 +57,15 @@ def risk_levels(clean: DataFrame, as_of: Column) -> DataFrame:
 
 def top_suppliers(clean: DataFrame, n: int = 20) -> DataFrame:
     """The best `n` by overall rank; the id decides between equal ranks."""
-    return (
-        supplier_rankings(clean)
-        .orderBy("overall_rank", "supplier_id")
-        .limit(n)
-        .select(
-            "supplier_name",
-            "region",
-            "category",
-            "performance_score",
-            "overall_rank",
-            "rank_in_region",
-            "performance_tier",
-        )
+    best = best_suppliers(clean, n).orderBy("overall_rank", "supplier_id")
+    return best.select(
+        "supplier_name",
+        "region",
+        "category",
+        "performance_score",
+        "overall_rank",
+        "rank_in_region",
+        "performance_tier",
     )
 
 

@@ -12,7 +12,7 @@ from vendorium.functions.scalars import (
     performance_score,
     risk_level,
 )
-from vendorium.operators.ranking import rank_by_score
+from vendorium.operators.ranking import rank_by_score, score_ranks
 from vendorium.schemas import AGG_RISK_SPEND, KPI_SNAPSHOT, conform
 
 OVERDUE_DAYS = 365  # fixed value
@@ -91,7 +91,20 @@ def risk_scorecard(clean: DataFrame, as_of: Column) -> DataFrame:
 
 def supplier_rankings(clean: DataFrame) -> DataFrame:
     """Score, rank in region and overall, and tier: best and worst fifth by overall rank."""
-    ranked = rank_by_score(clean.withColumn("_score", performance_score()), "_score", "region")
+    return _ranked_columns(rank_by_score(clean.withColumn("_score", performance_score()), "_score", "region"))
+
+
+def best_suppliers(clean: DataFrame, n: int) -> DataFrame:
+    """The first `n` of the rankings; the id decides between equal ranks.
+
+    Rank order is score order, so each task keeps its best `n` rows and only those meet the ranks.
+    """
+    scored = clean.withColumn("_score", performance_score())
+    best = scored.orderBy(F.desc("_score"), "supplier_id").limit(n)
+    return _ranked_columns(best.join(score_ranks(scored, "_score", "region"), ["region", "_score"]))
+
+
+def _ranked_columns(ranked: DataFrame) -> DataFrame:
     fifth = F.col("total_rows") * F.lit("0.2").cast("decimal(2,1)")
     four_fifths = F.col("total_rows") * F.lit("0.8").cast("decimal(2,1)")
     tier = (
@@ -129,7 +142,7 @@ def dq_pass_rate(dimension: DataFrame) -> DataFrame:
 
 
 def kpi_snapshot(clean: DataFrame, dimension: DataFrame, as_of: Column, snapshot_ts: Column) -> DataFrame:
-    """One row of figures, also on empty input; the pass rate comes in as a one-row scalar."""
+    """One row of figures, also on empty input; the pass rate comes in as a scalar subquery."""
     figures = clean.agg(
         F.count("*").alias("total_suppliers"),
         count_where(F.col("is_active")).alias("active_suppliers"),
@@ -140,5 +153,5 @@ def kpi_snapshot(clean: DataFrame, dimension: DataFrame, as_of: Column, snapshot
         count_where(_risk_is("HIGH") & (F.col("quality_score") < 75)).alias("critical_risk_count"),
         count_where(days_since("last_audit_date", as_of) > OVERDUE_DAYS).alias("audit_overdue_count"),
     )
-    row = figures.crossJoin(F.broadcast(dq_pass_rate(dimension)))
-    return conform(row.withColumn("snapshot_ts", snapshot_ts), KPI_SNAPSHOT)
+    row = figures.withColumns({"dq_pass_rate_pct": dq_pass_rate(dimension).scalar(), "snapshot_ts": snapshot_ts})
+    return conform(row, KPI_SNAPSHOT)

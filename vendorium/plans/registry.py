@@ -145,7 +145,7 @@ def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
     written = stored(deliveries)(spark, sf)
     in_clean = count(history.clean_state(history.rebuild(written)), "clean_duplicates")
-    return count(written, "delivery_duplicates").crossJoin(F.broadcast(in_clean))
+    return count(written, "delivery_duplicates").withColumn("clean_duplicates", in_clean.scalar())
 
 
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +56,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/vendorium/{app}/{label}-{uuid.uuid4().hex}"
 
 
+_written: ContextVar[list[str] | None] = ContextVar("_written", default=None)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def discarding_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what `materialize` writes inside the block when it ends, so a long job does not pile it up."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet to shared storage and read it back.
 
@@ -60,6 +84,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     keeps column pruning and gives the planner a real size for join choices.
     """
     path = scratch_path(df.sparkSession, label)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

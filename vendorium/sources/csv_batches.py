@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vendorium.functions.scalars import file_stem
-from vendorium.schemas import BUSINESS, MAX_LENGTH, RAW_SUPPLIERS, RAW_TEXT
+from vendorium.schemas import BUSINESS, MAX_LENGTH, RAW_TEXT
+from vendorium.session import materialize
 
 # The file format, the texts that mean NULL, and the spellings of the flags.
 CSV_OPTIONS = {
@@ -27,6 +28,8 @@ DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 # A quoted field that closes on its line, from the start of the field to the next comma.
 CLOSED_FIELD = r'(^|,)[ \t]*+"[^"]*+(?:""[^"]*+)*+"(?!")[^,]*+'
 
+BROADCAST_SPLITS = 100_000  # rows of about 200 bytes, so 20 MB at most
+
 _PLACE = ("_source_file_name", "_split", "_place")
 
 
@@ -80,18 +83,27 @@ def _whole_files(spark: SparkSession, files: list[str]) -> DataFrame:
     return rows.select(F.struct(*RAW_TEXT.names).alias("_text"), F.lit(False).alias("_open"), *_PLACE)
 
 
-def _numbered(rows: DataFrame, header_rows: int) -> DataFrame:
+def _splits(rows: DataFrame) -> DataFrame:
+    """One row per split of a file: its rows, its first place, and whether a line of it ends inside quotes."""
+    splits = rows.groupBy("_source_file_name", "_split").agg(
+        F.count("*").alias("_rows"), F.min("_place").alias("_first"), F.max("_open").alias("_open")
+    )
+    return materialize(splits, "splits")
+
+
+def _numbered(rows: DataFrame, splits: DataFrame, header_rows: int) -> DataFrame:
     """Add each row's number in its file, the header being 0.
 
     The rows of a split are consecutive within one task, so a row's number is the rows of
     the file's earlier splits plus its distance from the split's first row. The window runs
-    over one row per split, and the join meets at most one split's rows per key.
+    over one row per split. Splits are broadcast up to a checked number, so that the rows
+    stay where they are; beyond it the join shuffles, one split's rows per key.
     """
-    splits = rows.groupBy("_source_file_name", "_split").agg(
-        F.count("*").alias("_rows"), F.min("_place").alias("_first")
-    )
     earlier = Window.partitionBy("_source_file_name").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    offsets = splits.select("_source_file_name", "_split", "_first", before.alias("_before"))
+    if splits.count() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     number = F.col("_before") + F.col("_place") - F.col("_first") + (1 - header_rows)
     return rows.join(offsets, ["_source_file_name", "_split"]).select(
         "_text", "_source_file_name", number.cast("long").alias("_source_row_number")
@@ -149,14 +161,21 @@ def parse(rows: DataFrame, load_ts: Column) -> DataFrame:
     from the same split, so places do not change.
     """
     spark = rows.sparkSession
-    whole = [row[0] for row in rows.filter("_open").select("_source_file_name").distinct().collect()]
-    parsed = _numbered(rows.filter(~F.col("_source_file_name").isin(whole)) if whole else rows, header_rows=1)
-    if whole:
-        # Names of files only; their header is dropped by the reader, so it is put back as row 0.
-        headers = spark.createDataFrame([(name,) for name in whole], "_source_file_name string").select(
-            F.lit(None).cast(RAW_TEXT).alias("_text"),
-            "_source_file_name",
-            F.lit(0).cast("long").alias("_source_row_number"),
-        )
-        parsed = parsed.unionByName(_numbered(_whole_files(spark, whole), header_rows=0)).unionByName(headers)
-    return typed(parsed, load_ts)
+    splits = _splits(rows)
+    whole = [row[0] for row in splits.filter("_open").select("_source_file_name").distinct().collect()]
+    if not whole:
+        return typed(_numbered(rows, splits, header_rows=1), load_ts)
+    # Names of files only. Their header is dropped by the reader, so it is put back as row 0.
+    elsewhere = ~F.col("_source_file_name").isin(whole)
+    records = _whole_files(spark, whole)
+    headers = spark.createDataFrame([(name,) for name in whole], "_source_file_name string").select(
+        F.lit(None).cast(RAW_TEXT).alias("_text"),
+        "_source_file_name",
+        F.lit(0).cast("long").alias("_source_row_number"),
+    )
+    numbered = (
+        _numbered(rows.filter(elsewhere), splits.filter(elsewhere), header_rows=1)
+        .unionByName(_numbered(records, _splits(records), header_rows=0))
+        .unionByName(headers)
+    )
+    return typed(numbered, load_ts)

@@ -67,6 +67,9 @@ class SupplierTables:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64) -> None:
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.folder = Folder(spark, self.root)
+        commit = self.last_commit()
+        if commit is not None:
+            self.buckets = commit["buckets"]  # rows are already laid out by this number
 
     # Commits
 
@@ -164,6 +167,10 @@ class SupplierTables:
         rows = self._published(DIM, schemas.DIM_SUPPLIERS, T.StructField("bucket", T.IntegerType()))
         return rows.filter("NOT is_current").select(*schemas.DIM_SUPPLIERS.names)
 
+    def closed_in(self, batch_id: int) -> DataFrame:
+        """Versions that one batch closed, published or not."""
+        return self._read(DIM, schemas.DIM_SUPPLIERS, paths=[self.batch_path(DIM, batch_id)]).filter("NOT is_current")
+
     def dimension(self) -> DataFrame:
         return self.closed().unionByName(self.current())
 

@@ -12,7 +12,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vendorium.functions.scalars import record_hash  # noqa: F401  (re-exported for ad-hoc checks)
 from vendorium.operators import history, latest, routing
 from vendorium.operators.numbering import number_rows
 from vendorium.plans import audit, gold
@@ -24,7 +23,7 @@ from vendorium.schemas import (
     REJECTED_SUPPLIERS,
     conform,
 )
-from vendorium.session import materialize
+from vendorium.session import discarding_scratch, materialize
 from vendorium.sources import csv_batches
 from vendorium.sources.tables import (
     AGG_RISK_SPEND,
@@ -74,6 +73,10 @@ class SupplierPipeline:
 
     def process(self, lines: DataFrame, batch_id: int) -> str:
         """One batch from lines to Gold. A batch that is already published only refreshes Gold."""
+        with discarding_scratch(self.tables.spark):
+            return self._process(lines, batch_id)
+
+    def _process(self, lines: DataFrame, batch_id: int) -> str:
         last = self.tables.last_commit()
         if last is not None and last["batch_id"] >= batch_id:
             commit = last
@@ -147,8 +150,7 @@ class SupplierPipeline:
         ids["summary"] += 1
 
         flagged = routing.flag(raw)
-        order = ("source_file_name", "source_row_number")
-        rejects = number_rows(routing.rejects(flagged, run_ts), "reject_id", order, ids["reject"])
+        rejects = number_rows(routing.rejects(flagged, run_ts), "reject_id", after=ids["reject"])
         tables.write_batch(conform(rejects, REJECTED_SUPPLIERS), REJECTED, batch_id)
         rejected = rejects.count()
         ids["reject"] += rejected
@@ -170,6 +172,7 @@ class SupplierPipeline:
         commit = {
             "batch_id": batch_id,
             "run_ts": tables.batch_start(batch_id, self.clock()).isoformat(),
+            "buckets": tables.buckets,
             "live": live,
             "last_ids": ids,
             "counts": counts,
@@ -202,11 +205,7 @@ class SupplierPipeline:
         clustered = rows.withColumn("bucket", bucketed).hint("rebalance", "bucket")
         ordered = clustered.sortWithinPartitions("is_current", "bucket", "supplier_id")
         tables.write_batch(ordered, DIM, batch_id, "is_current", "bucket")
-        return opened.count(), self._expired(batch_id), touched
-
-    def _expired(self, batch_id: int) -> int:
-        written = self.tables._read(DIM, DIM_SUPPLIERS, paths=[self.tables.batch_path(DIM, batch_id)])
-        return written.filter("NOT is_current").count()
+        return opened.count(), tables.closed_in(batch_id).count(), touched
 
     # Silver to Gold
 
