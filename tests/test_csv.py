@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vendorium.plans.audit import load_log
 from vendorium.schemas import BUSINESS_COLUMNS
 from vendorium.sources import csv_batches
+from vendorium.sources.csv_records import still_open
 
 HEADER = ",".join(BUSINESS_COLUMNS) + "\n"
 
@@ -98,6 +99,26 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert rows[0].supplier_name == "two\nlines"
 
 
+def test_line_breaks_across_splits(spark, tmp_path):
+    """Records of one to four lines with commas, doubled quotes and blank lines, cut at every possible place."""
+    names = ["plain", "two\nlines", 'say ""hi""\n, then\n', "a\n\n\nb", '""\n""', "x,\"\"\n,y"]
+    lines = [_line(supplier_id=f"S{n:03d}", supplier_name=f'"{names[n % 6]}"', category='5" pipe') for n in range(90)]
+    (tmp_path / "m.csv").write_text(HEADER + "\n".join(lines))  # with blank lines between records
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    want = [(f"S{n:03d}", n + 1, names[n % 6].replace('""', '"').strip()) for n in range(90)]
+    try:
+        for size in ("97", "1000000"):
+            spark.conf.set(keys[0], size)
+            spark.conf.set(keys[1], "1")
+            rows = _parse(spark, tmp_path).filter("_loaded").orderBy("supplier_id").collect()
+            assert [(r.supplier_id, r._source_row_number, r.supplier_name.strip()) for r in rows] == want
+            assert {r.category for r in rows} == {'5" pipe'}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_open_quote_is_exact(spark):
     cases = {
         'a,"b': True,
@@ -149,3 +170,10 @@ def test_load_log_states(spark, tmp_path):
         "empty.csv": ("LOADED", 0, 0),
     }
     assert log["part.csv"].first_error == "is_active: cannot convert: ?"
+
+
+def test_still_open(spark):
+    cases = {"": True, "more": True, 'end"': False, 'a""b': True, 'a"",b': True, 'end",x,"again': True, 'end","y"': False}
+    df = spark.createDataFrame(list(enumerate(cases)), "n int, v string")
+    found = df.select("n", still_open(F.col("v")).alias("o")).orderBy("n").collect()
+    assert [row.o for row in found] == list(cases.values())

@@ -1,8 +1,8 @@
 """Supplier CSV batches: parse, map by position, convert, number the rows, and set bad rows aside.
 
-Files are read as lines, so one huge file is split over many tasks like any other input. Only
-a file in which some quoted field runs over a line end is read whole, since its records cannot
-be told apart from the middle; `open_quote` finds these files exactly.
+Files are read as lines, so one huge file is split over many tasks like any other input. Files
+in which a quoted field runs over a line end are found exactly and take a longer way that
+stays parallel as well.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from vendorium.functions.scalars import file_stem
 from vendorium.schemas import BUSINESS, MAX_LENGTH, RAW_TEXT
 from vendorium.session import materialize
+from vendorium.sources.csv_records import PLACE, joined_records, open_quote
 
 # The file format, the texts that mean NULL, and the spellings of the flags.
 CSV_OPTIONS = {
@@ -25,13 +26,8 @@ NULL_TEXTS = ("NULL", "null", "")
 TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1")
 FALSE_TEXTS = ("false", "f", "no", "n", "off", "0")
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
-# A quoted field that closes on its line, from the start of the field to the next comma.
-CLOSED_FIELD = r'(^|,)[ \t]*+"[^"]*+(?:""[^"]*+)*+"(?!")[^,]*+'
-
 BROADCAST_SPLITS = 100_000  # rows of about 200 bytes, so 20 MB at most
 
-_PLACE = ("_source_file_name", "_split", "_place")
-
 
 def _file_name(path: Column) -> Column:
     """Readable path: the metadata column is percent-encoded, and a plain '+' must stay one."""
@@ -48,15 +44,6 @@ def _located(df: DataFrame) -> DataFrame:
     )
 
 
-def open_quote(line: Column) -> Column:
-    """Whether a line that starts outside quotes ends inside them.
-
-    Closed quoted fields are taken out first; a quote left at the start of a field is open.
-    If no line of a file is open, then by induction every line of it starts outside quotes.
-    """
-    return F.regexp_replace(line, CLOSED_FIELD, "$1").rlike(r'(^|,)[ \t]*"')
-
-
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select("value", "_metadata")
 
@@ -67,20 +54,14 @@ def stream_lines(spark: SparkSession, path: str, **limits: str) -> DataFrame:
     return reader.text(path).select("value", "_metadata")
 
 
-def split_rows(lines: DataFrame) -> DataFrame:
-    """Lines cut into their twelve texts, each with its file, split and place. Blank lines do not count."""
-    schema = ", ".join(f"{name} string" for name in RAW_TEXT.names)
-    return _located(lines.filter(F.trim("value") != "")).select(
-        F.from_csv("value", schema, CSV_OPTIONS).alias("_text"),
-        open_quote(F.col("value")).alias("_open"),
-        *_PLACE,
-    )
+def _fields(line: str) -> Column:
+    return F.from_csv(line, ", ".join(f"{name} string" for name in RAW_TEXT.names), CSV_OPTIONS).alias("_text")
 
 
-def _whole_files(spark: SparkSession, files: list[str]) -> DataFrame:
-    reader = spark.read.schema(RAW_TEXT).options(header="true", enforceSchema="true", multiLine="true", **CSV_OPTIONS)
-    rows = _located(reader.csv(files).select("*", "_metadata"))
-    return rows.select(F.struct(*RAW_TEXT.names).alias("_text"), F.lit(False).alias("_open"), *_PLACE)
+def split_rows(lines: DataFrame) -> DataFrame:
+    """Lines cut into their twelve texts, each with its file, split and place. Blank lines do not count."""
+    kept = _located(lines.filter(F.trim("value") != ""))
+    return kept.select(_fields("value"), open_quote(F.col("value")).alias("_open"), *PLACE)
 
 
 def _splits(rows: DataFrame) -> DataFrame:
@@ -91,7 +72,7 @@ def _splits(rows: DataFrame) -> DataFrame:
     return materialize(splits, "splits")
 
 
-def _numbered(rows: DataFrame, splits: DataFrame, header_rows: int) -> DataFrame:
+def _numbered(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """Add each row's number in its file, the header being 0.
 
     The rows of a split are consecutive within one task, so a row's number is the rows of
@@ -104,7 +85,7 @@ def _numbered(rows: DataFrame, splits: DataFrame, header_rows: int) -> DataFrame
     offsets = splits.select("_source_file_name", "_split", "_first", before.alias("_before"))
     if splits.count() <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    number = F.col("_before") + F.col("_place") - F.col("_first") + (1 - header_rows)
+    number = F.col("_before") + F.col("_place") - F.col("_first")
     return rows.join(offsets, ["_source_file_name", "_split"]).select(
         "_text", "_source_file_name", number.cast("long").alias("_source_row_number")
     )
@@ -160,22 +141,13 @@ def parse(rows: DataFrame, load_ts: Column) -> DataFrame:
     The caller persists `rows`, which are read more than once. A lost block is read again
     from the same split, so places do not change.
     """
-    spark = rows.sparkSession
     splits = _splits(rows)
-    whole = [row[0] for row in splits.filter("_open").select("_source_file_name").distinct().collect()]
-    if not whole:
-        return typed(_numbered(rows, splits, header_rows=1), load_ts)
-    # Names of files only. Their header is dropped by the reader, so it is put back as row 0.
-    elsewhere = ~F.col("_source_file_name").isin(whole)
-    records = _whole_files(spark, whole)
-    headers = spark.createDataFrame([(name,) for name in whole], "_source_file_name string").select(
-        F.lit(None).cast(RAW_TEXT).alias("_text"),
-        "_source_file_name",
-        F.lit(0).cast("long").alias("_source_row_number"),
-    )
-    numbered = (
-        _numbered(rows.filter(elsewhere), splits.filter(elsewhere), header_rows=1)
-        .unionByName(_numbered(records, _splits(records), header_rows=0))
-        .unionByName(headers)
-    )
-    return typed(numbered, load_ts)
+    # Names of files only: those whose records run over line ends.
+    names = [row[0] for row in splits.filter("_open").select("_source_file_name").distinct().collect()]
+    if not names:
+        return typed(_numbered(rows, splits), load_ts)
+    by_line = ~F.col("_source_file_name").isin(names)
+    lines = _located(read_lines(rows.sparkSession, names)).select("value", *PLACE)
+    records = joined_records(lines).select(_fields("value"), "_source_file_name", "_source_row_number")
+    numbered = _numbered(rows.filter(by_line), splits.filter(by_line))
+    return typed(numbered.unionByName(records), load_ts)
