@@ -184,6 +184,10 @@ class SupplierTables:
     def dq_summary(self) -> DataFrame:
         return self._published(DQ_SUMMARY, schemas.DQ_SUMMARY).select(*schemas.DQ_SUMMARY.names)
 
+    def summary_of(self, batch_id: int) -> DataFrame:
+        """The quality summary of one batch, published or not."""
+        return self._read(DQ_SUMMARY, schemas.DQ_SUMMARY, paths=[self.batch_path(DQ_SUMMARY, batch_id)])
+
     def run_log(self) -> DataFrame:
         if not self.folder.exists(RUN_LOG):
             return self._empty(schemas.PIPELINE_RUN_LOG)

@@ -106,19 +106,18 @@ class SupplierPipeline:
         tables = self.tables
         highest = tables.run_log().agg(F.max("run_id")).first()[0] or 0
         name = f"{batch_id:012d}-{job[1]}" + (f"-failed-{highest + 1}" if error else "")
-        row = (
-            highest + 1,
-            *job,
-            started,
-            self.clock(),
-            counts["processed"],
-            counts["inserted"],
-            counts["updated"],
-            counts["rejected"],
-            "FAILED" if error else "SUCCESS",
-            str(error)[:4000] if error else None,
-        )
-        tables.write_run(name, tables.spark.createDataFrame([row], PIPELINE_RUN_LOG).coalesce(1))
+        row = {
+            "run_id": highest + 1,
+            "task_name": job[0],
+            "procedure_name": job[1],
+            "start_time": started.isoformat(sep=" "),
+            "end_time": self.clock().isoformat(sep=" "),
+            **{f"rows_{name}": counts[name] for name in ("processed", "inserted", "updated", "rejected")},
+            "status": "FAILED" if error else "SUCCESS",
+            "error_message": str(error)[:4000] if error else None,
+        }
+        one = tables.spark.range(0, 1, 1, 1).select(*[F.lit(value).alias(column) for column, value in row.items()])
+        tables.write_run(name, conform(one, PIPELINE_RUN_LOG))
 
     # Bronze to Silver
 
@@ -146,13 +145,13 @@ class SupplierPipeline:
         summary = routing.quality_summary(raw, run_ts.cast("date"))
         summary = conform(summary.withColumn("summary_id", F.lit(ids["summary"] + 1)), DQ_SUMMARY_SCHEMA)
         tables.write_batch(summary, DQ_SUMMARY, batch_id)
-        total = raw.count()
+        written = tables.summary_of(batch_id).first()
+        total, rejected = written.total_records, written.failed_records
         ids["summary"] += 1
 
         flagged = routing.flag(raw)
         rejects = number_rows(routing.rejects(flagged, run_ts), "reject_id", after=ids["reject"])
         tables.write_batch(conform(rejects, REJECTED_SUPPLIERS), REJECTED, batch_id)
-        rejected = rejects.count()
         ids["reject"] += rejected
 
         staged = materialize(latest.latest_per_key(routing.accepted(flagged)), "staged")
