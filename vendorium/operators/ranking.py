@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vendorium.session import materialize
 
-# Width of a score bucket, then how many of those buckets make one of the next level.
-# A score moves by 2/3 per day of lead time and spans 80 otherwise, in steps of 0.004. A bucket
-# one point wide is reached by at most 122 lead times with 250 steps each, so it holds no more
-# than about 31,000 distinct scores, and the INT range of lead times fills no more than 1.5
-# million buckets of 1,000 points. Neither figure depends on the number of rows.
-BUCKETS = (1, 1000)
+# Width of a score bucket in points; further entries would bucket the buckets.
+# A score moves by 2/3 of a point per day of lead time and spans 80 points otherwise, in steps
+# of 0.004. So a bucket is reached by at most 270 lead times with 20,001 steps each: 5.4 million
+# distinct scores. The whole INT range of lead times fills no more than 14.4 million buckets.
+# Neither figure depends on the number of rows.
+BUCKETS = (100,)
 
 
 def rows_above(counts: DataFrame, value: str, by: Sequence[str] = (), widths: Sequence[int] = BUCKETS) -> DataFrame:
