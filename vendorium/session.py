@@ -39,6 +39,11 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
     return spark
 
 
+@cache
+def _temporary(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"vendorium-{application}-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder that `spark.checkpoint.dir` names; a temporary one only for local sessions without it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,9 +51,7 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="vendorium-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _temporary(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
