@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendorium.llm import mixing, packing, sharding, token_files
+from vendorium.llm import language, mixing, ngram_join, packing, sharding, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,8 +14,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 def all_queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": packing.query,
+        "op2_toxicity_ftrl": toxicity.query,
+        "op4_language_ppm": language.query,
         "op6_token_files": token_files.query,
         "op8_feistel_shards": sharding.query,
+        "op10_ngram_join": ngram_join.query,
         "op9_source_mixing": mixing.query,
     }
 
