@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.llm.components import connected_components
-from vendorium.llm.scratch import Scratch
+from vendorium.llm.scratch import Scratch, fresh_name
 from vendorium.llm.shipping import ship
 from vendorium.llm.words import shingle_sets
 
@@ -174,7 +174,8 @@ def _links(pairs: DataFrame, sets: DataFrame, order: GramOrder, percent: int, sc
 
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, fragments: int = FRAGMENTS, carry: Sequence[str] = ()) -> DataFrame:
-    """For every row its doc_id, what is carried along, its set size and its component's smallest doc_id.
+    """For every row its doc_id, what is carried along, its set size, its component's smallest doc_id and `component`,
+    a digest that tells components apart even where rows repeat a doc_id (null for an empty set).
 
     Sets are distinct word n-grams (as `words.shingle_sets` has them); two link if 100 * intersection >= percent *
     union. Documents with equal sets form one class, found by a 128-bit digest, and classes are joined:
@@ -227,11 +228,32 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = classes.join(joined.withColumnRenamed("node", "cls"), "cls", "left")
     classes = classes.withColumn("component", F.coalesce("component", "cls"))
     labels = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    labelled = classes.select("cls", "component").join(labels, "component").select("cls", "component_id")
+    labelled = classes.select("cls", "component").join(labels, "component").select("cls", "component", "component_id")
     found = narrow.join(labelled, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", *carry, F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    return found.select("doc_id", *carry, F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "component")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs less all but one of each component: the one with the smallest (doc_id, text digest).
+
+    Documents without words all stay. Of rows that repeat both doc_id and text one stays, any of them.
+    """
+    text = F.col("text").cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    key, digest, copies = (fresh_name(name, docs.columns) for name in ("_key", "_digest", "_copies"))
+    narrow = docs.filter(worded).select("doc_id", "text", F.md5(text).alias(digest))
+    found = similar_components(narrow, words, percent, carry=(digest,))
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", digest)).alias("first"))
+    rows = found.groupBy("component", "doc_id", digest).agg(F.count("*").alias(copies))
+    chosen = rows.join(first, "component").filter(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col(digest) == F.col(f"first.{digest}")))
+    chosen = chosen.select(F.col("doc_id").alias(key), F.col(digest).alias(f"{digest}_"), copies)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (F.md5(text) == F.col(f"{digest}_"))
+    kept = docs.filter(worded).join(chosen, same)
+    single = kept.filter(F.col(copies) == 1).select(*docs.columns)
+    repeated = kept.filter(F.col(copies) > 1).dropDuplicates([key, f"{digest}_"]).select(*docs.columns)
+    return single.unionByName(repeated).unionByName(docs.filter(~worded))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).drop("component")

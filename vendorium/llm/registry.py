@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendorium.llm import language, mixing, ngram_join, packing, sharding, token_files, toxicity
+from vendorium.llm import bit_sliced, chat, language, mixing, multi_index, ngram_join, packing, sharding, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +15,11 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": packing.query,
         "op2_toxicity_ftrl": toxicity.query,
+        "op3_tool_call_linking": chat.query,
         "op4_language_ppm": language.query,
+        "op5_inverted_multi_index": multi_index.query,
         "op6_token_files": token_files.query,
+        "op7_bit_sliced_top_k": bit_sliced.query,
         "op8_feistel_shards": sharding.query,
         "op10_ngram_join": ngram_join.query,
         "op9_source_mixing": mixing.query,
@@ -24,4 +27,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op9_source_mixing": mixing.ORACLE_SQL}
+    return {"op7_bit_sliced_top_k": bit_sliced.ORACLE_SQL, "op9_source_mixing": mixing.ORACLE_SQL}
