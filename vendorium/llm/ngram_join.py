@@ -89,16 +89,22 @@ def _gram_order(sets: DataFrame, fragments: int) -> GramOrder:
 
 
 def _prefixes(sets: DataFrame, order: GramOrder, percent: int) -> DataFrame:
-    """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, n, place)."""
+    """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, key, n, place); key is the
+    start of cls as a number."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cls, grams in _each_class(batches):
             size = len(grams)
             prefix = order.places(grams)[: size - -(-percent * size // 100) + 1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(prefix.view(np.int64)), pa.array([cls] * len(prefix), pa.binary()), pa.array(np.full(len(prefix), size, np.int32)), pa.array(np.arange(len(prefix), dtype=np.int32))],
-                names=["gram", "cls", "n", "place"],
-            )
+            number = int.from_bytes(cls[:8], "big", signed=True)
+            columns = [
+                pa.array(prefix.view(np.int64)),
+                pa.array([cls] * len(prefix), pa.binary()),
+                pa.array(np.full(len(prefix), number, np.int64)),
+                pa.array(np.full(len(prefix), size, np.int32)),
+                pa.array(np.arange(len(prefix), dtype=np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "cls", "key", "n", "place"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -111,7 +117,7 @@ def _prefixes(sets: DataFrame, order: GramOrder, percent: int) -> DataFrame:
         if rows:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    return sets.select("cls", "grams").mapInArrow(joined, "gram long, cls binary, n int, place int")
+    return sets.select("cls", "grams").mapInArrow(joined, "gram long, cls binary, key long, n int, place int")
 
 
 def _can_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
@@ -198,13 +204,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     order = _gram_order(sets, fragments)
     prefixes = _prefixes(sets, order, percent)
     prefixes = scratch.write(prefixes, "gram-prefixes")
-    centres = prefixes.groupBy("gram").agg(F.min(F.struct("place", "cls", "n")).alias("centre"), F.max("cls").alias("last"), F.min("cls").alias("first"))
-    centres = centres.filter("first < last").select("gram", "centre")
-    shared = prefixes.join(centres, "gram").select("gram", "cls", "n", "place", "centre").distinct()
+    # Numbers alone are grouped here: nearly all n-grams have one class, and go no further.
+    several = prefixes.groupBy("gram").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
+    shared = prefixes.join(several.select("gram", "first"), "gram").distinct()
     shared = scratch.write(shared, "gram-shared")
     scratch.drop("gram-prefixes")
 
-    star = shared.select("cls", "n", "place", F.col("centre.cls").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.place").alias("other_place"))
+    centres = shared.filter("key = first").groupBy("gram").agg(F.min(F.struct("place", "cls", "n")).alias("centre"))
+    star = shared.filter("key <> first").join(centres, "gram")
+    star = star.select("cls", "n", "place", F.col("centre.cls").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.place").alias("other_place"))
     bound = _can_link(F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"), percent)
     pairs = scratch.write(_pairs(star.filter("cls <> other").filter(bound)), "star-pairs")
     links = _links(pairs, sets, order, percent, scratch, "star")
