@@ -188,7 +188,8 @@ def predict_column(languages: Languages) -> Callable[[Column], Column]:
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(languages)
         for batch in batches:
-            yield scorer.predict(batch.tolist())
+            parts = [scorer.predict(batch.iloc[at : at + 500].tolist()) for at in range(0, max(1, len(batch)), 500)]
+            yield pd.concat(parts, ignore_index=True)
 
     return predict
 

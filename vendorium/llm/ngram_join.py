@@ -22,36 +22,36 @@ _LOW_MASK = (np.uint64(1) << _LOW_BITS) - np.uint64(1)
 _FILTER_BITS = 22  # classes that take part in a check are marked in 2**22 bits
 
 
-def _sets(docs: DataFrame, words: int, carry: Sequence[str]) -> DataFrame:
-    """doc_id, what is carried along, set size, a 128-bit digest of the set, and the set as sorted hashes."""
+def _classes(batch: pa.RecordBatch, words: int) -> Iterator[tuple[bytes, np.ndarray]]:
+    """For each text of the batch's `text` column a 128-bit digest of its set, and the set as sorted hashes."""
+    for at in range(0, batch.num_rows, 500):
+        for values in shingle_sets(batch.column("text").slice(at, 500).to_pylist(), words):
+            yield hashlib.blake2b(values.tobytes(), digest_size=16).digest(), values
+
+
+def _members(docs: DataFrame, words: int, carry: Sequence[str]) -> DataFrame:
+    """doc_id, what is carried along, set size n, and the digest cls of the set."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sizes, digests, sets = [], [], []
-                for values in shingle_sets(part.column(1).to_pylist(), words):
-                    raw = values.tobytes()
-                    sizes.append(len(values))
-                    digests.append(hashlib.blake2b(raw, digest_size=16).digest())
-                    sets.append(raw)
-                arrays = [pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())]
-                names = ["doc_id", *part.schema.names[2:], "n", "cls", "grams"]
-                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], *arrays], names=names)
-
-    return source.mapInArrow(make, f"doc_id long, {kinds + ', ' if kinds else ''}n int, cls binary, grams binary")
-
-
-def _each_class(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, np.ndarray]]:
-    """The classes of a task's (cls, grams) rows, each once: copies are dropped before anything is shuffled."""
+            found = [(len(values), cls) for cls, values in _classes(batch, words)]
+            arrays = [pa.array([n for n, _ in found], pa.int32()), pa.array([cls for _, cls in found], pa.binary())]
+            names = ["doc_id", *batch.schema.names[2:], "n", "cls"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *arrays], names=names)
+
+    return source.mapInArrow(make, f"doc_id long, {kinds + ', ' if kinds else ''}n int, cls binary")
+
+
+def _each_class(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The classes of a task's texts, each once, without the empty set: copies go before anything is shuffled."""
     seen: set[bytes] = set()
     for batch in batches:
-        for cls, grams in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if cls not in seen:
+        for cls, grams in _classes(batch, words):
+            if len(grams) and cls not in seen:
                 seen.add(cls)
-                yield cls, np.frombuffer(grams.as_buffer(), dtype=np.uint64)
+                yield cls, grams
 
 
 class GramOrder:
@@ -71,29 +71,29 @@ class GramOrder:
         return np.sort((self.rank[bucket] << _LOW_BITS) | (grams & _LOW_MASK))
 
 
-def _gram_order(sets: DataFrame, fragments: int) -> GramOrder:
+def _gram_order(texts: DataFrame, words: int, fragments: int) -> GramOrder:
     """Count all n-grams in buckets; the driver gets one number for each of the 2**18 buckets, whatever the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _BUCKET_BITS, dtype=np.int64)
-        for _, grams in _each_class(batches):
+        for _, grams in _each_class(batches, words):
             buckets, seen = np.unique((grams >> _LOW_BITS).astype(np.int64), return_counts=True)
             counts[buckets] += seen
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"bucket": used.astype(np.int32), "seen": counts[used]})
 
-    rows = sets.select("cls", "grams").mapInArrow(count, "bucket int, seen long").groupBy("bucket").agg(F.sum("seen").alias("seen")).toPandas()
+    rows = texts.mapInArrow(count, "bucket int, seen long").groupBy("bucket").agg(F.sum("seen").alias("seen")).toPandas()
     counts = np.zeros(1 << _BUCKET_BITS, dtype=np.int64)
     counts[rows["bucket"].to_numpy(np.int64)] = rows["seen"].to_numpy(np.int64)
     return GramOrder(counts, fragments)
 
 
-def _prefixes(sets: DataFrame, order: GramOrder, percent: int) -> DataFrame:
+def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> DataFrame:
     """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, key, n, place); key is the
     start of cls as a number."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cls, grams in _each_class(batches):
+        for cls, grams in _each_class(batches, words):
             size = len(grams)
             prefix = order.places(grams)[: size - -(-percent * size // 100) + 1]
             number = int.from_bytes(cls[:8], "big", signed=True)
@@ -117,7 +117,7 @@ def _prefixes(sets: DataFrame, order: GramOrder, percent: int) -> DataFrame:
         if rows:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    return sets.select("cls", "grams").mapInArrow(joined, "gram long, cls binary, key long, n int, place int")
+    return texts.mapInArrow(joined, "gram long, cls binary, key long, n int, place int")
 
 
 def _can_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
@@ -143,7 +143,7 @@ def _slot(cls: Column) -> Column:
     return F.shiftright(F.conv(F.hex(F.substring(cls, 1, 3)), 16, 10).cast("int"), 24 - _FILTER_BITS)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, order: GramOrder, percent: int, scratch: Scratch, label: str) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, percent: int, scratch: Scratch, label: str) -> DataFrame:
     """Those of the pairs that are similar: overlaps are counted in each fragment by itself and summed per pair.
 
     Only classes in a pair have their sets cut and sent. They are picked while the sets are read, by a bit for each
@@ -156,7 +156,7 @@ def _links(pairs: DataFrame, sets: DataFrame, order: GramOrder, percent: int, sc
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(marked).astype(bool)
-        for cls, grams in _each_class(batches):
+        for cls, grams in _each_class(batches, words):
             if wanted[int.from_bytes(cls[:3], "big") >> (24 - _FILTER_BITS)]:
                 places = order.places(grams)
                 bounds = [0, *np.searchsorted(places, order.pivots).tolist(), len(places)]
@@ -167,7 +167,7 @@ def _links(pairs: DataFrame, sets: DataFrame, order: GramOrder, percent: int, sc
                     "part": pa.array([part for _, part in parts], pa.list_(pa.int64())),
                 })
 
-    parts = sets.select("cls", "grams").mapInArrow(cut, "cls binary, fragment int, part array<long>")
+    parts = texts.mapInArrow(cut, "cls binary, fragment int, part array<long>")
     # A class read by several tasks comes several times; its parts are equal, so any one will do.
     parts = scratch.write(parts.groupBy("cls", "fragment").agg(F.first("part").alias("part")), f"{label}-parts")
     low = parts.select(F.col("cls").alias("low"), "fragment", F.col("part").alias("low_part"))
@@ -195,15 +195,16 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     Null, empty and blank texts have an empty set and stay alone. Null doc_ids take part; a component made of them
     alone has null. Repeated rows are copies. Hashes have 64 bits within sets.
+
+    Sets are made from the texts in each step that needs them: five passes over `docs`, so it should be a stored
+    table. Kept sets would take twice the room of the compressed texts.
     """
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark)
-    every = scratch.write(_sets(docs, words, carry), "gram-sets")
-    sets = every.filter("n > 0")
-    order = _gram_order(sets, fragments)
-    prefixes = _prefixes(sets, order, percent)
-    prefixes = scratch.write(prefixes, "gram-prefixes")
+    texts = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null")
+    order = _gram_order(texts, words, fragments)
+    prefixes = scratch.write(_prefixes(texts, words, order, percent), "gram-prefixes")
     # Numbers alone are grouped here: nearly all n-grams have one class, and go no further.
     several = prefixes.groupBy("gram").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
     shared = prefixes.join(several.select("gram", "first"), "gram").distinct()
@@ -215,7 +216,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     star = star.select("cls", "n", "place", F.col("centre.cls").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.place").alias("other_place"))
     bound = _can_link(F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"), percent)
     pairs = scratch.write(_pairs(star.filter("cls <> other").filter(bound)), "star-pairs")
-    links = _links(pairs, sets, order, percent, scratch, "star")
+    links = _links(pairs, texts, words, order, percent, scratch, "star")
     joined = scratch.write(connected_components(links, scratch, "first-stars"), "first-components")
 
     grams = shared.select("gram", "cls", "n", "place").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
@@ -227,11 +228,11 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     crossing = left.join(right, "gram").filter((F.col("component") < F.col("other_component")) & bound)
     rest = _pairs(crossing.withColumnRenamed("other_cls", "other")).join(pairs, ["low", "high"], "left_anti")
     rest = scratch.write(rest, "cross-pairs")
-    links = links.unionByName(_links(rest, sets, order, percent, scratch, "cross"))
+    links = links.unionByName(_links(rest, texts, words, order, percent, scratch, "cross"))
     joined = scratch.write(connected_components(links, scratch, "last-stars"), "last-components")
 
-    narrow = scratch.write(every.drop("grams"), "gram-members")
-    scratch.drop("gram-sets", "gram-shared", "gram-components", "star-parts", "cross-parts")
+    scratch.drop("gram-shared", "gram-components", "star-parts", "cross-parts")
+    narrow = scratch.write(_members(docs, words, carry), "gram-members")
     classes = narrow.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     classes = classes.join(joined.withColumnRenamed("node", "cls"), "cls", "left")
     classes = classes.withColumn("component", F.coalesce("component", "cls"))

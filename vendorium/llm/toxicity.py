@@ -107,12 +107,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     taken = [known.filter(F.col("toxic") == kind).orderBy("order", "doc_id").limit(per_class) for kind in (0, 1)]
     weight = F.when(F.col("toxic") == 1, max(1.0, counts.get(1, 0) / per_class)).otherwise(max(1.0, counts.get(0, 0) / per_class))
     sample = taken[0].unionByName(taken[1]).withColumn("weight", weight)
-    texts = docs.select(key, F.col("text").cast("string").alias("text")).join(sample, "doc_id")
+    texts = docs.select(key, F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * per_class rows at most
     texts = texts.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("order", "toxic", "weight", "text")]).drop("doc_id")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(own).astype("<i4").tobytes() for own in feature_places(batch.column("text").to_pylist())]
+            slices = (batch.column("text").slice(at, 500).to_pylist() for at in range(0, batch.num_rows, 500))
+            found = [np.unique(own).astype("<i4").tobytes() for texts in slices for own in feature_places(texts)]
             columns = [batch.column("order"), batch.column("toxic"), batch.column("weight"), pa.array(found, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["order", "toxic", "weight", "places"])
 
@@ -153,7 +154,8 @@ def score_column(weights: Weights) -> "callable":
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table, learned = weights.dense(), len(weights.places) > 0
         for batch in batches:
-            yield pd.Series(scores(batch.tolist(), table, learned))
+            parts = [scores(batch.iloc[at : at + 500].tolist(), table, learned) for at in range(0, len(batch), 500)]
+            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     return score
 
