@@ -207,15 +207,16 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     prefixes = scratch.write(_prefixes(texts, words, order, percent), "gram-prefixes")
     # Numbers alone are grouped here: nearly all n-grams have one class, and go no further.
     several = prefixes.groupBy("gram").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
-    shared = prefixes.join(several.select("gram", "first"), "gram").distinct()
+    shared = prefixes.join(several.select("gram"), "gram").drop("key").distinct()
     shared = scratch.write(shared, "gram-shared")
     scratch.drop("gram-prefixes")
 
-    centres = shared.filter("key = first").groupBy("gram").agg(F.min(F.struct("place", "cls", "n")).alias("centre"))
-    star = shared.filter("key <> first").join(centres, "gram")
+    # The class with the fewest n-grams of its own before this one is the likeliest to link with the others.
+    centres = shared.groupBy("gram").agg(F.min(F.struct("place", "cls", "n")).alias("centre"))
+    star = shared.join(centres, "gram").filter("cls <> centre.cls")
     star = star.select("cls", "n", "place", F.col("centre.cls").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.place").alias("other_place"))
     bound = _can_link(F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"), percent)
-    pairs = scratch.write(_pairs(star.filter("cls <> other").filter(bound)), "star-pairs")
+    pairs = scratch.write(_pairs(star.filter(bound)), "star-pairs")
     links = _links(pairs, texts, words, order, percent, scratch, "star")
     joined = scratch.write(connected_components(links, scratch, "first-stars"), "first-components")
 

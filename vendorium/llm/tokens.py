@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 
-_KNOWN_WORDS = 400_000  # words whose ids a Python worker remembers; it starts anew when they are more
+_KNOWN_WORDS = 250_000  # words whose ids a Python worker remembers; it starts anew when they are more
 _LONG_WORD = 64  # longer words are encoded each time
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -63,8 +64,8 @@ def feature_places(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
             yield np.concatenate(own)
 
 
-def learn(rows: Iterator[tuple[np.ndarray, int, float]], rates: Rates) -> Weights:
-    """One pass of FTRL-proximal over (distinct places, label, weight): each place has a step size of its own, and
+def learn(rows: Iterator[tuple[np.ndarray, int]], rates: Rates, shift: float = 0.0) -> Weights:
+    """FTRL-proximal over (distinct places, label); `shift` is added to the constant at the end. Each place has a step size of its own, and
     its weight stays 0 until its summed gradients exceed L1."""
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
@@ -73,15 +74,16 @@ def learn(rows: Iterator[tuple[np.ndarray, int, float]], rates: Rates) -> Weight
         value = pull / ((rates.beta + np.sqrt(n[places])) / rates.alpha + rates.l2)
         return np.where(np.abs(z[places]) <= rates.l1, 0.0, value)
 
-    for places, label, weight in rows:
+    for places, label in rows:
         now = weights(places)
         chance = 1 / (1 + np.exp(-np.clip(now.sum(), -35, 35)))
-        gradient = weight * (chance - label)
+        gradient = chance - label
         step = (np.sqrt(n[places] + gradient * gradient) - np.sqrt(n[places])) / rates.alpha
         z[places] += gradient - step * now
         n[places] += gradient * gradient
-    used = np.flatnonzero(np.abs(z) > rates.l1)
-    return Weights(used.astype(np.int32), weights(used).astype(np.float32))
+    used = np.flatnonzero(np.abs(z[1:]) > rates.l1) + 1
+    constant = weights(np.zeros(1, dtype=np.int64)) + shift
+    return Weights(np.append(0, used).astype(np.int32), np.append(constant, weights(used)).astype(np.float32))
 
 
 def fold(doc_id: Column, folds: int = FOLDS) -> Column:
@@ -91,8 +93,8 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, rates: Rates = Rates()) -> Weights:
     """Learn from a bounded sample of labelled documents outside the held-out fold.
 
-    The sample is, for each class, the `per_class` documents whose ids have the smallest hashes; rows weigh as much as
-    they stand for. A document labelled both ways counts as toxic; one with several texts counts with the smallest.
+    The sample is, for each class, the `per_class` documents whose ids have the smallest hashes. Classes are then
+    mixed otherwise than in the table, which the constant makes up for (prior correction). A document labelled both ways counts as toxic; one with several texts counts with the smallest.
     Places are found on all executors; one task then goes over the sample, and the weights come back.
     """
     spark = docs.sparkSession
@@ -105,31 +107,30 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     if not counts:
         return Weights(np.empty(0, np.int32), np.empty(0, np.float32))
     taken = [known.filter(F.col("toxic") == kind).orderBy("order", "doc_id").limit(per_class) for kind in (0, 1)]
-    weight = F.when(F.col("toxic") == 1, max(1.0, counts.get(1, 0) / per_class)).otherwise(max(1.0, counts.get(0, 0) / per_class))
-    sample = taken[0].unionByName(taken[1]).withColumn("weight", weight)
+    sample = taken[0].unionByName(taken[1])
+    shift = math.log(max(1.0, counts.get(1, 0) / per_class)) - math.log(max(1.0, counts.get(0, 0) / per_class))
     texts = docs.select(key, F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * per_class rows at most
-    texts = texts.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("order", "toxic", "weight", "text")]).drop("doc_id")
+    texts = texts.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("order", "toxic", "text")]).drop("doc_id")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slices = (batch.column("text").slice(at, 500).to_pylist() for at in range(0, batch.num_rows, 500))
             found = [np.unique(own).astype("<i4").tobytes() for texts in slices for own in feature_places(texts)]
-            columns = [batch.column("order"), batch.column("toxic"), batch.column("weight"), pa.array(found, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["order", "toxic", "weight", "places"])
+            columns = [batch.column("order"), batch.column("toxic"), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["order", "toxic", "places"])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple[np.ndarray, int, float]]:
+        def rows() -> Iterator[tuple[np.ndarray, int]]:
             constant = np.zeros(1, dtype=np.int32)
             for batch in batches:
-                columns = (batch.column(name).to_pylist() for name in ("places", "toxic", "weight"))
-                for raw, toxic, weight in zip(*columns, strict=True):
+                for raw, toxic in zip(batch.column("places").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                     own = np.frombuffer(raw, dtype="<i4")
-                    yield np.concatenate([constant, own[own != 0]]), toxic, weight
+                    yield np.concatenate([constant, own[own != 0]]), toxic
 
-        learned = learn(rows(), rates)
+        learned = learn(rows(), rates, shift)
         yield pa.RecordBatch.from_pydict({"place": learned.places, "value": learned.values})
 
-    found = texts.mapInArrow(places, "order long, toxic int, weight double, places binary")
+    found = texts.mapInArrow(places, "order long, toxic int, places binary")
     passes = F.explode(F.sequence(F.lit(1), F.lit(rates.passes))).alias("turn")
     ordered = found.select("*", passes).repartition(1).sortWithinPartitions("turn", "order")
     learned = ordered.mapInArrow(go, "place int, value float").toPandas()

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 _SEED = 0x5EED
-_BUFFER_BYTES = 1 << 20  # texts are handled in buffers of about this size; a longer text has one of its own
+_BUFFER_BYTES = 1 << 18  # texts are handled in buffers of about this size; a longer text has one of its own
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
