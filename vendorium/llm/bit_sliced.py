@@ -60,7 +60,9 @@ class Slices:
         place = 0
         while place <= max(taken, default=-1) or carried:
             parts = [self._maps[np.concatenate(taken[place])]] if place in taken else []
-            stack = np.concatenate([*parts, *carried]) if parts or carried else np.zeros((1, len(self.valid)), np.uint64)
+            stack = np.concatenate([*parts, *carried, np.zeros((0, len(self.valid)), np.uint64)])
+            if not len(stack):
+                stack = np.zeros((1, len(self.valid)), np.uint64)
             carried = []
             while len(stack) > 2:
                 third = len(stack) // 3

@@ -70,9 +70,10 @@ def learn(rows: Iterator[tuple[np.ndarray, int]], rates: Rates, shift: float = 0
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
     def weights(places: np.ndarray) -> np.ndarray:
-        pull = np.sign(z[places]) * rates.l1 - z[places]
+        least = np.where(places == 0, 0.0, rates.l1)  # the constant is always learned
+        pull = np.sign(z[places]) * least - z[places]
         value = pull / ((rates.beta + np.sqrt(n[places])) / rates.alpha + rates.l2)
-        return np.where(np.abs(z[places]) <= rates.l1, 0.0, value)
+        return np.where(np.abs(z[places]) <= least, 0.0, value)
 
     for places, label in rows:
         now = weights(places)
