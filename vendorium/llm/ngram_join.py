@@ -160,21 +160,17 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, per
             if wanted[int.from_bytes(cls[:3], "big") >> (24 - _FILTER_BITS)]:
                 places = order.places(grams)
                 bounds = [0, *np.searchsorted(places, order.pivots).tolist(), len(places)]
-                parts = [(f, places[a:b].view(np.int64)) for f, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
-                yield pa.RecordBatch.from_pydict({
-                    "cls": pa.array([cls] * len(parts), pa.binary()),
-                    "fragment": pa.array([f for f, _ in parts], pa.int32()),
-                    "part": pa.array([part for _, part in parts], pa.list_(pa.int64())),
-                })
-
-    parts = texts.mapInArrow(cut, "cls binary, fragment int, part array<long>")
-    # A class read by several tasks comes several times; its parts are equal, so any one will do.
-    parts = scratch.write(parts.groupBy("cls", "fragment").agg(F.first("part").alias("part")), f"{label}-parts")
-    low = parts.select(F.col("cls").alias("low"), "fragment", F.col("part").alias("low_part"))
-    high = parts.select(F.col("cls").alias("high"), "fragment", F.col("part").alias("high_part"))
-    partial = pairs.join(low, "low").join(high, ["high", "fragment"])
-    partial = partial.select("low", "high", "low_n", "high_n", F.size(F.array_intersect("low_part", "high_part")).cast("long").alias("shared"))
-    whole = partial.groupBy("low", "high", "low_n", "high_n").agg(F.sum("shared").alias("shared"))
+                parts = [places[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_pydict({"cls": pa.array([cls], pa.binary()), "parts": pa.array([parts], pa.list_(pa.list_(pa.int64())))})
+
+    # A class read by several tasks comes several times; its parts are equal, so any will do. Both joins use this one
+    # exchange.
+    parts = texts.mapInArrow(cut, "cls binary, parts array<array<long>>").groupBy("cls").agg(F.first("parts").alias("parts"))
+    low = parts.select(F.col("cls").alias("low"), F.col("parts").alias("low_parts"))
+    high = parts.select(F.col("cls").alias("high"), F.col("parts").alias("high_parts"))
+    partial = F.zip_with("low_parts", "high_parts", lambda a, b: F.size(F.array_intersect(a, b)).cast("long"))
+    whole = pairs.join(low, "low").join(high, "high")
+    whole = whole.select("low", "high", "low_n", "high_n", F.aggregate(partial, F.lit(0).cast("long"), lambda x, y: x + y).alias("shared"))
     similar = 100 * F.col("shared") >= percent * (F.col("low_n") + F.col("high_n") - F.col("shared"))
     return scratch.write(whole.filter(similar).select("low", "high"), f"{label}-links")
 
@@ -232,7 +228,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     links = links.unionByName(_links(rest, texts, words, order, percent, scratch, "cross"))
     joined = scratch.write(connected_components(links, scratch, "last-stars"), "last-components")
 
-    scratch.drop("gram-shared", "gram-components", "star-parts", "cross-parts")
+    scratch.drop("gram-shared", "gram-components")
     narrow = scratch.write(_members(docs, words, carry), "gram-members")
     classes = narrow.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     classes = classes.join(joined.withColumnRenamed("node", "cls"), "cls", "left")
