@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -164,3 +166,30 @@ def test_only_touched_buckets_are_rewritten(place):
     assert sorted(tables.last_commit()["live"].values()) == [0, 0, 0, 1]
     assert tables.clean().count() == 40
     assert tables.clean().filter(F.col("lead_time_days") == 1).count() == 1
+
+
+def test_every_file_is_loaded_whatever_its_name_and_age(place):
+    tables, pipeline, landing = place
+    (landing / "UPPER.CSV").write_text(HEADER + _line(supplier_id="A"))
+    _run(pipeline, landing)
+    for name, supplier in (("plain.txt", "B"), ("no_suffix", "C"), ("old.csv", "D")):
+        (landing / name).write_text(HEADER + _line(supplier_id=supplier))
+    ten_days_ago = time.time() - 10 * 86_400
+    os.utime(landing / "old.csv", (ten_days_ago, ten_days_ago))
+    _run(pipeline, landing)
+    assert {r.supplier_id for r in tables.clean().collect()} == {"A", "B", "C", "D"}
+
+
+def test_another_checkpoint_is_refused(place, monkeypatch):
+    tables, pipeline, landing = place
+    (landing / "b1.csv").write_text(FIRST)
+    _run(pipeline, landing)
+    commit = tables.last_commit()
+    assert commit["query_id"]
+    monkeypatch.setattr(tables, "last_commit", lambda: commit | {"query_id": "another"})
+    (landing / "b2.csv").write_text(SECOND)
+    with pytest.raises(Exception, match="restore its checkpoint"):
+        _run(pipeline, landing)
+    monkeypatch.undo()
+    _run(pipeline, landing)
+    assert {r.supplier_id for r in tables.clean().collect()} == {"S1", "S2", "S5"}

@@ -48,9 +48,18 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select("value", "_metadata")
 
 
+# Longer than any file can be old. The file source forgets, and never loads, files older than `maxFileAge` before the
+# newest one, so a backfill needs a span that none exceeds. In turn the checkpoint keeps every file name.
+MAX_FILE_AGE = "36500d"
+
+
 def stream_lines(spark: SparkSession, path: str, **limits: str) -> DataFrame:
-    """New files of a folder as they arrive; `limits` are reader options such as maxBytesPerTrigger."""
-    reader = spark.readStream.options(pathGlobFilter="*.csv*", recursiveFileLookup="true", **limits)
+    """New files of a folder as they arrive, whatever their names and times.
+
+    `limits` are reader options such as maxBytesPerTrigger; maxFileAge is `MAX_FILE_AGE` unless given.
+    """
+    options = {"recursiveFileLookup": "true", "maxFileAge": MAX_FILE_AGE, **limits}
+    reader = spark.readStream.options(**options)
     return reader.text(path).select("value", "_metadata")
 
 

@@ -78,6 +78,10 @@ class SupplierPipeline:
 
     def _process(self, lines: DataFrame, batch_id: int) -> str:
         last = self.tables.last_commit()
+        known, running = last and last.get("query_id"), self._query_id()
+        if known and running and known != running:
+            # A new checkpoint counts batches from 0 again; they would be taken for published ones and lost.
+            raise RuntimeError(f"the tables were written by streaming query {known}, this is {running}: restore its checkpoint or use new tables")
         if last is not None and last["batch_id"] >= batch_id:
             commit = last
         else:
@@ -88,6 +92,10 @@ class SupplierPipeline:
             self._logged(GOLD, batch_id, lambda: self._silver_to_gold(commit))
         return "SUCCESS: " + ", ".join(f"{name}={n}" for name, n in commit["counts"].items())
 
+    def _query_id(self) -> str | None:
+        """The id that the checkpoint holds; none outside a stream."""
+        return self.tables.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
     # Run log
 
     def _logged(self, job: tuple[str, str], batch_id: int, work: Callable[[], dict]) -> dict:
@@ -114,7 +122,7 @@ class SupplierPipeline:
             "end_time": self.clock().isoformat(sep=" "),
             **{f"rows_{name}": counts[name] for name in ("processed", "inserted", "updated", "rejected")},
             "status": "FAILED" if error else "SUCCESS",
-            "error_message": str(error)[:4000] if error else None,
+            "error_message": str(error) if error else None,
         }
         one = tables.spark.range(0, 1, 1, 1).select(*[F.lit(value).alias(column) for column, value in row.items()])
         tables.write_run(name, conform(one, PIPELINE_RUN_LOG))
@@ -175,6 +183,7 @@ class SupplierPipeline:
             "live": live,
             "last_ids": ids,
             "counts": counts,
+            "query_id": self._query_id() or last.get("query_id"),
         }
         tables.publish(commit)
         return commit
