@@ -88,14 +88,23 @@ def _gram_order(texts: DataFrame, words: int, fragments: int) -> GramOrder:
     return GramOrder(counts, fragments)
 
 
+def _common(percent: int) -> int:
+    """How many of their prefixes' n-grams two similar classes must share.
+
+    Different sets that are similar share percent / (100 - percent) n-grams at least, and up to so many may be asked
+    for. Three leave out nearly all pairs that meet by chance and make prefixes longer by two n-grams.
+    """
+    return max(1, min(3, -(-percent // (100 - percent)))) if percent < 100 else 3
+
+
 def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> DataFrame:
-    """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, key, n, place); key is the
-    start of cls as a number."""
+    """The rarest n-grams of each class, so many that two similar sets must share `_common` of them: (gram, cls, key, n,
+    place); key is the start of cls as a number."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cls, grams in _each_class(batches, words):
             size = len(grams)
-            prefix = order.places(grams)[: size - -(-percent * size // 100) + 1]
+            prefix = order.places(grams)[: size - -(-percent * size // 100) + _common(percent)]
             number = int.from_bytes(cls[:8], "big", signed=True)
             columns = [
                 pa.array(prefix.view(np.int64)),
@@ -120,23 +129,30 @@ def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> D
     return texts.mapInArrow(joined, "gram long, cls binary, key long, n int, place int")
 
 
-def _can_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
-    """Whether sets that share the n-gram at these places can be similar.
+def _can_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int, earlier: int = 0) -> Column:
+    """Whether sets that share the n-gram at these places, and at most `earlier` before it, can be similar.
 
     The first n-gram that two sets share bounds their intersection by what is left of either set from there on, so
-    every similar pair passes at least at that one.
+    every similar pair passes at least at that one; each later one has one less left.
     """
     sizes = (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n))
-    left = F.least(n - place, other_n - other_place).cast("long")
+    left = F.least(n - place, other_n - other_place).cast("long") + earlier
     return sizes & (left * (100 + percent) >= percent * (n.cast("long") + other_n))
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    """(low, high) with their sizes, each pair once."""
+def _pairs(met: DataFrame, percent: int, least: int) -> DataFrame:
+    """(low, high) with their sizes, each pair once: those that share `least` n-grams of `met` and pass `_can_link`.
+
+    `met` has one row for each n-gram at which two classes meet: cls, n, place, other, other_n, other_place.
+    """
+    places = (F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"))
+    met = met.filter(_can_link(*places, percent, _common(percent) - 1))
     first = F.col("cls") < F.col("other")
     low, high = F.when(first, F.col("cls")).otherwise(F.col("other")), F.when(first, F.col("other")).otherwise(F.col("cls"))
     low_n, high_n = F.when(first, F.col("n")).otherwise(F.col("other_n")), F.when(first, F.col("other_n")).otherwise(F.col("n"))
-    return joined.select(low.alias("low"), high.alias("high"), low_n.alias("low_n"), high_n.alias("high_n")).distinct()
+    both = met.select(low.alias("low"), high.alias("high"), low_n.alias("low_n"), high_n.alias("high_n"), _can_link(*places, percent).alias("near"))
+    found = both.groupBy("low", "high").agg(F.first("low_n").alias("low_n"), F.first("high_n").alias("high_n"), F.max("near").alias("near"), F.count("*").alias("times"))
+    return found.filter((F.col("times") >= least) & F.col("near")).drop("near", "times")
 
 
 def _slot(cls: Column) -> Column:
@@ -183,10 +199,11 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     union. Documents with equal sets form one class, found by a 128-bit digest, and classes are joined:
 
     1. Count n-grams, order them from rare to frequent and cut that order into fragments of equal weight.
-    2. Each class puts its rarest n-grams forward. Where an n-gram has several classes, all are paired with one of
-       them, so a group of near copies becomes a star and not all its pairs.
+    2. Each class puts its rarest n-grams forward, so many that similar classes share several of them (`_common`). Where
+       an n-gram has several classes, all are paired with one of them, so a group of near copies becomes a star and not
+       all its pairs; a pair counts that meets twice.
     3. Overlaps of these pairs are counted fragment by fragment and summed; links make components.
-    4. All other pairs that share such an n-gram, may be similar and lie in different components are checked likewise.
+    4. All other pairs that share several such n-grams, may be similar and lie in different components are checked likewise.
        So every link either is found or joins two that are in one component already.
 
     Null, empty and blank texts have an empty set and stay alone. Null doc_ids take part; a component made of them
@@ -211,19 +228,19 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     centres = shared.groupBy("gram").agg(F.min(F.struct("place", "cls", "n")).alias("centre"))
     star = shared.join(centres, "gram").filter("cls <> centre.cls")
     star = star.select("cls", "n", "place", F.col("centre.cls").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.place").alias("other_place"))
-    bound = _can_link(F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"), percent)
-    pairs = scratch.write(_pairs(star.filter(bound)), "star-pairs")
+    pairs = scratch.write(_pairs(star, percent, min(2, _common(percent))), "star-pairs")
     links = _links(pairs, texts, words, order, percent, scratch, "star")
     joined = scratch.write(connected_components(links, scratch, "first-stars"), "first-components")
 
-    grams = shared.select("gram", "cls", "n", "place").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
-    grams = grams.withColumn("component", F.coalesce("component", "cls"))
-    grams = scratch.write(grams, "gram-components")
+    # A class that shares fewer n-grams with others than a similar pair must has no link.
+    able = shared.groupBy("cls").agg(F.count("*").alias("times")).filter(F.col("times") >= _common(percent)).select("cls")
+    able = able.join(joined.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    grams = scratch.write(shared.select("gram", "cls", "n", "place").join(able, "cls"), "gram-components")
     mixed = grams.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("gram")
     left = grams.join(mixed, "gram", "left_semi")
     right = left.select("gram", *[F.col(c).alias(f"other_{c}") for c in ("cls", "n", "place", "component")])
-    crossing = left.join(right, "gram").filter((F.col("component") < F.col("other_component")) & bound)
-    rest = _pairs(crossing.withColumnRenamed("other_cls", "other")).join(pairs, ["low", "high"], "left_anti")
+    crossing = left.join(right, "gram").filter("component < other_component").withColumnRenamed("other_cls", "other")
+    rest = _pairs(crossing, percent, _common(percent)).join(pairs, ["low", "high"], "left_anti")
     rest = scratch.write(rest, "cross-pairs")
     links = links.unionByName(_links(rest, texts, words, order, percent, scratch, "cross"))
     joined = scratch.write(connected_components(links, scratch, "last-stars"), "last-components")
