@@ -8,29 +8,36 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vendorium.session import materialize
 
-# Width of a score bucket in points; further entries would bucket the buckets.
-# A score moves by 2/3 of a point per day of lead time and spans 80 points otherwise, in steps
-# of 0.004. So a bucket is reached by at most 270 lead times with 20,001 steps each: 5.4 million
-# distinct scores. The whole INT range of lead times fills no more than 14.4 million buckets.
+# Width of a score bucket in points, and how many buckets make one of the next level.
+# A score moves by 2/3 of a point per day of lead time and spans 80 points otherwise, in steps of 0.004. So a bucket
+# is reached by at most 122 lead times with 251 steps each: some 30,000 distinct scores, and usual scores (0 to 100)
+# fill a hundred buckets. The whole INT range of lead times fills no more than 150,000 buckets of the last level.
 # Neither figure depends on the number of rows.
-BUCKETS = (100,)
+BUCKETS = (1, 10_000)
+
+
+def _join_keeping_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which NULL keys are equal; the key columns come once, from the left."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    same = [left[key].eqNullSafe(renamed[f"_right_{key}"]) for key in keys]
+    return left.join(renamed, same).drop(*[f"_right_{key}" for key in keys])
 
 
 def rows_above(counts: DataFrame, value: str, by: Sequence[str] = (), widths: Sequence[int] = BUCKETS) -> DataFrame:
     """For each distinct `value` (within `by`), the rows that have a greater one.
 
     `counts` has one row per `by` and `value` with its number of rows `n`. The sum is
-    taken inside a bucket of values, and recursively over the buckets above it.
+    taken inside a bucket of values, and recursively over the buckets above it. NULL values come before all others.
     """
     if not widths:
-        above = Window.partitionBy(*by).orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+        above = Window.partitionBy(*by).orderBy(F.desc_nulls_first(value)).rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0)))
     bucket = f"_bucket{len(widths)}"
     bucketed = counts.withColumn(bucket, F.floor(F.col(value) / widths[0]))
     inside = rows_above(bucketed, value, [*by, bucket], ())
     totals = bucketed.groupBy(*by, bucket).agg(F.sum("n").alias("n"))
     higher = rows_above(totals, bucket, by, widths[1:]).withColumnRenamed("above", "_higher").drop("n")
-    joined = inside.join(higher, [*by, bucket])
+    joined = _join_keeping_nulls(inside, higher, [*by, bucket])
     return joined.withColumn("above", F.col("above") + F.col("_higher")).select(*by, value, "n", "above")
 
 
@@ -46,7 +53,7 @@ def score_ranks(df: DataFrame, score: str, group: str) -> DataFrame:
     per_score = counts.groupBy(score).agg(F.sum("n").alias("n"))
     overall = rows_above(per_score, score).select(score, (F.col("above") + 1).alias("overall_rank"))
     total = counts.agg(F.sum("n").alias("total_rows")).scalar()
-    return in_group.join(overall, score).withColumn("total_rows", total)
+    return _join_keeping_nulls(in_group, overall, [score]).withColumn("total_rows", total)
 
 
 def rank_by_score(df: DataFrame, score: str, group: str) -> DataFrame:
@@ -55,4 +62,4 @@ def rank_by_score(df: DataFrame, score: str, group: str) -> DataFrame:
     The join is on group and score with a unique right side, so it is broadcast when small
     and split by adaptive execution when one score is hot.
     """
-    return df.join(score_ranks(df, score, group), [group, score])
+    return _join_keeping_nulls(df, score_ranks(df, score, group), [group, score])
