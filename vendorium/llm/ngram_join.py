@@ -22,31 +22,31 @@ _LOW_MASK = (np.uint64(1) << _LOW_BITS) - np.uint64(1)
 _FILTER_BITS = 22  # classes that take part in a check are marked in 2**22 bits
 
 
-def _classes(batch: pa.RecordBatch, words: int) -> Iterator[tuple[bytes, np.ndarray]]:
-    """For each text of the batch's `text` column a 128-bit digest of its set, and the set as sorted hashes."""
+def _classes(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each text of the batch's `text` column the number of its set, a 64-bit digest, and the set as sorted hashes."""
     for at in range(0, batch.num_rows, 500):
         for values in shingle_sets(batch.column("text").slice(at, 500).to_pylist(), words):
-            yield hashlib.blake2b(values.tobytes(), digest_size=16).digest(), values
+            yield int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "big", signed=True), values
 
 
 def _members(docs: DataFrame, words: int, carry: Sequence[str]) -> DataFrame:
-    """doc_id, what is carried along, set size n, and the digest cls of the set."""
+    """doc_id, what is carried along, set size n, and the number cls of the set."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(len(values), cls) for cls, values in _classes(batch, words)]
-            arrays = [pa.array([n for n, _ in found], pa.int32()), pa.array([cls for _, cls in found], pa.binary())]
+            arrays = [pa.array([n for n, _ in found], pa.int32()), pa.array([cls for _, cls in found], pa.int64())]
             names = ["doc_id", *batch.schema.names[2:], "n", "cls"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *arrays], names=names)
 
-    return source.mapInArrow(make, f"doc_id long, {kinds + ', ' if kinds else ''}n int, cls binary")
+    return source.mapInArrow(make, f"doc_id long, {kinds + ', ' if kinds else ''}n int, cls long")
 
 
-def _each_class(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[bytes, np.ndarray]]:
+def _each_class(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray]]:
     """The classes of a task's texts, each once, without the empty set: copies go before anything is shuffled."""
-    seen: set[bytes] = set()
+    seen: set[int] = set()
     for batch in batches:
         for cls, grams in _classes(batch, words):
             if len(grams) and cls not in seen:
@@ -89,22 +89,19 @@ def _gram_order(texts: DataFrame, words: int, fragments: int) -> GramOrder:
 
 
 def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> DataFrame:
-    """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, key, n, place); key is the
-    start of cls as a number."""
+    """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, n, place)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cls, grams in _each_class(batches, words):
             size = len(grams)
             prefix = order.places(grams)[: size - -(-percent * size // 100) + 1]
-            number = int.from_bytes(cls[:8], "big", signed=True)
             columns = [
                 pa.array(prefix.view(np.int64)),
-                pa.array([cls] * len(prefix), pa.binary()),
-                pa.array(np.full(len(prefix), number, np.int64)),
+                pa.array(np.full(len(prefix), cls, np.int64)),
                 pa.array(np.full(len(prefix), size, np.int32)),
                 pa.array(np.arange(len(prefix), dtype=np.int32)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "cls", "key", "n", "place"])
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "cls", "n", "place"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -117,7 +114,7 @@ def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> D
         if rows:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    return texts.mapInArrow(joined, "gram long, cls binary, key long, n int, place int")
+    return texts.mapInArrow(joined, "gram long, cls long, n int, place int")
 
 
 def _can_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
@@ -140,7 +137,7 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 def _slot(cls: Column) -> Column:
-    return F.shiftright(F.conv(F.hex(F.substring(cls, 1, 3)), 16, 10).cast("int"), 24 - _FILTER_BITS)
+    return F.shiftrightunsigned(cls, 64 - _FILTER_BITS)
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, percent: int, scratch: Scratch, label: str) -> DataFrame:
@@ -157,15 +154,15 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, per
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(marked).astype(bool)
         for cls, grams in _each_class(batches, words):
-            if wanted[int.from_bytes(cls[:3], "big") >> (24 - _FILTER_BITS)]:
+            if wanted[(cls % 2**64) >> (64 - _FILTER_BITS)]:
                 places = order.places(grams)
                 bounds = [0, *np.searchsorted(places, order.pivots).tolist(), len(places)]
                 parts = [places[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict({"cls": pa.array([cls], pa.binary()), "parts": pa.array([parts], pa.list_(pa.list_(pa.int64())))})
+                yield pa.RecordBatch.from_pydict({"cls": pa.array([cls], pa.int64()), "parts": pa.array([parts], pa.list_(pa.list_(pa.int64())))})
 
     # A class read by several tasks comes several times; its parts are equal, so any will do. Both joins use this one
     # exchange.
-    parts = texts.mapInArrow(cut, "cls binary, parts array<array<long>>").groupBy("cls").agg(F.first("parts").alias("parts"))
+    parts = texts.mapInArrow(cut, "cls long, parts array<array<long>>").groupBy("cls").agg(F.first("parts").alias("parts"))
     low = parts.select(F.col("cls").alias("low"), F.col("parts").alias("low_parts"))
     high = parts.select(F.col("cls").alias("high"), F.col("parts").alias("high_parts"))
     partial = F.zip_with("low_parts", "high_parts", lambda a, b: F.size(F.array_intersect(a, b)).cast("long"))
@@ -177,10 +174,10 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, per
 
 def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, fragments: int = FRAGMENTS, carry: Sequence[str] = ()) -> DataFrame:
     """For every row its doc_id, what is carried along, its set size, its component's smallest doc_id and `component`,
-    a digest that tells components apart even where rows repeat a doc_id (null for an empty set).
+    a number that tells components apart even where rows repeat a doc_id (null for an empty set).
 
     Sets are distinct word n-grams (as `words.shingle_sets` has them); two link if 100 * intersection >= percent *
-    union. Documents with equal sets form one class, found by a 128-bit digest, and classes are joined:
+    union. Documents with equal sets form one class, found by a 64-bit digest, and classes are joined:
 
     1. Count n-grams, order them from rare to frequent and cut that order into fragments of equal weight.
     2. Each class puts its rarest n-grams forward. Where an n-gram has several classes, all are paired with one of
@@ -190,7 +187,8 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
        So every link either is found or joins two that are in one component already.
 
     Null, empty and blank texts have an empty set and stay alone. Null doc_ids take part; a component made of them
-    alone has null. Repeated rows are copies. Hashes have 64 bits within sets.
+    alone has null. Repeated rows are copies. Hashes have 64 bits, within sets and
+    of sets: among a thousand million different sets two are taken for one with a probability of 3 %.
 
     Sets are made from the texts in each step that needs them: five passes over `docs`, so it should be a stored
     table. Kept sets would take twice the room of the compressed texts.
@@ -201,9 +199,9 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     texts = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null")
     order = _gram_order(texts, words, fragments)
     prefixes = scratch.write(_prefixes(texts, words, order, percent), "gram-prefixes")
-    # Numbers alone are grouped here: nearly all n-grams have one class, and go no further.
-    several = prefixes.groupBy("gram").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
-    shared = prefixes.join(several.select("gram"), "gram").drop("key").distinct()
+    # Nearly all n-grams have one class, and go no further.
+    several = prefixes.groupBy("gram").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).filter("first < last")
+    shared = prefixes.join(several.select("gram"), "gram").distinct()
     shared = scratch.write(shared, "gram-shared")
     scratch.drop("gram-prefixes")
 
