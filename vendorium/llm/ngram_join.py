@@ -117,6 +117,11 @@ def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> D
     return texts.mapInArrow(joined, "gram long, cls long, n int, place int")
 
 
+def _left_out(n: Column, percent: int) -> Column:
+    """How many n-grams of a class with n are not among those that it puts forward."""
+    return F.floor((percent * n.cast("long") + 99) / 100) - 1
+
+
 def _can_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
     """Whether sets that share the n-gram at these places can be similar.
 
@@ -136,6 +141,19 @@ def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(low.alias("low"), high.alias("high"), low_n.alias("low_n"), high_n.alias("high_n")).distinct()
 
 
+def _sharing_enough(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs that share enough of the n-grams that both put forward; `rows` has (cls, gram) for all of
+    these. The others that two sets share come after the end of one prefix, so at most what that one left out.
+    """
+    grams = rows.groupBy("cls").agg(F.collect_list("gram").alias("grams"))
+    low = grams.select(F.col("cls").alias("low"), F.col("grams").alias("low_grams"))
+    high = grams.select(F.col("cls").alias("high"), F.col("grams").alias("high_grams"))
+    common = F.size(F.array_intersect("low_grams", "high_grams"))
+    most = common + F.greatest(_left_out(F.col("low_n"), percent), _left_out(F.col("high_n"), percent))
+    enough = (100 + percent) * most >= percent * (F.col("low_n").cast("long") + F.col("high_n"))
+    return pairs.join(low, "low").join(high, "high").filter(enough).select("low", "high", "low_n", "high_n")
+
+
 def _slot(cls: Column) -> Column:
     return F.shiftrightunsigned(cls, 64 - _FILTER_BITS)
 
@@ -183,7 +201,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     2. Each class puts its rarest n-grams forward. Where an n-gram has several classes, all are paired with one of
        them, so a group of near copies becomes a star and not all its pairs.
     3. Overlaps of these pairs are counted fragment by fragment and summed; links make components.
-    4. All other pairs that share such an n-gram, may be similar and lie in different components are checked likewise.
+    4. All other pairs that share enough such n-grams to be similar and lie in different components are checked likewise.
        So every link either is found or joins two that are in one component already.
 
     Null, empty and blank texts have an empty set and stay alone. Null doc_ids take part; a component made of them
@@ -222,7 +240,9 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     right = left.select("gram", *[F.col(c).alias(f"other_{c}") for c in ("cls", "n", "place", "component")])
     crossing = left.join(right, "gram").filter((F.col("component") < F.col("other_component")) & bound)
     rest = _pairs(crossing.withColumnRenamed("other_cls", "other")).join(pairs, ["low", "high"], "left_anti")
-    rest = scratch.write(rest, "cross-pairs")
+    rest = scratch.write(rest, "cross-candidates")
+    # Every n-gram that classes of two components share is in `left`.
+    rest = scratch.write(_sharing_enough(rest, left.select("cls", "gram"), percent), "cross-pairs")
     links = links.unionByName(_links(rest, texts, words, order, percent, scratch, "cross"))
     joined = scratch.write(connected_components(links, scratch, "last-stars"), "last-components")
 
