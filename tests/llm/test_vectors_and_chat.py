@@ -102,3 +102,22 @@ def test_calls(spark):
     assert found[2, "x"].error == "unknown tool sub" and found[2, "c1"].error == "cycle" and found[2, "c2"].error == "arguments.c: not allowed"
     assert found[3, "late"].error == "result before call" and json.loads(found[3, "late"].json)["result"] == "é"
     assert chat.link_calls(*[frame.limit(0) for frame in frames], SCHEMAS).collect() == []
+
+
+def test_every_row_of_conversations_comes_out(spark):
+    rows = [
+        (1, 0, "system", "be kind"), (1, 1, "user", "a"), (1, 3, "assistant", "after a gap"), (1, 4, "assistant", "again"), (1, 5, "user", "b"), (1, 6, "tool", "t"), (1, 7, "assistant", "B"),
+        (2, 0, "assistant", "hello"), (2, 1, "user", "x"), (2, 1, "user", "x y"), (2, 1, "user", "x"), (2, 2, None, "?"), (None, 1, "user", "lost"), (3, None, "user", "when"), (3, 1, "user", None),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.link_conversations(table).collect()
+    calls = {r.call_id: r for r in found if r.kind == "call"}
+    result = {i: json.loads(r.json)["result"] for i, r in calls.items()}
+    assert result == {"1-1": "after a gap", "1-5": "B", "2-1": None, "3-1": None}
+    assert calls["1-5"].level == 2 and calls["2-1"].repeats == 2
+    others = [(r.kind, r.conv_id, r.call_id, r.turn, json.loads(r.json)["text"], r.repeats) for r in found if r.kind != "call"]
+    assert sorted(others, key=str) == sorted([
+        ("message", 1, None, 0, "be kind", 0), ("result", 1, "1-1", 4, "again", 0), ("message", 1, None, 6, "t", 0), ("result", 2, None, 0, "hello", 0), ("repeat", 2, "2-1", 1, "x", 1),
+        ("message", 2, None, 2, "?", 0), ("message", None, None, 1, "lost", 0), ("message", 3, None, None, "when", 0),
+    ], key=str)
+    assert sum(1 + o[5] for o in others) + len(calls) + sum(r.result_turn is not None for r in calls.values()) == len(rows)

@@ -131,21 +131,98 @@ def link_calls(calls: DataFrame, results: DataFrame, needs: DataFrame, schemas:
 REPLY_SCHEMA = {"reply": {"type": "object", "required": ["text", "turn"], "additionalProperties": False, "properties": {"text": {"type": "string"}, "turn": {"type": "integer"}, "after": {"type": "string"}}}}
 
 
+def _last_asked(turns: DataFrame, scratch: Scratch) -> DataFrame:
+    """(conv_id, turn, before): for each turn the last one before it, in its conversation, that has a user's row.
+
+    Turns are cut into ranges of (conv_id, turn) and looked through in each by itself, so no task reads a long
+    conversation whole. What comes before a range is the last user's turn of the ranges before it; the driver gets one
+    row for each range.
+    """
+    distinct = turns.groupBy("conv_id", "turn").agg(F.coalesce(F.bool_or(F.col("role") == "user"), F.lit(False)).alias("asked"))
+    parts = scratch.write(distinct.repartitionByRange("conv_id", "turn").withColumn("part", F.spark_partition_id()), "turn-ranges")
+    lasts = parts.groupBy("part").agg(F.max(F.when(F.col("asked"), F.struct("conv_id", "turn"))).alias("last"))
+    carried, last = [], None
+    for row in sorted(lasts.collect()):
+        carried.append((row.part, *(last or (None, None))))
+        last = row["last"] or last
+    carried = turns.sparkSession.createDataFrame(carried, "part int, last_conv long, last_turn long")
+    ahead = Window.partitionBy("part", "conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    within = parts.withColumn("within", F.max(F.when(F.col("asked"), F.col("turn"))).over(ahead))
+    earlier = F.when(F.col("last_conv") == F.col("conv_id"), F.col("last_turn"))
+    found = within.join(F.broadcast(carried), "part").select("conv_id", "turn", F.coalesce("within", earlier).alias("before"))
+    found = scratch.write(found, "last-asked")
+    scratch.drop("turn-ranges")
+    return found
+
+
+def _typed(conversations: DataFrame) -> DataFrame:
+    return conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+
+
+_PLACED = "conv_id is not null and turn is not null"
+
+
 def reply_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Calls, results and needs from plain conversations: a user's turn asks for the assistant's next one."""
-    turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
+    """Calls, results and needs from plain conversations: a user's row asks, assistant's rows answer the last user's
+    turn before them. Assistant's rows with no such turn have a null call_id."""
+    turns = _typed(conversations).filter(_PLACED)
+    before = _last_asked(turns, Scratch(conversations.sparkSession))
     name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
-    asked = turns.filter((F.col("role") == "user") & F.col("turn").isNotNull())
-    before = F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
-    asked = asked.groupBy("conv_id", "turn").agg(F.min("text").alias("text")).withColumn("before", before)
-    arguments = F.to_json(F.struct("text", "turn", F.when(F.col("before").isNotNull(), name(F.col("before"))).alias("after")))
+    previous = F.when(F.col("before").isNotNull(), name(F.col("before")))
+    asked = turns.filter("role = 'user'").join(before, ["conv_id", "turn"])
+    arguments = F.to_json(F.struct("text", "turn", previous.alias("after")))
     calls = asked.select("conv_id", "turn", name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"))
-    needs = asked.filter("before is not null").select("conv_id", name(F.col("turn")).alias("call_id"), name(F.col("before")).alias("needed"))
-    said = turns.filter((F.col("role") == "assistant") & F.col("turn").isNotNull())
-    results = said.select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    needs = before.join(turns.filter("role = 'user'").select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
+    needs = needs.filter("before is not null").select("conv_id", name(F.col("turn")).alias("call_id"), name(F.col("before")).alias("needed"))
+    said = turns.filter("role = 'assistant'").join(before, ["conv_id", "turn"])
+    results = said.select("conv_id", "turn", previous.alias("call_id"), F.col("text").alias("content"))
     return calls, results, needs
 
 
+def _further(rows: DataFrame, content: str) -> DataFrame:
+    """Of rows (conv_id, call_id, turn, content) all but the one of each call that `link_calls` takes, equal rows as
+    one with their number as `copies`."""
+    keys = ["conv_id", "call_id"]
+    several = rows.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1").select(*keys)
+    each = rows.join(several, keys, "left_semi").groupBy(*keys, "turn", content).agg(F.count("*").alias("copies"))
+    taken = each.groupBy(*keys).agg(F.min(F.struct("turn", content)).alias("taken"))
+    same = F.col("turn").eqNullSafe(F.col("taken.turn")) & F.col(content).eqNullSafe(F.col(f"taken.{content}"))
+    left = each.join(taken, keys).withColumn("copies", F.col("copies") - same.cast("long"))
+    return left.filter("copies > 0").select(*keys, "turn", content, "copies")
+
+
+def other_rows(conversations: DataFrame, calls: DataFrame, results: DataFrame) -> DataFrame:
+    """The rows of conversations that are neither the call nor the result in a row of `link_calls`, by `kind`:
+
+    `repeat`, another user's row of a call's turn; `result`, an assistant's row after a call that has an earlier result,
+    or (call_id null) after none; `message`, a row of another role, or without conv_id, turn or role. Columns are those
+    of `link_calls`; json has role and text, and `repeats` counts further equal repeats or results.
+    """
+    ship(conversations.sparkSession)
+    turns = _typed(conversations)
+    message = turns.filter(~(F.expr(_PLACED) & F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))))
+    nothing, once = F.lit(None).cast("string").alias("call_id"), F.lit(1).cast("long").alias("copies")
+    text = F.from_json("arguments", "text string")["text"].alias("text")
+    whole = message.select("conv_id", nothing, "turn", "role", "text", once, F.lit("message").alias("kind"))
+    result = [results.filter("call_id is null").withColumn("copies", once), _further(results.filter("call_id is not null"), "content")]
+    for rows in result:
+        whole = whole.unionByName(rows.select("conv_id", "call_id", "turn", F.lit("assistant").alias("role"), F.col("content").alias("text"), "copies", F.lit("result").alias("kind")))
+    whole = whole.unionByName(_further(calls, "arguments").select("conv_id", "call_id", "turn", F.lit("user").alias("role"), text, "copies", F.lit("repeat").alias("kind")))
+
+    @F.pandas_udf("string")
+    def written(role: pd.Series, text: pd.Series) -> pd.Series:
+        return pd.Series([canonical({"role": r, "text": t}) for r, t in zip(role, text, strict=True)], dtype=object)
+
+    null = lambda kind: F.lit(None).cast(kind)
+    return whole.select("conv_id", "call_id", "turn", null("int").alias("level"), null("long").alias("result_turn"), (F.col("copies") - 1).alias("repeats"), null("string").alias("error"), written("role", "text").alias("json"), "kind")
+
+
+def link_conversations(conversations: DataFrame) -> DataFrame:
+    """Every row of conversations: as a call, as the result in a call's row, or as a row of `other_rows`."""
+    calls, results, needs = reply_calls(conversations)
+    linked = link_calls(calls, results, needs, REPLY_SCHEMA).withColumn("kind", F.lit("call"))
+    return linked.unionByName(other_rows(conversations, calls, results))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results, needs = reply_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return link_calls(calls, results, needs, REPLY_SCHEMA)
+    return link_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
