@@ -121,3 +121,33 @@ def test_every_row_of_conversations_comes_out(spark):
         ("message", 2, None, 2, "?", 0), ("message", None, None, 1, "lost", 0), ("message", 3, None, None, "when", 0),
     ], key=str)
     assert sum(1 + o[5] for o in others) + len(calls) + sum(r.result_turn is not None for r in calls.values()) == len(rows)
+
+
+def test_long_conversation_takes_few_turns(spark, monkeypatch):
+    rows = [(7, n, "user", "q") for n in range(300)] + [(6, n, "user", "q") for n in range(3)] + [(7, 1000, "assistant", "last"), (8, 0, "assistant", "none")]
+    tables, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, label: tables.append(label) or write(self, df, label))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = chat.link_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    calls = {(r.conv_id, r.turn): r for r in found if r.kind == "call"}
+    assert {key: r.level for key, r in calls.items()} == {key: key[1] + 1 for key in calls} and len(calls) == 303
+    assert [key for key, r in calls.items() if r.result_turn is not None] == [(7, 299)]
+    assert all(json.loads(r.json)["arguments"].get("after") == (f"{r.conv_id}-{r.turn - 1}" if r.turn else None) for r in calls.values())
+    assert [r.conv_id for r in found if r.kind == "result"] == [8] and len(tables) < 20
+
+
+def test_levels_of_many_needs(spark):
+    random = np.random.default_rng(5)
+    needs = {n: {int(x) for x in random.integers(max(0, n - 9), n, random.integers(0, 4))} if n % 40 else set() for n in range(200)}
+    needs[50].add(60)  # 50 and what is behind it may be on a cycle
+    needs[60].add(50)
+    level = {}
+    while more := [n for n in needs if n not in level and all(m in level for m in needs[n])]:
+        level |= {n: 1 + max((level[m] for m in needs[n]), default=0) for n in more}
+    calls = spark.createDataFrame([(1, str(n)) for n in needs], "conv_id long, call_id string")
+    pairs = spark.createDataFrame([(1, str(n), str(m)) for n in needs for m in needs[n]], "conv_id long, call_id string, needed string")
+    found = {int(r.call_id): r.level for r in chat.call_levels(calls, pairs, Scratch(spark)).collect()}
+    assert found == {n: level.get(n) for n in needs} and 0 < len(level) < 200

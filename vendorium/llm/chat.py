@@ -49,37 +49,45 @@ def problem(value: Any, schema: dict, path: str = "$") -> str | None:
 def call_levels(calls: DataFrame, needs: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv_id, call_id, level): 1 for calls that need no other, else one more than the highest they need.
 
-    Sorting by level, then by anything, is a topological order. Each turn settles the calls all of whose needs are
-    settled, so turns are as many as the longest chain. Calls on a cycle, or behind one, never settle: null. Needs
-    for calls that do not exist are ignored.
+    Sorting by level, then by anything, is a topological order. Calls on a cycle, or behind one, never settle: null.
+    Needs for calls that do not exist are ignored.
+
+    One table holds a row for each call: its open needs, each with the distance to it, and the level that it has at
+    least. In each turn a need of a settled call is done, and a need of a call with a single open need is passed on
+    to that one, so distances double and turns grow with the logarithm of a chain. Only calls with several open needs
+    that do not come down to one are waited for: where such calls build on each other, turns grow with their number.
+    A call all of whose needs are settled settles in the next turn, so a turn that settles none is the last.
     """
     keys = ["conv_id", "call_id"]
     distinct = calls.select(*keys).distinct()
     existing = distinct.withColumnsRenamed({"call_id": "needed"})
-    needs = needs.select(*keys, "needed").distinct().join(existing, ["conv_id", "needed"], "left_semi").join(distinct, keys, "left_semi")
-    needs = scratch.write(needs, "needs")
-    total = needs.groupBy(*keys).agg(F.count("*").alias("open"))
-    settled = distinct.join(total, keys, "left_anti").withColumn("level", F.lit(1))
-    settled = scratch.write(settled, "level-1")
-    level, parts = 1, [settled]
-    last = settled
-    waiting = scratch.write(total, "waiting-1")
-    while not waiting.isEmpty():
-        freed = needs.join(last.select("conv_id", F.col("call_id").alias("needed")), ["conv_id", "needed"])
-        done = freed.groupBy(*keys).agg(F.count("*").alias("done"))
-        left = scratch.write(waiting.join(done, keys, "left").select(*keys, (F.col("open") - F.coalesce("done", F.lit(0))).alias("open")), f"left-{level}")
-        level += 1
-        last = scratch.write(left.filter("open = 0").select(*keys, F.lit(level).alias("level")), f"level-{level}")
-        waiting = scratch.write(left.filter("open > 0"), f"waiting-{level}")
-        scratch.drop(f"left-{level - 1}", f"waiting-{level - 1}")
-        if last.isEmpty():
-            parts.append(waiting.select(*keys, F.lit(None).cast("int").alias("level")))
+    needs = needs.select(*keys, "needed").distinct().join(existing, ["conv_id", "needed"], "left_semi")
+    needs = needs.groupBy(*keys).agg(F.collect_list(F.struct("needed", F.lit(1).alias("ahead"))).alias("needs"))
+    none = F.array().cast("array<struct<needed:string,ahead:int>>")
+    state = distinct.join(needs, keys, "left").select(*keys, F.lit(1).alias("least"), F.coalesce("needs", none).alias("needs"))
+    state = scratch.write(state, "levels-0")
+    turn, before = 0, state.filter("size(needs) > 0").count()
+    while before:
+        turn += 1
+        open_ = state.filter("size(needs) > 0")
+        each = open_.select(*keys, F.explode("needs").alias("need")).select(*keys, "need.*")
+        single = F.when(F.size("needs") == 1, F.col("needs")[0])
+        known = state.select("conv_id", F.col("call_id").alias("needed"), F.col("least").alias("known"), F.size("needs").alias("open"), single.alias("next"))
+        # What a call with several open needs has at least it gets to know when they are done, so that is not passed on.
+        gained = F.when(F.col("open") < 2, F.col("known") + F.col("ahead"))
+        target = F.when(F.col("open") == 1, F.struct(F.col("next.needed").alias("needed"), (F.col("next.ahead") + F.col("ahead")).alias("ahead"))).when(F.col("open") > 1, F.struct("needed", "ahead"))
+        moved = each.join(known, ["conv_id", "needed"]).select(*keys, gained.alias("gained"), target.alias("target"))
+        moved = moved.repartition(*keys).groupBy(*keys, F.col("target.needed").alias("needed")).agg(F.max("gained").alias("gained"), F.max("target.ahead").alias("ahead"))
+        left = F.collect_list(F.when(F.col("needed").isNotNull(), F.struct("needed", "ahead")))
+        moved = moved.groupBy(*keys).agg(F.max("gained").alias("gained"), left.alias("left"))
+        stepped = open_.join(moved, keys).select(*keys, F.greatest("least", "gained").alias("least"), F.col("left").alias("needs"))
+        state = scratch.write(state.filter("size(needs) = 0").unionByName(stepped), f"levels-{turn}")
+        scratch.drop(f"levels-{turn - 1}")
+        waiting = state.filter("size(needs) > 0").count()
+        if waiting == before:
             break
-        parts.append(last)
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        before = waiting
+    return state.select(*keys, F.when(F.size("needs") == 0, F.col("least")).alias("level"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, needs: DataFrame, schemas: dict[str, dict]) -> DataFrame:
