@@ -151,3 +151,20 @@ def test_levels_of_many_needs(spark):
     pairs = spark.createDataFrame([(1, str(n), str(m)) for n in needs for m in needs[n]], "conv_id long, call_id string, needed string")
     found = {int(r.call_id): r.level for r in chat.call_levels(calls, pairs, Scratch(spark)).collect()}
     assert found == {n: level.get(n) for n in needs} and 0 < len(level) < 200
+
+
+@pytest.mark.parametrize(("schema", "good", "bad"), [
+    ({"type": ["string", "null"]}, [None, "a"], [1, True]), ({"const": 1}, [1], [True, 2]), ({"enum": [0, "a"]}, [0, "a"], [False, None]), ({"minimum": 1, "maximum": 3}, [1, 3, "a"], [0, 4]), ({"exclusiveMinimum": 1}, [1.5], [1]),
+    ({"pattern": "^a"}, ["ab", 3], ["ba"]), ({"minLength": 2, "maxLength": 3}, ["ab"], ["a", "abcd"]), ({"minItems": 1, "maxItems": 2}, [[1]], [[], [1, 2, 3]]), ({"anyOf": [{"type": "string"}, {"minimum": 5}]}, ["a", 6], [4]),
+    ({"oneOf": [{"minimum": 1}, {"maximum": 3}]}, [0, 4], [2]), ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, [2], [0, 4]), ({"not": {"type": "null"}}, [1], [None]), ({"properties": {"a": True}, "additionalProperties": {"type": "integer"}}, [{"a": "x", "b": 1}], [{"b": "x"}]),
+])
+def test_schema_keywords(schema, good, bad):
+    chat.refuse_unknown(schema, "tool")
+    assert [value for value in good if chat.problem(value, schema)] == [] and [value for value in bad if not chat.problem(value, schema)] == []
+
+
+@pytest.mark.parametrize("schema", [{"$ref": "#/x"}, {"properties": {"a": {"format": "date"}}}, {"anyOf": [{"type": "text"}]}, {"items": [{}]}, {"pattern": "("}])
+def test_unknown_schema_keywords_are_refused(spark, schema):
+    nothing = spark.createDataFrame([], "conv_id long, turn long, call_id string, name string, arguments string, content string, needed string")
+    with pytest.raises(ValueError, match="^tool"):
+        chat.link_calls(nothing, nothing, nothing, {"tool": schema})

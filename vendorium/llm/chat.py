@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -20,25 +21,94 @@ def canonical(value: Any) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-def problem(value: Any, schema: dict, path: str = "$") -> str | None:
-    """What first breaks the schema: `type`, `enum`, `required`, `properties`, `additionalProperties`, `items`."""
-    if (kind := schema.get("type")) is not None:
-        fits = isinstance(value, _KINDS[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
-        if not fits:
-            return f"{path}: not of type {kind}"
-    if "enum" in schema and value not in schema["enum"]:
+_LIMITS = ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "minItems", "maxItems")
+_CHECKED = {"type", "enum", "const", "required", "properties", "additionalProperties", "items", "pattern", "anyOf", "oneOf", "allOf", "not", *_LIMITS}
+_NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "$schema", "$id", "$comment"}
+
+
+def refuse_unknown(schema: Any, path: str) -> None:
+    """Raise ValueError where a schema holds what `problem` does not check, such as `$ref` or `format`."""
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict):
+        raise ValueError(f"{path}: no schema")
+    if unknown := sorted(set(schema) - _CHECKED - _NOTES):
+        raise ValueError(f"{path}: {', '.join(unknown)} cannot be checked")
+    kinds = schema.get("type", [])
+    if unknown := [kind for kind in ([kinds] if isinstance(kinds, str) else kinds) if kind not in _KINDS]:
+        raise ValueError(f"{path}: unknown type {unknown[0]}")
+    if "pattern" in schema:
+        try:
+            re.compile(schema["pattern"])
+        except re.error as wrong:
+            raise ValueError(f"{path}: pattern: {wrong}") from wrong
+    for name, inner in schema.get("properties", {}).items():
+        refuse_unknown(inner, f"{path}.{name}")
+    for word in ("anyOf", "oneOf", "allOf"):
+        for place, inner in enumerate(schema.get(word, ())):
+            refuse_unknown(inner, f"{path}.{word}[{place}]")
+    for word in ("additionalProperties", "items", "not"):
+        if word in schema:
+            refuse_unknown(schema[word], f"{path}.{word}")
+
+
+def _same(a: Any, b: Any) -> bool:
+    """Equality of JSON values: true is not 1."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_same(a[name], b[name]) for name in a)
+    return a == b
+
+
+def _beyond(value: Any, schema: dict) -> str | None:
+    """The limit that a number, text or list breaks."""
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        measures = {"minimum": lambda x: value >= x, "maximum": lambda x: value <= x, "exclusiveMinimum": lambda x: value > x, "exclusiveMaximum": lambda x: value < x}
+    elif isinstance(value, str):
+        measures = {"minLength": lambda x: len(value) >= x, "maxLength": lambda x: len(value) <= x}
+    elif isinstance(value, list):
+        measures = {"minItems": lambda x: len(value) >= x, "maxItems": lambda x: len(value) <= x}
+    else:
+        measures = {}
+    return next((word for word, holds in measures.items() if word in schema and not holds(schema[word])), None)
+
+
+def problem(value: Any, schema: dict | bool, path: str = "$") -> str | None:
+    """What first breaks the schema; it may hold the keywords in `_CHECKED` (see `refuse_unknown`)."""
+    if isinstance(schema, bool):
+        return None if schema else f"{path}: not allowed"
+    if (kinds := schema.get("type")) is not None:
+        listed = [kinds] if isinstance(kinds, str) else kinds
+        if not any(isinstance(value, _KINDS[kind]) and not (isinstance(value, bool) and kind in ("integer", "number")) for kind in listed):
+            return f"{path}: not of type {' or '.join(listed)}"
+    if "enum" in schema and not any(_same(value, one) for one in schema["enum"]):
         return f"{path}: not one of the values"
+    if "const" in schema and not _same(value, schema["const"]):
+        return f"{path}: not the value"
+    if broken := _beyond(value, schema):
+        return f"{path}: against {broken} {schema[broken]}"
+    if "pattern" in schema and isinstance(value, str) and not re.search(schema["pattern"], value):
+        return f"{path}: against pattern {schema['pattern']}"
+    for inner in schema.get("allOf", ()):
+        if found := problem(value, inner, path):
+            return found
+    if "anyOf" in schema and all(problem(value, inner, path) for inner in schema["anyOf"]):
+        return f"{path}: fits none of anyOf"
+    if "oneOf" in schema and sum(problem(value, inner, path) is None for inner in schema["oneOf"]) != 1:
+        return f"{path}: fits not one of oneOf"
+    if "not" in schema and problem(value, schema["not"], path) is None:
+        return f"{path}: fits what it must not"
     if isinstance(value, dict):
         for name in sorted(schema.get("required", ())):
             if name not in value:
                 return f"{path}.{name}: missing"
         known = schema.get("properties", {})
         for name in sorted(value):
-            if name in known:
-                if found := problem(value[name], known[name], f"{path}.{name}"):
-                    return found
-            elif schema.get("additionalProperties", True) is False:
-                return f"{path}.{name}: not allowed"
+            if found := problem(value[name], known.get(name, schema.get("additionalProperties", True)), f"{path}.{name}"):
+                return found
     if isinstance(value, list) and "items" in schema:
         for place, item in enumerate(value):
             if found := problem(item, schema["items"], f"{path}[{place}]"):
@@ -99,8 +169,11 @@ def link_calls(calls: DataFrame, results: DataFrame, needs: DataFrame, schemas:
     smallest name and arguments; `repeats` counts the others. Rows without conv_id or call_id take no part. Returns
     conv_id, call_id, turn, level (see `call_levels`), result_turn, repeats, error and json; error names the first
     fault (unknown tool, arguments that are no JSON or break the schema, a cycle, a result before its call) and is
-    null for good calls; a call without result has a null result. Output order is level, turn, call_id.
+    null for good calls; a call without result has a null result. Output order is level, turn, call_id. Raises
+    ValueError for a schema with keywords that are not checked.
     """
+    for name, schema in schemas.items():
+        refuse_unknown(schema, name)
     ship(calls.sparkSession)
     scratch = Scratch(calls.sparkSession)
     keys = ["conv_id", "call_id"]
