@@ -274,3 +274,11 @@ def test_toxicity(spark, make_docs, awkward, empty):
     assert toxicity.score_documents(empty, weights).collect() == []
     unlearned = toxicity.train(docs, labels.limit(0))
     assert {r.score for r in toxicity.score_documents(awkward, unlearned).collect()} == {0.0}
+
+
+def test_features_depend_on_the_text_alone():
+    from vendorium.llm.toxicity import feature_places
+
+    for text in ("you idiot", "idiot", "", "one two three"):
+        (alone,), among = feature_places([text]), list(feature_places([text, "some words that come after"]))
+        assert alone.tolist() == among[0].tolist()

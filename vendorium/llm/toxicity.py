@@ -56,7 +56,7 @@ def feature_places(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         words = Words(encoded[first:last])
         single = words.hashes()
         kinds = [single, *(chain(words.hashes(size), np.uint64(size)) for size in STEMS)]
-        pairs = [(chain(single[:-ahead], single[ahead:] + np.uint64(ahead)), ahead) for ahead in (1, 2)] if len(single) > 2 else []
+        pairs = [(chain(single[:-ahead], single[ahead:] + np.uint64(ahead)), ahead) for ahead in (1, 2) if len(single) > ahead]
         kinds = [(values >> shift).astype(np.int32) for values in kinds]
         pairs = [((values >> shift).astype(np.int32), ahead) for values, ahead in pairs]
         for start, end in zip(words.bounds[:-1], words.bounds[1:], strict=True):
