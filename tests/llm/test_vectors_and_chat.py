@@ -68,6 +68,17 @@ def test_top_k(spark, monkeypatch):
     assert bit_sliced.top_k(spark.createDataFrame([], VECTORS), F.lit(True)).collect() == []
 
 
+def test_top_k_with_large_components(spark):
+    rows = [(0, [1.0, 2.0], 1, "x"), (1, [2.0**21, 1.0], 1, "x"), (2, [-(2.0**30), 3.0], 1, "x"), (3, [0.5, 2.0**22], 1, "x"), (4, [1.0, 1.0], 1, "x"), (6, [2.0**20, -1.0], 1, "x")]
+    found = bit_sliced.top_k(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 3 == 0, k=4).collect()
+    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v, _, _ in rows}
+    expected = set()
+    for i in (0, 3, 6):
+        best = sorted((-sum(a * b for a, b in zip(whole[i], y, strict=True)), j) for j, y in whole.items() if j != i)[:4]
+        expected |= {(i, rank, j, -score) for rank, (score, j) in enumerate(best, start=1)}
+    assert {tuple(r) for r in found} == expected and len(found) == len(expected)
+
+
 def test_components(spark):
     random = np.random.default_rng(4)
     edges = [(int(a), int(a) + 1) for a in range(0, 40) if a % 10 != 9] + [tuple(map(int, random.integers(100, 140, 2))) for _ in range(25)]

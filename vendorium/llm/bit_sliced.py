@@ -17,7 +17,13 @@ SCALE = 1024
 K = 10
 BLOCK_ROWS = 16_384  # rows of one index block
 QUERY_ROWS = 128  # queries that meet a block together
-_LARGEST = 2.0**20  # larger components could overflow a score
+_INT64 = 2.0**63
+_LEAST = -(2**63)
+
+
+def _narrow(dims: int) -> float:
+    """Quantised components below this fit 32 bits and can't overflow a score on slices."""
+    return min(2.0**30, (2.0**59 / max(1, dims)) ** 0.5)
 
 
 class Slices:
@@ -109,31 +115,54 @@ class Slices:
         return self.ids[rows], scores
 
 
+def _unpacked(raw: bytes, rows: int, dims: int) -> np.ndarray:
+    """rows x dims integers from what `quantised` packs."""
+    kind = "<i8" if len(raw) == 8 * rows * dims else "<i4"
+    return np.frombuffer(raw, dtype=kind).reshape(rows, dims).astype(np.int64)
+
+
+def exact_top(ids: np.ndarray, values: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As `Slices.top`, without slices, for components of any size. Raises OverflowError for a score over 64 bits; one
+    below them is given as the least number of 64 bits."""
+    if np.abs(values.astype(float)).max() * np.abs(query.astype(float)).sum() < _INT64 / 2:
+        scores = values @ query
+    else:
+        scores = values.astype(object) @ query.astype(object)
+    best = sorted((-int(score), int(i)) for score, i in zip(scores, ids, strict=True) if i != own)[:k]
+    if best and -best[0][0] >= 2**63:
+        raise OverflowError(f"a score of vec_id {own} does not fit 64 bits")
+    return np.array([i for _, i in best], np.int64), np.array([max(-score, _LEAST) for score, _ in best], np.int64)
+
+
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id, dim and floor(scale * component) as little-endian 32-bit integers, of usable vectors."""
+    """vec_id, dim and floor(scale * component) as little-endian 32-bit integers, or 64-bit ones where a component is
+    large, of usable vectors. Components that do not fit 64 bits raise OverflowError, as in the SQL."""
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, matrix in by_dimension(batch.column(1)):
-                values = np.floor(scale * matrix).astype("<i4")
+                values = np.floor(scale * matrix)
+                if ((values >= _INT64) | (values < -_INT64)).any():
+                    raise OverflowError("a component times the scale does not fit 64 bits")
+                wide = np.abs(values).max(axis=1) >= _narrow(values.shape[1])
                 yield pa.RecordBatch.from_pydict({
                     "vec_id": batch.column(0).take(pa.array(rows)),
                     "dim": pa.array([values.shape[1]] * len(rows), pa.int32()),
-                    "values": pa.array([row.tobytes() for row in values], pa.binary()),
+                    "values": pa.array([row.astype("<i8" if large else "<i4").tobytes() for row, large in zip(values, wide, strict=True)], pa.binary()),
                 })
 
-    small = F.forall("v", lambda x: F.abs(x) < _LARGEST)
-    return source.filter(F.col("vec_id").isNotNull() & is_usable(F.col("v")) & small).mapInArrow(make, "vec_id long, dim int, values binary")
+    return source.filter(F.col("vec_id").isNotNull() & is_usable(F.col("v"))).mapInArrow(make, "vec_id long, dim int, values binary")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE) -> DataFrame:
     """For each row that `is_query` (on vec_id) picks: rank, vec_id and score of the k best other rows.
 
     Rows are cut into blocks by a hash of vec_id and queries likewise; each pair of blocks is one group, with at most
-    k rows for each query as its result, and the best of these are ranked. Vectors that are null, empty, or hold null
-    or non-finite components, and those without an id or with components of 2**20 and more, take no part. Only
-    vectors of one length are compared. Rows that repeat a vec_id are candidates each; a query's own id is none.
+    k rows for each query as its result, and the best of these are ranked. Vectors with large components are in blocks
+    of their own; what meets them, or is one of them, is scored without slices. Vectors that are null, empty, or hold
+    null or non-finite components, and those without an id, take no part. Only vectors of one length are compared.
+    Components and scores among the k best that do not fit 64 bits are an error. Rows that repeat a vec_id are candidates each; a query's own id is none.
     Equal query rows count once. A query without candidates has no rows.
     """
     spark = vectors.sparkSession
@@ -141,29 +170,35 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
     scratch = Scratch(spark)
     rows = scratch.write(quantised(vectors, scale), "quantised")
     queries = rows.filter(is_query).distinct()
-    total, asked = rows.agg(F.count("*"), F.count_if(is_query)).first()
+    large = F.length("values") > 4 * F.col("dim")
+    total, asked, wides = rows.agg(F.count("*"), F.count_if(is_query), F.count_if(large)).first()
     blocks, asks = max(1, -(-total // BLOCK_ROWS)), max(1, -(-asked // QUERY_ROWS))
     part = lambda number, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(number)).cast("int")
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        values = np.frombuffer(b"".join(frame["values"]), dtype="<i4").reshape(len(frame), -1)
+        values = b"".join(frame["values"])
         ids = frame["vec_id"].to_numpy(np.int64)
-        return pd.DataFrame({"dim": [int(frame["dim"].iloc[0])], "block": [int(frame["block"].iloc[0])], "ids": [ids.tobytes()], "rows": [values.tobytes()]})
+        return pd.DataFrame({"dim": [int(frame["dim"].iloc[0])], "block": [int(frame["block"].iloc[0])], "ids": [ids.tobytes()], "rows": [values]})
 
-    index = rows.withColumn("block", part(blocks, 1)).groupBy("dim", "block").applyInPandas(build, "dim int, block int, ids binary, rows binary")
+    index = rows.withColumn("block", part(blocks, 1) + F.when(large, blocks).otherwise(0)).groupBy("dim", "block").applyInPandas(build, "dim int, block int, ids binary, rows binary")
     index = scratch.write(index, "index-blocks")
     each = index.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asks - 1))))
-    asked_rows = queries.withColumn("ask", part(asks, 2)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked_rows = queries.withColumn("ask", part(asks, 2)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks * (2 if wides else 1) - 1))))
     keys = ["dim", "block", "ask"]
 
     def search(block: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
         found = [pd.DataFrame({"query_id": [], "question": [], "vec_id": [], "score": []})]
         if len(block) and len(questions):
             ids = np.frombuffer(block["ids"].iloc[0], dtype=np.int64)
-            values = np.frombuffer(block["rows"].iloc[0], dtype="<i4").reshape(len(ids), -1).astype(np.int64)
-            slices = Slices(ids, values)
+            dims = int(block["dim"].iloc[0])
+            values = _unpacked(block["rows"].iloc[0], len(ids), dims)
+            slices = Slices(ids, values) if int(block["block"].iloc[0]) < blocks else None
             for own, raw in zip(questions["vec_id"], questions["values"], strict=True):
-                best, scores = slices.top(np.frombuffer(raw, dtype="<i4").astype(np.int64), int(own), k)
+                question = _unpacked(raw, 1, dims)[0]
+                if slices is None or len(raw) > 4 * dims:
+                    best, scores = exact_top(ids, values, question, int(own), k)
+                else:
+                    best, scores = slices.top(question, int(own), k)
                 found.append(pd.DataFrame({"query_id": own, "question": [raw] * len(best), "vec_id": best, "score": scores}))
         return pd.concat(found).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
 
@@ -171,7 +206,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
     found = each.groupBy(*keys).cogroup(found).applyInPandas(search, "query_id long, question binary, vec_id long, score long")
     best = Window.partitionBy("query_id", "question").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    score = F.when(F.col("score") == _LEAST, F.raise_error(F.lit("a score does not fit 64 bits"))).otherwise(F.col("score")).cast("long").alias("score")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
