@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendorium.llm import bit_sliced, chat, language, mixing, multi_index, ngram_join, packing, sharding, token_files, toxicity
+from vendorium.llm import bit_sliced, chat, html_text, language, mixing, multi_index, ngram_join, packing, sharding, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ def all_queries() -> dict[str, Query]:
         "op8_feistel_shards": sharding.query,
         "op10_ngram_join": ngram_join.query,
         "op9_source_mixing": mixing.query,
+        "op13_html_text": html_text.query,
     }
 
 
