@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendorium.llm import bit_sliced, chat, html_text, language, merkle, mixing, multi_index, ngram_join, packing, sharding, token_files, toxicity
+from vendorium.llm import bit_sliced, chat, collocations, html_text, language, merkle, mixing, multi_index, ngram_join, packing, sharding, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,15 @@ def all_queries() -> dict[str, Query]:
         "op10_ngram_join": ngram_join.query,
         "op9_source_mixing": mixing.query,
         "op11_merkle_manifest": merkle.query,
+        "op12_collocations": collocations.query,
         "op13_html_text": html_text.query,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op7_bit_sliced_top_k": bit_sliced.ORACLE_SQL, "op9_source_mixing": mixing.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL}
+    return {
+        "op7_bit_sliced_top_k": bit_sliced.ORACLE_SQL,
+        "op9_source_mixing": mixing.ORACLE_SQL,
+        "op11_merkle_manifest": merkle.ORACLE_SQL,
+        "op12_collocations": collocations.ORACLE_SQL,
+    }
