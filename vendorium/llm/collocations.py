@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vendorium.llm import quotient_filter as qf
 from vendorium.llm.scratch import Scratch
 from vendorium.llm.shipping import ship
+from vendorium.operators.numbering import number_rows
 
 LEAST = 10  # occurrences of a phrase at least
 BEST = 2000  # phrases returned for each language
@@ -337,8 +338,10 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, inside_p
     )
 
     totals = corpus.words.groupBy("lang").agg(F.sum("f").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
+    # Numbered by ranges of the whole order, so that a language with most of the phrases is many tasks.
+    numbered = number_rows(two.unionByName(three), "place", ("lang", F.desc("score"), F.desc("a"), "phrase"))
+    first_places = numbered.groupBy("lang").agg(F.min("place").alias("first"))
+    ranked = numbered.join(first_places, "lang").withColumn("rank", F.col("place") - F.col("first") + 1).filter(F.col("rank") <= best)
     longs = [F.col(name).cast("long").alias(name) for name in ("a", "l", "r", "n", "score")]
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", *longs)
 
