@@ -177,3 +177,91 @@ def test_still_open(spark):
     df = spark.createDataFrame(list(enumerate(cases)), "n int, v string")
     found = df.select("n", still_open(F.col("v")).alias("o")).orderBy("n").collect()
     assert [row.o for row in found] == list(cases.values())
+
+
+def _splits_of(spark, size: str):
+    """Reader settings that cut files into splits of this many bytes, undone at the end."""
+    from contextlib import contextmanager
+
+    @contextmanager
+    def small():
+        before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+
+    return small()
+
+
+def test_names_with_pattern_characters(spark, tmp_path):
+    """Files with records over several lines are not read again by name."""
+    for name in ("g[1].csv", "a{b,c}.csv", "x?*.csv"):
+        (tmp_path / name).write_text(HEADER + _line(supplier_id=f'"{name}"', supplier_name='"two\nlines"') + _line(supplier_id="S2"))
+    rows = _parse(spark, tmp_path).filter("_loaded and supplier_id != 'S2'").collect()
+    assert {(r.supplier_id, r.supplier_name, r._source_file_name.rsplit("/", 1)[1]) for r in rows} == {
+        (name, "two\nlines", name) for name in ("g[1].csv", "a{b,c}.csv", "x?*.csv")}
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"], ids=["lf", "crlf", "cr"])
+@pytest.mark.parametrize("size", ["61", "1000000"])
+def test_line_ends_inside_quotes_stay(spark, tmp_path, end, size):
+    texts = ["one", "a\nb", "a\r\nb", "a\rb", "a\n\r\n\rb", "a\r\r\nb"]
+    body = "".join(_line(supplier_id=f"S{n}", supplier_name=f'"{text}"').rstrip("\n") + end + end for n, text in enumerate(texts * 4))
+    (tmp_path / "m.csv").write_bytes((HEADER.rstrip("\n") + end + body).encode())
+    with _splits_of(spark, size):
+        rows = _parse(spark, tmp_path).filter("_loaded").orderBy("_source_row_number").collect()
+    assert [(r._source_row_number, r.supplier_id, r.supplier_name) for r in rows] == [(n + 1, f"S{n}", text) for n, text in enumerate(texts * 4)]
+
+
+@pytest.mark.parametrize("size", ["89", "1000000"])
+def test_forgotten_quote_costs_one_line(spark, tmp_path, size):
+    """All lines after it are read as if it were not there, also over many splits, and the line says what is wrong."""
+    before = [_line(supplier_id=f"A{n}", supplier_name='"two\nlines"') for n in range(3)]
+    after = [_line(supplier_id=f"B{n}", supplier_name='""' if n % 3 else "plain", category="") for n in range(40)]
+    lines = HEADER + "".join(before) + _line(supplier_id="BAD", supplier_name='"never closed') + "\n" + "".join(after)
+    (tmp_path / "m.csv").write_text(lines)
+    (tmp_path / "n.csv").write_text(HEADER + _line(supplier_id="C", supplier_name='"two\nlines"') + _line(supplier_id="D"))
+    with _splits_of(spark, size):
+        rows = _parse(spark, tmp_path).filter("_source_row_number > 0").orderBy("_source_file_name", "_source_row_number").collect()
+    assert [r.supplier_id for r in rows if r._loaded] == ["A0", "A1", "A2", *(f"B{n}" for n in range(40)), "C", "D"]
+    assert [(r._source_row_number, r._error) for r in rows if not r._loaded] == [(4, csv_batches.UNCLOSED)]
+    assert [r._source_row_number for r in rows] == [*range(1, 45), 1, 2]
+
+
+def test_quote_forgotten_on_the_last_line(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(HEADER + _line() + _line(supplier_id='"S2').rstrip("\n"))
+    rows = _parse(spark, tmp_path).filter("_source_row_number > 0").orderBy("_source_row_number").collect()
+    assert [(r._loaded, r._error) for r in rows] == [(True, None), (False, csv_batches.UNCLOSED)]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_not_shuffled_for_their_numbers(spark):
+    """Offsets of 800,000 splits are broadcast by their size in bytes; beyond the limit the join shuffles."""
+    number = 800_000
+    splits = spark.range(number).selectExpr(
+        "concat('file:///landing/a/rather/long/folder/name/of/suppliers/', id div 4) AS _source_file_name",
+        "id % 4 * 134217728 AS _split", "1000L AS _rows", "id * 1000 AS _first", "false AS _open")
+    rows = spark.range(10).selectExpr("concat('file:///landing/a/rather/long/folder/name/of/suppliers/', id) AS _source_file_name",
+                                      "134217728L AS _split", "id AS _dense")
+    from vendorium.session import materialize
+
+    splits = materialize(splits, "many_splits")
+    joined = csv_batches.with_offsets(rows, splits)
+    assert "BroadcastHashJoin" in _plan(joined) and "SortMergeJoin" not in _plan(joined)
+    assert csv_batches.BROADCAST_BYTES >= 800_000 * csv_batches._OFFSET_BYTES
+    found = {r._source_file_name.rsplit("/", 1)[1]: r._shift for r in joined.collect()}
+    assert found == {str(n): 1000 - (4 * n + 1) * 1000 for n in range(10)}
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        beyond = csv_batches.with_offsets(rows, splits, most_bytes=1000)
+        assert "SortMergeJoin" in _plan(beyond)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

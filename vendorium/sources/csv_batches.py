@@ -2,7 +2,7 @@
 
 Files are read as lines, so one huge file is split over many tasks like any other input. Files
 in which a quoted field runs over a line end are found exactly and take a longer way that
-stays parallel as well.
+stays parallel as well. Nothing is read again by name, so a name may hold any character.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from vendorium.functions.scalars import file_stem
 from vendorium.schemas import BUSINESS, MAX_LENGTH, RAW_TEXT
 from vendorium.session import materialize
-from vendorium.sources.csv_records import PLACE, joined_records, open_quote
+from vendorium.sources.csv_records import FILE, PLACE, joined_records, open_quote
 
 # The file format, the texts that mean NULL, and the spellings of the flags.
 CSV_OPTIONS = {
@@ -26,26 +26,30 @@ NULL_TEXTS = ("NULL", "null", "")
 TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1")
 FALSE_TEXTS = ("false", "f", "no", "n", "off", "0")
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
-BROADCAST_SPLITS = 100_000  # rows of about 200 bytes, so 20 MB at most
+UNCLOSED = "quoted field is not closed in the file"
+LINE_FEED = {"lineSep": "\n"}  # carriage returns stay, so that those inside quotes can be given back
+BROADCAST_BYTES = 128 << 20  # offsets of splits are broadcast up to this size
+_OFFSET_BYTES = 64  # a row of four numbers in the hash table of a broadcast, rounded up
 
 
-def _file_name(path: Column) -> Column:
+def file_name(path: Column) -> Column:
     """Readable path: the metadata column is percent-encoded, and a plain '+' must stay one."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def _located(df: DataFrame) -> DataFrame:
-    """Name the file, the split of it, and the row's place; places rise in file order within a split."""
+    """Name the file with its time, the split of it, and the row's place; places rise in file order within a split."""
     return df.select(
         "*",
-        _file_name(F.col("_metadata.file_path")).alias("_source_file_name"),
+        file_name(F.col("_metadata.file_path")).alias("_source_file_name"),
+        F.col("_metadata.file_modification_time").alias("_file_time"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_place"),
     )
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path).select("value", "_metadata")
+    return spark.read.options(**LINE_FEED).text(path).select("value", "_metadata")
 
 
 # Longer than any file can be old. The file source forgets, and never loads, files older than `maxFileAge` before the
@@ -54,50 +58,84 @@ MAX_FILE_AGE = "36500d"
 
 
 def stream_lines(spark: SparkSession, path: str, **limits: str) -> DataFrame:
-    """New files of a folder as they arrive, whatever their names and times.
+    """New files of a folder, or of a pattern of folders, as they arrive, whatever their times.
 
-    `limits` are reader options such as maxBytesPerTrigger; maxFileAge is `MAX_FILE_AGE` unless given.
+    `limits` are reader options such as maxBytesPerTrigger; maxFileAge is `MAX_FILE_AGE` unless given. The file
+    source passes over names that begin with `_` or `.`; the ledger offers those under other names.
     """
-    options = {"recursiveFileLookup": "true", "maxFileAge": MAX_FILE_AGE, **limits}
+    options = {"recursiveFileLookup": "true", "maxFileAge": MAX_FILE_AGE, **LINE_FEED, **limits}
     reader = spark.readStream.options(**options)
     return reader.text(path).select("value", "_metadata")
 
 
-def _fields(line: str) -> Column:
-    return F.from_csv(line, ", ".join(f"{name} string" for name in RAW_TEXT.names), CSV_OPTIONS).alias("_text")
+def _cut_at_returns(lines: DataFrame) -> DataFrame:
+    """Lines that end in LF, CR LF or CR, each with its `_end`."""
+    value = F.col("value")
+    windows = value.endswith("\r")
+    body = F.when(windows, F.expr("left(value, length(value) - 1)")).otherwise(value)
+    parts = F.when(F.instr(body, "\r") > 0, F.split(body, "\r")).otherwise(F.array(body))
+    each = lines.select("*", F.posexplode(parts).alias("_part", "_line"), F.size(parts).alias("_parts"), windows.alias("_windows"))
+    last = F.col("_part") == F.col("_parts") - 1
+    end = F.when(~last, F.lit("\r")).when(F.col("_windows"), F.lit("\r\n")).otherwise(F.lit("\n"))
+    return each.select(F.col("_line").alias("value"), end.alias("_end"), "_metadata")
 
 
 def split_rows(lines: DataFrame) -> DataFrame:
-    """Lines cut into their twelve texts, each with its file, split and place. Blank lines do not count."""
-    kept = _located(lines.filter(F.trim("value") != ""))
-    return kept.select(_fields("value"), open_quote(F.col("value")).alias("_open"), *PLACE)
+    """All lines with their end, file, split and place, and whether each is blank or ends inside quotes."""
+    kept = _located(_cut_at_returns(lines))
+    blank = F.trim("value") == ""
+    return kept.select("value", "_end", blank.alias("_blank"), (~blank & open_quote(F.col("value"))).alias("_open"), "_file_time", *PLACE)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows that are not blank, numbered without gaps within their task."""
+    return rows.filter(~F.col("_blank")).withColumn("_dense", F.monotonically_increasing_id())
 
 
 def _splits(rows: DataFrame) -> DataFrame:
-    """One row per split of a file: its rows, its first place, and whether a line of it ends inside quotes."""
-    splits = rows.groupBy("_source_file_name", "_split").agg(
-        F.count("*").alias("_rows"), F.min("_place").alias("_first"), F.max("_open").alias("_open")
+    """One row per split of a file: its rows, the number of its first one, and whether a line of it ends inside quotes."""
+    splits = _counted(rows).groupBy(FILE, "_split").agg(
+        F.count("*").alias("_rows"), F.min("_dense").alias("_first"), F.max("_open").alias("_open")
     )
     return materialize(splits, "splits")
 
 
+def _offsets(splits: DataFrame) -> DataFrame:
+    """For each split, by the hash of its file and start: how far its rows' numbers are from those in the file, and
+    whether the file has records over several lines. The window runs over one row per split."""
+    in_file = Window.partitionBy(FILE)
+    earlier = in_file.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
+    return splits.select(
+        F.xxhash64(FILE, "_split").alias("_key"), before.alias("_shift"), F.max("_open").over(in_file).alias("_multi"), FILE, "_split"
+    )
+
+
+def with_offsets(rows: DataFrame, splits: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join each row to its split's offset.
+
+    A split goes by one number, the hash of its file and start, if no two splits share one. Its row then takes some 60
+    bytes whatever the file names, and the splits are broadcast as long as all of them fit `most_bytes`: two million
+    splits. Beyond that, or with equal hashes, the join shuffles by file and split, one split's rows per key.
+    """
+    offsets = _offsets(splits)
+    number, different = offsets.agg(F.count("*"), F.count_distinct("_key")).first()
+    if number == different:
+        keyed = rows.withColumn("_key", F.xxhash64(FILE, "_split"))
+        small = offsets.select("_key", "_shift", "_multi")
+        return keyed.join(F.broadcast(small) if number * _OFFSET_BYTES <= most_bytes else small, "_key").drop("_key")
+    return rows.join(offsets.drop("_key"), [FILE, "_split"])
+
+
 def _numbered(rows: DataFrame, splits: DataFrame) -> DataFrame:
-    """Add each row's number in its file, the header being 0.
+    """Rows of files whose records are single lines, with each row's number in its file, the header being 0.
 
     The rows of a split are consecutive within one task, so a row's number is the rows of
-    the file's earlier splits plus its distance from the split's first row. The window runs
-    over one row per split. Splits are broadcast up to a checked number, so that the rows
-    stay where they are; beyond it the join shuffles, one split's rows per key.
+    the file's earlier splits plus its distance from the split's first row.
     """
-    earlier = Window.partitionBy("_source_file_name").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    offsets = splits.select("_source_file_name", "_split", "_first", before.alias("_before"))
-    if splits.count() <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    number = F.col("_before") + F.col("_place") - F.col("_first")
-    return rows.join(offsets, ["_source_file_name", "_split"]).select(
-        "_text", "_source_file_name", number.cast("long").alias("_source_row_number")
-    )
+    joined = with_offsets(_counted(rows), splits).filter(~F.col("_multi"))
+    number = (F.col("_dense") + F.col("_shift")).cast("long")
+    return joined.select("value", F.lit(False).alias("_unclosed"), FILE, "_file_time", number.alias("_source_row_number"))
 
 
 def _converted(name: str, kind: str, raw: Column) -> Column:
@@ -113,17 +151,18 @@ def _converted(name: str, kind: str, raw: Column) -> Column:
     return raw.try_cast(kind)
 
 
-def typed(numbered: DataFrame, load_ts: Column) -> DataFrame:
+def typed(records: DataFrame, load_ts: Column) -> DataFrame:
     """Map the twelve fields by position to typed columns, with `_error` naming the first that fails."""
+    kinds = ", ".join(f"{name} string" for name in RAW_TEXT.names)
+    numbered = records.withColumn("_text", F.from_csv("value", kinds, CSV_OPTIONS))
     text = {f.name: F.col(f"_text.{f.name}") for f in BUSINESS}
     cells = {name: F.when(~cell.isin(*NULL_TEXTS), cell) for name, cell in text.items()}
-    raw = numbered.select(
-        *[cells[name].alias(f"_raw_{name}") for name in cells], "_source_file_name", "_source_row_number"
-    )
+    lineage = (FILE, "_file_time", "_source_row_number")
+    raw = numbered.select(*[cells[name].alias(f"_raw_{name}") for name in cells], "_unclosed", *lineage)
     values = [
         _converted(f.name, f.dataType.simpleString(), F.col(f"_raw_{f.name}")).alias(f.name) for f in BUSINESS
     ]
-    problems = []
+    problems = [F.when(F.col("_unclosed"), F.lit(UNCLOSED))]
     for field in BUSINESS:
         cell = F.col(f"_raw_{field.name}")
         if field.name in MAX_LENGTH:
@@ -134,13 +173,14 @@ def typed(numbered: DataFrame, load_ts: Column) -> DataFrame:
     header = F.col("_source_row_number") == 0
     return raw.select("*", *values).select(
         *BUSINESS.names,
-        "_source_file_name",
+        FILE,
         "_source_row_number",
         load_ts.alias("_load_ts"),
-        file_stem(F.col("_source_file_name")).alias("_batch_id"),
+        file_stem(F.col(FILE)).alias("_batch_id"),
         F.lit("LOADED").alias("_ingestion_status"),
         F.when(~header, F.coalesce(*problems)).alias("_error"),
         (~header & F.coalesce(*problems).isNull()).alias("_loaded"),
+        "_file_time",
     )
 
 
@@ -148,15 +188,12 @@ def parse(rows: DataFrame, load_ts: Column) -> DataFrame:
     """All rows of `split_rows` converted, with their `_error`; row 0 of a file is its header.
 
     The caller persists `rows`, which are read more than once. A lost block is read again
-    from the same split, so places do not change.
+    from the same split, so places do not change. `_file_time` is the file's modification time.
     """
     splits = _splits(rows)
-    # Names of files only: those whose records run over line ends.
-    names = [row[0] for row in splits.filter("_open").select("_source_file_name").distinct().collect()]
-    if not names:
-        return typed(_numbered(rows, splits), load_ts)
-    by_line = ~F.col("_source_file_name").isin(names)
-    lines = _located(read_lines(rows.sparkSession, names)).select("value", *PLACE)
-    records = joined_records(lines).select(_fields("value"), "_source_file_name", "_source_row_number")
-    numbered = _numbered(rows.filter(by_line), splits.filter(by_line))
-    return typed(numbered.unionByName(records), load_ts)
+    by_line = _numbered(rows, splits)
+    multi = splits.filter("_open").select(FILE).distinct()
+    if multi.isEmpty():
+        return typed(by_line, load_ts)
+    records = joined_records(rows.join(multi, FILE, "left_semi"))
+    return typed(by_line.unionByName(records), load_ts)

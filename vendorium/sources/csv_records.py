@@ -4,6 +4,10 @@ Whether a line starts inside quotes depends on all lines before it in the file.
 only do four things to that state: set it to either value, keep it, or turn it over. The state
 before a line is thus the last one set, turned over as often as lines turned it since. That is
 a running total, taken over the lines of each split and then over the splits of each file.
+
+A quote that is open at the end of a file was opened by the last line that opened one. That line is a record of its own
+then, and all lines after it are taken from outside quotes: none of them can open another one, or it would have closed
+the first. So a forgotten quote costs a line and never gathers the rest of a file.
 """
 
 from __future__ import annotations
@@ -17,7 +21,8 @@ CLOSED_FIELD = r'(^|,)[ \t]*+"[^"]*+(?:""[^"]*+)*+"(?!")[^,]*+'
 # The rest of a quoted field that began on an earlier line, likewise.
 CLOSING_PART = r'^[^"]*+(?:""[^"]*+)*+"(?!")[^,]*+'
 
-PLACE = ("_source_file_name", "_split", "_place")
+FILE = "_source_file_name"
+PLACE = (FILE, "_split", "_place")
 
 
 def open_quote(line: Column) -> Column:
@@ -58,37 +63,70 @@ def _after(before: str) -> Column:
     return F.when(F.col(before), F.col("_in")).otherwise(F.col("_out"))
 
 
-def joined_records(lines: DataFrame) -> DataFrame:
-    """Whole records as `value`, with file and record number, the header being 0.
+def _entered(stated: DataFrame) -> DataFrame:
+    """One row per split: the state it is entered in, the one it is left in, and its last line that opens a quote."""
 
-    `lines` has every line with its place, blank ones too. Those outside quotes are dropped.
-    """
-    marked = lines.withColumns({"_out": open_quote(F.col("value")), "_in": still_open(F.col("value"))})
-    stated = _state_before(marked, "_out", "_in", "_source_file_name", "_split", order="_place")
-    stated = materialize(stated.withColumn("_blank", F.trim("value") == ""), "line_states")
+    def opening(before: str) -> Column:
+        return F.max(F.when(~F.col(before) & F.col("_out"), F.col("_place")))
 
-    per_split = stated.groupBy("_source_file_name", "_split").agg(
+    per_split = stated.groupBy(FILE, "_split").agg(
         F.max_by(_after("_before_out"), "_place").alias("_split_out"),
         F.max_by(_after("_before_in"), "_place").alias("_split_in"),
-        F.count_if(~F.col("_before_out") & ~F.col("_blank")).alias("_starts_out"),
-        F.count_if(~F.col("_before_in") & ~F.col("_blank")).alias("_starts_in"),
+        opening("_before_out").alias("_opens_out"),
+        opening("_before_in").alias("_opens_in"),
     )
-    entered = _state_before(per_split, "_split_out", "_split_in", "_source_file_name", order="_split")
-    entered = entered.withColumn("_inside", F.col("_before_out"))  # a file starts outside
-    starts = F.when(F.col("_inside"), F.col("_starts_in")).otherwise(F.col("_starts_out"))
-    earlier = Window.partitionBy("_source_file_name").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    entered = entered.select(
-        "_source_file_name", "_split", "_inside", F.coalesce(F.sum(starts).over(earlier), F.lit(0)).alias("_records")
+    entered = _state_before(per_split, "_split_out", "_split_in", FILE, order="_split")
+    inside = F.col("_before_out")  # a file starts outside
+    return entered.select(
+        FILE, "_split", inside.alias("_inside"),
+        F.when(inside, F.col("_split_in")).otherwise(F.col("_split_out")).alias("_left_inside"),
+        F.when(inside, F.col("_opens_in")).otherwise(F.col("_opens_out")).alias("_opens"),
     )
 
+
+def _forgotten(entered: DataFrame) -> DataFrame:
+    """For each file that ends inside quotes, the line that opened them."""
+    last = F.max(F.when(F.col("_opens").isNotNull(), F.struct("_split", "_opens")))
+    per_file = entered.groupBy(FILE).agg(F.max_by("_left_inside", "_split").alias("_open_end"), last.alias("_at"))
+    return per_file.filter("_open_end").select(FILE, F.col("_at._split").alias("_at_split"), F.col("_at._opens").alias("_at_place"))
+
+
+def _whole(parts: Column) -> Column:
+    """Lines with the ends between them."""
+    ended = F.transform(parts, lambda part, n: F.concat(part["value"], F.when(n < F.size(parts) - 1, part["_end"]).otherwise("")))
+    return F.array_join(ended, "")
+
+
+def joined_records(lines: DataFrame) -> DataFrame:
+    """Whole records as `value`, with file, its time and record number, the header being 0.
+
+    `lines` has every line with its place and its `_end`, blank ones too. Those outside quotes are dropped; line ends
+    inside quotes stay what they were. `_unclosed` marks a record whose quote is never closed.
+    """
+    marked = lines.withColumns({"_out": open_quote(F.col("value")), "_in": still_open(F.col("value"))})
+    stated = _state_before(marked, "_out", "_in", FILE, "_split", order="_place")
+    stated = materialize(stated, "line_states")
+    entered = materialize(_entered(stated), "split_states")
+
     state = F.when(F.col("_inside"), F.col("_before_in")).otherwise(F.col("_before_out"))
-    known = stated.join(entered, ["_source_file_name", "_split"]).withColumn("_state", state)
+    own, at = F.struct("_split", "_place"), F.struct(F.col("_at_split").alias("_split"), F.col("_at_place").alias("_place"))
+    later = F.coalesce(F.col("_at_split").isNotNull() & (own > at), F.lit(False))
+    known = stated.join(entered.select(FILE, "_split", "_inside"), [FILE, "_split"]).join(_forgotten(entered), FILE, "left")
+    known = known.withColumns({"_state": state & ~later, "_unclosed": F.coalesce(own == at, F.lit(False))})
     known = known.filter(F.col("_state") | ~F.col("_blank"))
-    so_far = Window.partitionBy("_source_file_name", "_split").orderBy("_place")
-    number = F.col("_records") + F.sum((~F.col("_state")).cast("int")).over(so_far) - 1
-    parts = F.array_sort(F.collect_list(F.struct("_split", "_place", "value")))
+
+    starts = (~F.col("_state")).cast("int")
+    per_split = known.groupBy(FILE, "_split").agg(F.sum(starts).alias("_starts"))
+    earlier = Window.partitionBy(FILE).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_split.select(FILE, "_split", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_records"))
+    so_far = Window.partitionBy(FILE, "_split").orderBy("_place")
+    number = F.col("_records") + F.sum(starts).over(so_far) - 1
+    parts = F.array_sort(F.collect_list(F.struct("_split", "_place", "value", "_end")))
     return (
-        known.withColumn("_source_row_number", number.cast("long"))
-        .groupBy("_source_file_name", "_source_row_number")
-        .agg(F.array_join(parts["value"], "\n").alias("value"))
+        known.join(before, [FILE, "_split"])
+        .withColumn("_source_row_number", number.cast("long"))
+        .groupBy(FILE, "_source_row_number")
+        .agg(F.max("_file_time").alias("_file_time"), F.max("_unclosed").alias("_unclosed"), parts.alias("_parts"))
+        .withColumn("value", _whole(F.col("_parts")))
+        .drop("_parts")
     )
