@@ -87,6 +87,26 @@ def fold(dimension: DataFrame, batch: DataFrame, run_ts: Column) -> DataFrame:
     return old.join(new, meets, "full_outer").select(F.inline(rows))
 
 
+def open_versions(deliveries: DataFrame, known: DataFrame, run_ts: Column, order: Sequence[str]) -> DataFrame:
+    """All versions that one batch opens, also where it delivers a supplier several times.
+
+    `known` has the record hash of each open version, `order` sorts a supplier's deliveries. A delivery opens a version
+    if its hash differs from the one before, the first from the open version; the next one closes it. Versions of one
+    supplier start a microsecond apart, the first at `run_ts`, so that intervals meet and none is empty. Deliveries of
+    a supplier are as many as files in the batch, whatever their rows.
+    """
+    timeline = Window.partitionBy("supplier_id").orderBy(*order)
+    before = known.select("supplier_id", F.col("record_hash").alias("_open_hash"))
+    known_hash = F.coalesce(F.lag("record_hash").over(timeline), F.col("_open_hash"))
+    marked = deliveries.join(before, "supplier_id", "left").withColumn("_before", known_hash)
+    opened = marked.filter(F.col("_before").isNull() | (F.col("_before") != F.col("record_hash")))
+    nth = (F.row_number().over(timeline) - 1).cast("decimal(18,6)") / 1_000_000
+    start = run_ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), nth.cast("decimal(18,6)"))
+    begun = opened.withColumn("_start", start)
+    ended = begun.withColumn("_end", F.lead("_start").over(timeline))
+    return as_versions(ended, F.col("_start"), F.col("_end"))
+
+
 def rebuild(deliveries: DataFrame) -> DataFrame:
     """Whole history in one pass from all accepted deliveries, one row per key and batch.
 

@@ -23,8 +23,8 @@ def rejects(flagged: DataFrame, rejected_ts: Column) -> DataFrame:
     )
 
 
-def accepted(flagged: DataFrame) -> DataFrame:
-    """Passing rows with standard text, source columns, load time and record hash."""
+def accepted(flagged: DataFrame, *more: str) -> DataFrame:
+    """Passing rows with standard text, source columns, load time, record hash and any `more` columns."""
     columns = [
         standardise(name).alias(name) if name in STANDARDISED else F.col(name)
         for name in BUSINESS_COLUMNS
@@ -36,6 +36,7 @@ def accepted(flagged: DataFrame) -> DataFrame:
             F.col("_source_file_name").alias("source_file_name"),
             F.col("_source_row_number").alias("source_row_number"),
             F.col("_load_ts").alias("load_ts"),
+            *more,
         )
         .withColumn("record_hash", record_hash())
     )

@@ -13,7 +13,7 @@ from vendorium.functions.scalars import (
     risk_level,
 )
 from vendorium.operators.ranking import rank_by_score, score_ranks
-from vendorium.schemas import AGG_RISK_SPEND, KPI_SNAPSHOT, conform
+from vendorium.schemas import AGG_RISK_SPEND, GOLD_STATE, KPI_SNAPSHOT, conform
 
 OVERDUE_DAYS = 365  # fixed value
 
@@ -155,3 +155,79 @@ def kpi_snapshot(clean: DataFrame, dimension: DataFrame, as_of: Column, snapshot
     )
     row = figures.withColumns({"dq_pass_rate_pct": dq_pass_rate(dimension).scalar(), "snapshot_ts": snapshot_ts})
     return conform(row, KPI_SNAPSHOT)
+
+
+# Gold from changes: a state of counts and exact sums, to which opened versions are added and closed ones taken away.
+
+_STATE_KEYS = ("region", "category", "risk_rating", "last_audit_date")
+
+
+def state_of(versions: DataFrame, sign: Column | None = None) -> DataFrame:
+    """Counts and sums of versions, each taken `sign` times, by the keys of Gold's groups and the audit day."""
+    sign = F.lit(1) if sign is None else sign
+
+    def count(condition: Column) -> Column:
+        return F.sum(F.when(condition, sign).otherwise(0))
+
+    def total(name: str) -> Column:
+        return F.sum(F.col(name) * sign)
+
+    grouped = versions.groupBy(*_STATE_KEYS).agg(
+        F.sum(sign).alias("suppliers"),
+        count(F.col("is_active")).alias("active"),
+        count(_risk_is("HIGH") & (F.col("quality_score") < 75)).alias("critical"),
+        count(F.col("dq_passed")).alias("passed"),
+        total("contract_value_usd").alias("contract_value"),
+        total("quality_score").alias("quality"),
+        count(F.col("quality_score").isNotNull()).alias("quality_known"),
+        total("on_time_delivery_pct").alias("on_time"),
+        count(F.col("on_time_delivery_pct").isNotNull()).alias("on_time_known"),
+        total("lead_time_days").alias("lead_time"),
+        count(F.col("lead_time_days").isNotNull()).alias("lead_time_known"),
+    )
+    return conform(grouped, GOLD_STATE)
+
+
+def state_change(changes: DataFrame) -> DataFrame:
+    """What opened and closed versions change: one more, one less, or nothing for those closed as soon as opened."""
+    sign = F.when(F.col("is_current"), 1).when(F.col("_was_open"), -1).otherwise(0)
+    return state_of(changes, sign)
+
+
+def merged_state(state: DataFrame, change: DataFrame) -> DataFrame:
+    figures = [name for name in GOLD_STATE.names if name not in _STATE_KEYS]
+    summed = state.unionByName(change).groupBy(*_STATE_KEYS).agg(*[F.sum(name).alias(name) for name in figures])
+    return conform(summed.filter("suppliers <> 0"), GOLD_STATE)
+
+
+def _state_avg(total: str, known: str, digits: int) -> Column:
+    """As `exact_avg`: one division of an exact sum, to 12 decimals, then rounded half up."""
+    return F.round(F.sum(total).cast("decimal(28,2)") / F.nullif(F.sum(known), F.lit(0)), digits)
+
+
+def agg_risk_spend_of(state: DataFrame, refreshed_ts: Column) -> DataFrame:
+    grouped = state.groupBy("region", "category", "risk_rating").agg(
+        F.sum("suppliers").alias("supplier_count"),
+        F.sum("contract_value").alias("total_contract_value"),
+        _state_avg("quality", "quality_known", 2).alias("avg_quality_score"),
+        _state_avg("on_time", "on_time_known", 2).alias("avg_on_time_pct"),
+        _state_avg("lead_time", "lead_time_known", 1).alias("avg_lead_time_days"),
+    )
+    return conform(grouped.withColumn("last_refreshed_ts", refreshed_ts), AGG_RISK_SPEND)
+
+
+def kpi_snapshot_of(state: DataFrame, as_of: Column, snapshot_ts: Column) -> DataFrame:
+    """The same row as `kpi_snapshot`, from one aggregate over the state."""
+    overdue = days_since("last_audit_date", as_of) > OVERDUE_DAYS
+    row = state.agg(
+        F.coalesce(F.sum("suppliers"), F.lit(0)).alias("total_suppliers"),
+        F.sum("active").alias("active_suppliers"),
+        F.sum("contract_value").alias("total_contract_value"),
+        _state_avg("quality", "quality_known", 2).alias("avg_quality_score"),
+        _state_avg("on_time", "on_time_known", 2).alias("avg_on_time_pct"),
+        F.sum(F.when(_risk_is("HIGH"), F.col("suppliers")).otherwise(0)).alias("high_risk_count"),
+        F.sum("critical").alias("critical_risk_count"),
+        F.sum(F.when(overdue, F.col("suppliers")).otherwise(0)).alias("audit_overdue_count"),
+        percentage(F.sum("passed"), F.sum("suppliers")).alias("dq_pass_rate_pct"),
+    )
+    return conform(row.withColumn("snapshot_ts", snapshot_ts), KPI_SNAPSHOT)

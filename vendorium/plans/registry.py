@@ -296,11 +296,11 @@ def load_log(spark: SparkSession, sf: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf: str) -> SupplierTables:
     """The tables after streaming the five batches one after the other, run once per session."""
     root = scratch_path(spark, "stream")
-    tables = SupplierTables(spark, f"{root}/tables", buckets=spark.sparkContext.defaultParallelism)
+    tables = SupplierTables(spark, f"{root}/tables")
     texts = materialize(landing_text(spark, sf), "texts")
     for number in range(1, BATCHES + 1):
         now = datetime(2024, 1, 1) + timedelta(minutes=5 * number)
-        write_landing(texts.filter(F.col("batch_no") == number), f"{root}/landing/batch_{number}")
+        write_landing(texts.filter(F.col("batch_no") == number), f"{root}/landing/batch_{number}", by_supplier=True)
         SupplierPipeline(tables, lambda now=now: now).start(f"{root}/landing").awaitTermination()
     return tables
 

@@ -142,6 +142,25 @@ KPI_SNAPSHOT = _struct(
     ("dq_pass_rate_pct", PERCENT),
 )
 
+# What Gold is made of: counts and exact sums by the keys of its groups and the day of the last audit.
+GOLD_STATE = _struct(
+    ("region", STRING),
+    ("category", STRING),
+    ("risk_rating", STRING),
+    ("last_audit_date", DATE),
+    ("suppliers", LONG),
+    ("active", LONG),
+    ("critical", LONG),
+    ("passed", LONG),
+    ("contract_value", T.DecimalType(38, 2)),
+    ("quality", T.DecimalType(28, 2)),
+    ("quality_known", LONG),
+    ("on_time", T.DecimalType(28, 2)),
+    ("on_time_known", LONG),
+    ("lead_time", LONG),
+    ("lead_time_known", LONG),
+)
+
 
 def conform(df, schema: T.StructType):
     """Select the columns of `schema` in order, cast to its types."""

@@ -7,6 +7,8 @@ stays parallel as well. Nothing is read again by name, so a name may hold any ch
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vendorium.functions.scalars import file_stem
@@ -37,11 +39,11 @@ def file_name(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _located(df: DataFrame) -> DataFrame:
+def _located(df: DataFrame, first_name: Callable[[Column], Column]) -> DataFrame:
     """Name the file with its time, the split of it, and the row's place; places rise in file order within a split."""
     return df.select(
         "*",
-        file_name(F.col("_metadata.file_path")).alias("_source_file_name"),
+        first_name(file_name(F.col("_metadata.file_path"))).alias("_source_file_name"),
         F.col("_metadata.file_modification_time").alias("_file_time"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_place"),
@@ -80,9 +82,12 @@ def _cut_at_returns(lines: DataFrame) -> DataFrame:
     return each.select(F.col("_line").alias("value"), end.alias("_end"), "_metadata")
 
 
-def split_rows(lines: DataFrame) -> DataFrame:
-    """All lines with their end, file, split and place, and whether each is blank or ends inside quotes."""
-    kept = _located(_cut_at_returns(lines))
+def split_rows(lines: DataFrame, first_name: Callable[[Column], Column] = lambda name: name) -> DataFrame:
+    """All lines with their end, file, split and place, and whether each is blank or ends inside quotes.
+
+    `first_name` gives the name of a file from the one that it was read under.
+    """
+    kept = _located(_cut_at_returns(lines), first_name)
     blank = F.trim("value") == ""
     return kept.select("value", "_end", blank.alias("_blank"), (~blank & open_quote(F.col("value"))).alias("_open"), "_file_time", *PLACE)
 

@@ -180,10 +180,12 @@ def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("_line_key", key)
 
 
-def write_landing(texts: DataFrame, folder: str) -> None:
-    """Write lines as CSV files whose names and rows follow the feed's order."""
+def write_landing(texts: DataFrame, folder: str, by_supplier: bool = False) -> None:
+    """Write lines as CSV files: names and rows follow the feed's order, or, `by_supplier`, each file holds all lines of
+    its suppliers, in order."""
     order = ("_order", "_line_key")
-    rows = texts.repartitionByRange(*order).sortWithinPartitions(*order).select(*RAW_TEXT.names)
+    dealt = texts.repartition("supplier_id") if by_supplier else texts.repartitionByRange(*order)
+    rows = dealt.sortWithinPartitions(*order).select(*RAW_TEXT.names)
     rows.write.options(
         header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(folder)

@@ -25,22 +25,31 @@ from vendorium.schemas import (
 )
 from vendorium.session import discarding_scratch, materialize
 from vendorium.sources import csv_batches
+from vendorium.sources.csv_records import FILE
+from vendorium.sources.ledger import Ledger
 from vendorium.sources.tables import (
     AGG_RISK_SPEND,
-    DIM,
+    CHANGES,
     DQ_SUMMARY,
+    GOLD_STATE,
     KPI_SNAPSHOT,
     LOAD_LOG,
     RAW,
     REJECTED,
     SupplierTables,
 )
+from vendorium.streaming.triggers import TriggerCounts
 
 # Names under which runs and loads are logged.
 PIPE = "PIPE_RAW_SUPPLIERS"
 SILVER = ("TASK_BRONZE_TO_SILVER", "SP_BRONZE_TO_SILVER")
 GOLD = ("TASK_SILVER_TO_GOLD", "SP_SILVER_TO_GOLD")
 
+# Order in which files arrived, and rows in them. The hash only decides between rows that share a file position.
+ARRIVAL = ("file_time", "source_file_name", "source_row_number", "record_hash")
+_NO_COUNTS = ("processed", "inserted", "updated", "rejected")
+_FIRST = {"base": None, "since": [], "dead": [], "merged_runs": 0, "offset": 0, "last_ids": dict.fromkeys(("log", "summary", "reject", "sk"), 0)}
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -53,16 +62,30 @@ def _stamp(moment: datetime) -> Column:
 class SupplierPipeline:
     def __init__(self, tables: SupplierTables, clock: Callable[[], datetime] = utc_now) -> None:
         self.tables, self.clock = tables, clock
+        self.triggers = TriggerCounts()
+        self._ledger: Ledger | None = None
+        self._resume = False
 
     # Streaming
 
-    def start(self, landing: str, every: str | None = None, **limits: str) -> StreamingQuery:
+    def start(self, landing: str, every: str | None = None, resume: bool = False, **limits: str) -> StreamingQuery:
         """Process new files: all that are there and stop, or `every` interval until stopped.
 
         The checkpoint lives with the tables, because its batch numbers are theirs. Without
-        new files there is no batch, so nothing is written and nothing is logged.
+        new files there is no batch, so nothing is written and nothing is logged. Files whose names
+        the source passes over are offered under other names, before the start and with every batch.
+
+        Tables written under another checkpoint are refused. After the loss of a checkpoint `resume`
+        accepts a new one: its batches are numbered after the last one published, and files that the
+        load log names are not loaded again.
         """
-        lines = csv_batches.stream_lines(self.tables.spark, landing, **limits)
+        spark = self.tables.spark
+        self._ledger = Ledger(spark, landing, f"{self.tables.root}/offered")
+        self._resume = resume
+        self._offer()
+        if every:
+            self.triggers.listen(spark)
+        lines = csv_batches.stream_lines(spark, self._ledger.source(landing), **limits)
         trigger = {"processingTime": every} if every else {"availableNow": True}
         return (
             lines.writeStream.foreachBatch(self.process)
@@ -71,25 +94,45 @@ class SupplierPipeline:
             .start()
         )
 
+    def _offer(self) -> None:
+        if self._ledger is not None and self._ledger.same_system:
+            self._ledger.offer(self.tables.load_log())
+
     def process(self, lines: DataFrame, batch_id: int) -> str:
         """One batch from lines to Gold. A batch that is already published only refreshes Gold."""
         with discarding_scratch(self.tables.spark):
-            return self._process(lines, batch_id)
-
-    def _process(self, lines: DataFrame, batch_id: int) -> str:
-        last = self.tables.last_commit()
-        known, running = last and last.get("query_id"), self._query_id()
+            result = self._process(lines, batch_id)
+            self._offer()
+            return result
+
+    def _numbered_batch(self, last: dict | None, batch_id: int) -> tuple[int, int]:
+        """The batch's number in the tables, and by how much it is higher than the stream's own."""
+        if last is None:
+            return batch_id, 0
+        known, running = last.get("query_id"), self._query_id()
         if known and running and known != running:
             # A new checkpoint counts batches from 0 again; they would be taken for published ones and lost.
-            raise RuntimeError(f"the tables were written by streaming query {known}, this is {running}: restore its checkpoint or use new tables")
+            if not self._resume:
+                raise RuntimeError(f"the tables were written by streaming query {known}, this is {running}: restore its checkpoint, resume with a new one, or use new tables")
+            return last["batch_id"] + 1 + batch_id, last["batch_id"] + 1
+        return last["offset"] + batch_id, last["offset"]
+
+    def _process(self, lines: DataFrame, stream_batch: int) -> str:
+        last = self.tables.last_commit()
+        try:
+            batch_id, offset = self._numbered_batch(last, stream_batch)
+        except RuntimeError as refusal:
+            self._log(SILVER, last["batch_id"] + 1, self.clock(), dict.fromkeys(_NO_COUNTS, 0), refusal)
+            raise
         if last is not None and last["batch_id"] >= batch_id:
             commit = last
+            self._log_again(SILVER, commit)
         else:
-            commit = self._logged(SILVER, batch_id, lambda: self._bronze_to_silver(lines, batch_id))
+            commit = self._logged(SILVER, batch_id, lambda: self._bronze_to_silver(lines, batch_id, offset))
         if commit["counts"] is None:
             return "NO_DATA: the batch holds no rows."
         if self.tables.last_gold() != commit["batch_id"]:
-            self._logged(GOLD, batch_id, lambda: self._silver_to_gold(commit))
+            self._logged(GOLD, commit["batch_id"], lambda: self._silver_to_gold(commit))
         return "SUCCESS: " + ", ".join(f"{name}={n}" for name, n in commit["counts"].items())
 
     def _query_id(self) -> str | None:
@@ -103,36 +146,49 @@ class SupplierPipeline:
         try:
             result = work()
         except Exception as error:
-            self._log(job, batch_id, started, dict.fromkeys(("processed", "inserted", "updated", "rejected"), 0), error)
+            self._log(job, batch_id, started, dict.fromkeys(_NO_COUNTS, 0), error)
             raise
         if result["counts"] is not None:
             self._log(job, batch_id, started, result["counts"], None)
         return result
 
+    @staticmethod
+    def _run_name(job: tuple[str, str], batch_id: int) -> str:
+        return f"{batch_id:012d}-{job[1]}"
+
+    def _log_again(self, job: tuple[str, str], commit: dict) -> None:
+        """Write the row of a batch that was published but stopped before it was logged."""
+        missing = commit["batch_id"] in commit["since"] and not self.tables.run_written(self._run_name(job, commit["batch_id"]))
+        if commit["counts"] is not None and missing:
+            self._log(job, commit["batch_id"], datetime.fromisoformat(commit["run_ts"]), commit["counts"], None)
+
     def _log(self, job: tuple[str, str], batch_id: int, started: datetime, counts: dict, error: Exception | None) -> None:
-        """Append one row; the run id follows the highest one in the log, which has one row per run."""
-        tables = self.tables
-        highest = tables.run_log().agg(F.max("run_id")).first()[0] or 0
-        name = f"{batch_id:012d}-{job[1]}" + (f"-failed-{highest + 1}" if error else "")
+        """Write one row, in a folder of its own."""
+        run_id = self.tables.next_run_id()
+        name = self._run_name(job, batch_id) + (f"-failed-{run_id}" if error else "")
         row = {
-            "run_id": highest + 1,
+            "run_id": run_id,
             "task_name": job[0],
             "procedure_name": job[1],
             "start_time": started.isoformat(sep=" "),
             "end_time": self.clock().isoformat(sep=" "),
-            **{f"rows_{name}": counts[name] for name in ("processed", "inserted", "updated", "rejected")},
+            **{f"rows_{name}": counts[name] for name in _NO_COUNTS},
             "status": "FAILED" if error else "SUCCESS",
             "error_message": str(error) if error else None,
         }
-        one = tables.spark.range(0, 1, 1, 1).select(*[F.lit(value).alias(column) for column, value in row.items()])
-        tables.write_run(name, conform(one, PIPELINE_RUN_LOG))
+        one = self.tables.spark.range(0, 1, 1, 1).select(*[F.lit(value).alias(column) for column, value in row.items()])
+        self.tables.write_run(name, conform(one, PIPELINE_RUN_LOG))
 
     # Bronze to Silver
 
-    def _ingest(self, lines: DataFrame, batch_id: int, run_ts: Column, last_log_id: int) -> int:
+    def _ingest(self, lines: DataFrame, batch_id: int, run_ts: Column, last_log_id: int, skip_loaded: bool = False) -> int:
         """Write the batch's raw rows and load log; the number of files logged."""
         tables = self.tables
-        rows = csv_batches.split_rows(lines).persist()
+        first_name = self._ledger.first_name if self._ledger is not None else lambda name: name
+        rows = csv_batches.split_rows(lines, first_name)
+        if skip_loaded:  # a new checkpoint offers every file again
+            rows = rows.join(tables.load_log().select(F.col("file_name").alias(FILE)), FILE, "left_anti")
+        rows = rows.persist()
         try:
             tables.write_batch(csv_batches.parse(rows, run_ts), RAW, batch_id, "_loaded")
         finally:
@@ -140,15 +196,16 @@ class SupplierPipeline:
         stored = tables.raw_batch(batch_id, True).unionByName(tables.raw_batch(batch_id, False))
         log = number_rows(audit.load_log(stored, PIPE, run_ts), "log_id", ("file_name",), last_log_id)
         tables.write_batch(conform(log, PIPE_LOAD_LOG), LOAD_LOG, batch_id)
-        return log.count()
+        return tables.load_log_of(batch_id).count()
 
-    def _bronze_to_silver(self, lines: DataFrame, batch_id: int) -> dict:
+    def _bronze_to_silver(self, lines: DataFrame, batch_id: int, offset: int = 0) -> dict:
         tables = self.tables
-        last = tables.last_commit() or {"live": {}, "last_ids": dict.fromkeys(("log", "summary", "reject", "sk"), 0)}
-        ids, live = dict(last["last_ids"]), dict(last["live"])
-        run_ts = _stamp(tables.batch_start(batch_id, self.clock()))
+        last = tables.last_commit() or _FIRST
+        ids = dict(last["last_ids"])
+        moment = tables.batch_start(batch_id, self.clock())
+        run_ts = _stamp(moment)
 
-        ids["log"] += self._ingest(lines, batch_id, run_ts, ids["log"])
+        ids["log"] += self._ingest(lines, batch_id, run_ts, ids["log"], offset > 0)
         raw = tables.raw_batch(batch_id)
         summary = routing.quality_summary(raw, run_ts.cast("date"))
         summary = conform(summary.withColumn("summary_id", F.lit(ids["summary"] + 1)), DQ_SUMMARY_SCHEMA)
@@ -162,68 +219,70 @@ class SupplierPipeline:
         tables.write_batch(conform(rejects, REJECTED_SUPPLIERS), REJECTED, batch_id)
         ids["reject"] += rejected
 
-        staged = materialize(latest.latest_per_key(routing.accepted(flagged)), "staged")
-        opened, expired, touched = self._update_dimension(staged, batch_id, run_ts, ids["sk"])
+        # One row per supplier and file: the last one in the file.
+        accepted = routing.accepted(flagged, "_file_time").withColumnRenamed("_file_time", "file_time")
+        staged = materialize(latest.latest_per_key(accepted, ("supplier_id", "source_file_name"), ARRIVAL), "staged")
+        opened, closed = self._update_dimension(staged, batch_id, run_ts, ids["sk"])
         ids["sk"] += opened
-        live.update({str(bucket): batch_id for bucket in touched})
 
         counts = None
         if total:
             counts = {
                 "processed": opened + rejected,
                 "inserted": opened,
-                "updated": expired,
+                "updated": closed,
                 "rejected": rejected,
                 "superseded": total - rejected - staged.count(),
             }
-        commit = {
+        commit = _FIRST | last | {
             "batch_id": batch_id,
-            "run_ts": tables.batch_start(batch_id, self.clock()).isoformat(),
-            "buckets": tables.buckets,
-            "live": live,
+            "run_ts": moment.isoformat(),
+            "since": [*last["since"], batch_id],
             "last_ids": ids,
             "counts": counts,
             "query_id": self._query_id() or last.get("query_id"),
+            "offset": offset,
         }
         tables.publish(commit)
         return commit
 
-    def _update_dimension(
-        self, staged: DataFrame, batch_id: int, run_ts: Column, last_sk: int
-    ) -> tuple[int, int, list[int]]:
-        """Expire changed versions and open new ones in the buckets that the batch touches.
+    def _update_dimension(self, staged: DataFrame, batch_id: int, run_ts: Column, last_sk: int) -> tuple[int, int]:
+        """Open a version for every delivery that changes its supplier, and close the one before.
 
-        Every join has the batch as its small side and Parquet sizes to judge it by, so a small
-        batch is broadcast and the stored versions are not shuffled for it; a large one is
-        shuffled. Open and closed rows go out in one write.
+        What the batch adds is all that is written: opened versions, and closed ones as whole rows. Stored versions are
+        read from the files that can hold the batch's suppliers; every join has the batch as its small side and Parquet
+        sizes to judge it by, so a small batch is broadcast and the stored versions are not shuffled for it.
         """
         tables = self.tables
-        bucketed = tables.bucket()
-        touched = [row[0] for row in staged.select(bucketed.alias("b")).distinct().collect()]
-        current = tables.current(touched)
+        current = tables.current(staged.select("supplier_id"))
         known = current.select("supplier_id", "record_hash").join(staged.select("supplier_id"), "supplier_id", "left_semi")
-        new = staged.join(known, ["supplier_id", "record_hash"], "left_anti")
-        opened = number_rows(history.as_versions(new, run_ts), "supplier_sk", ("supplier_id",), last_sk)
-        replaced = opened.select("supplier_id", F.lit(True).alias("_replaced"))
-        kept = current.join(replaced, "supplier_id", "left_outer")
-        kept = kept.withColumn("valid_to", F.when(F.col("_replaced"), run_ts).otherwise(F.col("valid_to")))
-        kept = kept.withColumn("is_current", F.col("_replaced").isNull())
-        rows = kept.select(*DIM_SUPPLIERS.names).unionByName(opened.select(*DIM_SUPPLIERS.names))
-        # Rows of a bucket meet in one task, and adaptive execution splits buckets that are too large.
-        clustered = rows.withColumn("bucket", bucketed).hint("rebalance", "bucket")
-        ordered = clustered.sortWithinPartitions("is_current", "bucket", "supplier_id")
-        tables.write_batch(ordered, DIM, batch_id, "is_current", "bucket")
-        return opened.count(), tables.closed_in(batch_id).count(), touched
+        new = history.open_versions(staged, known, run_ts, ARRIVAL)
+        opened = number_rows(new, "supplier_sk", ("supplier_id", "valid_from"), last_sk).select(*DIM_SUPPLIERS.names)
+        replaced = history.expire(current.join(opened.select("supplier_id"), "supplier_id", "left_semi"), run_ts)
+        rows = opened.withColumn("_was_open", F.lit(False)).unionByName(replaced.select(*DIM_SUPPLIERS.names).withColumn("_was_open", F.lit(True)))
+        tables.write_batch(rows, CHANGES, batch_id, "is_current")
+        written = tables.changes([batch_id]).agg(
+            F.count_if(~F.col("_was_open")).alias("opened"), F.count_if(~F.col("is_current")).alias("closed")
+        )
+        return tuple(written.first())
 
     # Silver to Gold
 
     def _silver_to_gold(self, commit: dict) -> dict:
+        """Gold from the last one and what the batches since have opened and closed; only without a last one, or if its
+        changes were folded away, from all open versions."""
         tables, version = self.tables, commit["batch_id"]
-        moment = datetime.fromisoformat(commit["run_ts"])
-        clean, run_ts = tables.clean(), _stamp(moment)
-        tables.write_gold(gold.agg_risk_spend(clean, run_ts), AGG_RISK_SPEND, version)
-        snapshot = gold.kpi_snapshot(clean, tables.current(), run_ts.cast("date"), run_ts)
-        tables.write_gold(snapshot, KPI_SNAPSHOT, version)
+        run_ts = _stamp(datetime.fromisoformat(commit["run_ts"]))
+        last = tables.last_gold()
+        missed = None if last is None else range(last + 1, version + 1)
+        if missed is None or not set(missed) <= set(commit["since"]):
+            state = gold.state_of(tables.current())
+        else:
+            state = gold.merged_state(tables.gold_state(), gold.state_change(tables.changes(list(missed))))
+        tables.write_gold(state, GOLD_STATE, version)
+        state = tables.gold_version(GOLD_STATE, version)
+        tables.write_gold(gold.agg_risk_spend_of(state, run_ts), AGG_RISK_SPEND, version)
+        tables.write_gold(gold.kpi_snapshot_of(state, run_ts.cast("date"), run_ts), KPI_SNAPSHOT, version)
         tables.publish_gold(version)
         rows = tables.agg_risk_spend().count() + tables.kpi_snapshot().count()
         return {"counts": {"processed": rows, "inserted": rows, "updated": 0, "rejected": 0}}
