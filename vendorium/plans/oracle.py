@@ -323,7 +323,14 @@ def statements() -> dict[str, str]:
         "AS delivery_duplicates, (SELECT COUNT(*) FROM clean) - (SELECT COUNT(DISTINCT supplier_id) FROM clean) "
         "AS clean_duplicates)",
     )
-    sql["reconcile"] = TO_CLEAN + _out("disagreeing:i", "(SELECT COUNT(*) - COUNT(*) AS disagreeing FROM clean)")
+    # Current state by each supplier's last delivery, open versions by where the hash last changed.
+    sql["reconcile"] = TO_CLEAN + _out(
+        "disagreeing:i",
+        """(SELECT COUNT(*) AS disagreeing
+        FROM (SELECT supplier_id, arg_max(record_hash, load_ts) AS state_hash FROM deliveries GROUP BY 1) d
+        FULL JOIN (SELECT supplier_id, record_hash AS open_hash FROM versions WHERE is_current) v USING (supplier_id)
+        WHERE state_hash IS DISTINCT FROM open_hash)""",
+    )
     sql["surrogate_keys"] = TO_CLEAN + _out(
         "supplier_sk:i supplier_id:s valid_from:s",
         "(SELECT row_number() OVER (ORDER BY supplier_id, valid_from) AS supplier_sk, * FROM versions)",
@@ -529,4 +536,54 @@ def statements() -> dict[str, str]:
         .replace(f"TIMESTAMP '{RUN_TS}'", "TIMESTAMP '2024-01-01 00:25:00'")
         .replace(f"DATE '{AS_OF}'", "DATE '2024-01-01'")
     )
+    sql["stream_folded"] = sql["stream_dimension"]
+    sql["stream_agg_risk_spend"] = (
+        sql["agg_risk_spend"].replace(TO_CLEAN, TO_STREAMED).replace(f"TIMESTAMP '{RUN_TS}'", "TIMESTAMP '2024-01-01 00:25:00'")
+    )
+    sql["stream_raw"] = TO_STREAMED + _out(_BUS + "batch:s _load_ts:s _ingestion_status:s", "loaded")
+    sql["stream_load_log"] = TO_STREAMED + _out(
+        "batch:s pipe_name:s load_ts:s row_count:i error_count:i unexplained:i misnamed:i gaps:i",
+        """(SELECT 'batch_' || batch_no AS batch, 'PIPE_RAW_SUPPLIERS' AS pipe_name, _load_ts AS load_ts, COUNT(*) AS row_count,
+          COUNT(error) AS error_count, 0 AS unexplained, 0 AS misnamed, 0 AS gaps FROM placed GROUP BY batch_no, _load_ts)""",
+    )
+    passed = "SUM(CASE WHEN rejection_reason = '' THEN 1 ELSE 0 END)"
+    sql["stream_dq_summary"] = TO_STREAMED + _out(
+        "summary_id:i check_date:s total_records:i passed_records:i failed_records:i pass_rate_pct:f top_failure_reason:s",
+        f"""(SELECT batch_no AS summary_id, CAST(_load_ts AS DATE) AS check_date, COUNT(*) AS total_records, {passed} AS passed_records,
+          COUNT(*) - {passed} AS failed_records, {_pct(passed, 'COUNT(*)')} AS pass_rate_pct, any_value(code) AS top_failure_reason
+        FROM checked LEFT JOIN (
+          SELECT batch_no, code FROM (
+            SELECT batch_no, unnest(string_split(rejection_reason, ' | ')) AS code FROM checked WHERE rejection_reason <> '')
+          GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY batch_no ORDER BY COUNT(*) DESC, code) = 1) USING (batch_no)
+        GROUP BY batch_no, _load_ts)""",
+    )
+    sql["stream_gold_check"] = TO_STREAMED + _out(
+        "suppliers:i groups:i contract_value:f differing:i",
+        """(SELECT COUNT(*) AS suppliers, SUM(contract_value_usd) AS contract_value,
+          (SELECT COUNT(*) FROM (SELECT DISTINCT region, category, risk_rating, last_audit_date FROM clean)) AS groups,
+          0 AS differing FROM clean)""",
+    )
+    sql["stream_one_trigger"] = TO_STREAMED + _out(
+        _BUS + "record_hash:s version:i is_current:s batch:s",
+        """(SELECT * EXCLUDE (batch), 'batch_' || batch_no AS batch,
+          row_number() OVER (PARTITION BY supplier_id ORDER BY load_ts) AS version
+        FROM versions JOIN (SELECT DISTINCT batch_no, _load_ts AS load_ts, 0 AS batch FROM feed) USING (load_ts))""",
+    )
+    refusal = "the tables were written by streaming query ?, this is ?: restore its checkpoint, resume with a new one, or use new tables"
+    refused = "(SELECT COUNT(*) FROM checked WHERE rejection_reason <> '')"
+    closed = "(SELECT COUNT(*) FROM versions WHERE NOT is_current)"
+    opened = "(SELECT COUNT(*) FROM versions)"
+    held = "(SELECT COUNT(*) + 1 FROM (SELECT DISTINCT region, category, risk_rating FROM clean))"
+    moment = "TIMESTAMP '2024-01-01 00:25:00' AS start_time"
+    sql["stream_cadence"] = TO_STREAMED + _out(
+        "run_id:i task_name:s procedure_name:s start_time:s rows_processed:i rows_inserted:i rows_updated:i rows_rejected:i "
+        "status:s error_message:s idle_seen:s",
+        f"""(SELECT 1 AS run_id, 'TASK_BRONZE_TO_SILVER' AS task_name, 'SP_BRONZE_TO_SILVER' AS procedure_name, {moment},
+          {opened} + {refused} AS rows_processed, {opened} AS rows_inserted, {closed} AS rows_updated, {refused} AS rows_rejected,
+          'SUCCESS' AS status, NULL AS error_message, TRUE AS idle_seen
+        UNION ALL
+        SELECT 2, 'TASK_SILVER_TO_GOLD', 'SP_SILVER_TO_GOLD', {moment}, {held}, {held}, 0, 0, 'SUCCESS', NULL, TRUE
+        UNION ALL
+        SELECT 3, 'TASK_BRONZE_TO_SILVER', 'SP_BRONZE_TO_SILVER', {moment}, 0, 0, 0, 0, 'FAILED', '{refusal}', TRUE)""",
+    )
     return sql

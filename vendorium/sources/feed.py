@@ -13,6 +13,7 @@ from vendorium.schemas import PIPELINE_RUN_LOG, RAW_SUPPLIERS, RAW_TEXT, conform
 from vendorium.session import read_table, spread
 
 BATCHES = 5
+FEED_TABLES = ("lineitem", "supplier", "nation", "region", "part")
 LINE_COLUMNS = (
     "l_orderkey",
     "l_partkey",
@@ -47,8 +48,12 @@ def batch_time(batch_no: Column) -> Column:
     return start + F.make_dt_interval(F.lit(0), F.lit(0), (batch_no * 5).cast("int"))
 
 
-def supplier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped rows of all five batches, plus `batch_no`."""
+def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Bronze-shaped rows of all five batches, plus `batch_no`; of the derived columns only these, if any are named.
+
+    Rows come out of a generator whole, so columns that a query does not need are best not made: what they are
+    derived from is then not read either.
+    """
 
     def table(name: str) -> DataFrame:
         return read_table(spark, f"{sf_dir}/{name}.parquet")
@@ -102,7 +107,7 @@ def supplier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The rows come out of a generator as whole structs. Later filters on them then stay above it:
     # pushed below, each would repeat these derivations and outgrow what the JVM compiles.
-    row = [name for name in delivered.columns if name not in ("bn", "_again")]
+    row = [name for name in delivered.columns if name not in ("bn", "_again") and (not columns or name in columns)]
     first = F.struct(F.col("bn").alias("batch_no"), *row)
     second = F.struct(F.lit(5).alias("batch_no"), *row)
     batches = F.inline(F.when(F.col("_again"), F.array(first, second)).otherwise(F.array(first)))
@@ -114,7 +119,8 @@ def supplier_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         stem.alias("_batch_id"),
         F.lit("LOADED").alias("_ingestion_status"),
     )
-    return raw.select(*[raw[f.name].cast(f.dataType).alias(f.name) for f in RAW_SUPPLIERS], "batch_no")
+    wanted = [f for f in RAW_SUPPLIERS if not columns or f.name in columns]
+    return raw.select(*[raw[f.name].cast(f.dataType).alias(f.name) for f in wanted], "batch_no")
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
