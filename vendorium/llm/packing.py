@@ -107,13 +107,13 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacit
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary).encode_many
         names = ("doc_id", "piece", "start", "length", "ids_crc32") + ("ids",) * ids
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = encode(text.as_py()) + end
+            for doc, raw in zip(batch.column(0).to_pylist(), encode(text.as_py() for text in batch.column(1)), strict=True):
+                raw += end
                 for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part if ids else None))

@@ -153,17 +153,17 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, ids_in_use:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, stream, writer, rows = encoder(vocabulary).encode, None, None, 0
+        encode, stream, writer, rows = encoder(vocabulary).encode_many, None, None, 0
         task = TaskContext.get().partitionId()
         system, base = _file_system(folder)
         partial, final = f"{base}/_part-{task:06d}-{uuid.uuid4().hex}", f"{base}/part-{task:06d}.tok"
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, raw in zip(batch.column(0).to_pylist(), encode(text.as_py() for text in batch.column(1)), strict=True):
                 if writer is None:
                     system.create_dir(base, recursive=True)
                     stream = system.open_output_stream(partial)
                     writer = TokenFileWriter(stream, bits)
-                writer.add(doc, encode(text.as_py()) + end)
+                writer.add(doc, raw + end)
                 rows += 1
         if writer is not None:
             writer.close()

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 
-_KNOWN_WORDS = 400_000  # words whose ids a Python worker remembers; it starts anew when they are more
+_KNOWN_WORDS = 200_000  # words whose ids a Python worker remembers, and as many of the generation before
 _LONG_WORD = 64  # longer words are encoded each time
+_PIECE = 1 << 20  # longer texts are encoded piece by piece, cut at white space
+_TAIL = ".,;:!?"
+_MARKS = re.compile(f"[{_TAIL}]+$", re.MULTILINE)
+_WHITE = re.compile("[ \n\t\r]")
+
+
+def _pieces(text: str) -> Iterator[str]:
+    start = 0
+    while start < len(text):
+        cut = _WHITE.search(text, start + _PIECE)
+        end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
 
 
 def default_vocabulary() -> str:
@@ -31,17 +47,35 @@ class WordEncoder:
     For vocabularies that drop white space and never join tokens across it (as `word_bpe_49k.json`), the ids of a
     text are those of its parts between white space, one after the other. The library encodes every part; a part
     seen before is looked up. Results equal those of encoding the whole text.
+
+    Words are remembered in two generations: when the young one is full it becomes the old one, and of that only words
+    that are met again are taken over. A word of letters with marks after it takes the ids of both, and one in ASCII
+    capitals those of the small letters, where the tokenizer itself splits and lowers so.
     """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(vocabulary)
-        self._known: dict[str, bytes] = {"": b""}
+        self._young: dict[str, bytes] = {"": b""}
+        self._old: dict[str, bytes] = {}
+        splits = self._tokenizer.pre_tokenizer
+        marked = "ab" + _TAIL
+        self._tail = _TAIL if splits is not None and [piece for piece, _ in splits.pre_tokenize_str(marked)] == ["ab", _TAIL] and self._raw(marked) == self._raw("ab") + self._raw(_TAIL) else ""
+        lowers = self._tokenizer.normalizer
+        self._lowers = lowers is not None and lowers.normalize_str(ascii_uppercase) == ascii_lowercase
+        # Small ASCII letters that stay one piece and stay as they are need the model alone.
+        self._model = self._tokenizer.model
+        one_piece = splits is not None and [piece for piece, _ in splits.pre_tokenize_str(ascii_lowercase)] == [ascii_lowercase]
+        self._direct = self._lowers and one_piece and lowers.normalize_str(ascii_lowercase) == ascii_lowercase and self._of_model(ascii_lowercase) == self._raw(ascii_lowercase)
 
     def _raw(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _of_model(self, word: str) -> bytes:
+        ids = [token.id for token in self._model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, words: list[str]) -> None:
         """Encode new words as one text and cut the ids where the words end."""
         encoding = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
@@ -51,37 +85,86 @@ class WordEncoder:
         cuts = np.searchsorted(first, ends)
         raw, start = ids.tobytes(), 0
         for word, cut in zip(words, (4 * cuts).tolist(), strict=True):
-            self._known[word] = raw[start:cut]
+            self._young[word] = raw[start:cut]
             start = cut
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers; none for null."""
-        if not text:
-            return b""
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self._known.__getitem__, words))
-        except KeyError:
-            pass
-        new = dict.fromkeys(word for word in words if word not in self._known)
-        plain = [word for word in new if self._plain(word)]
-        if len(self._known) + len(plain) > _KNOWN_WORDS:
-            self._known = {"": b""}
-            plain = [word for word in dict.fromkeys(words) if word and self._plain(word)]
+    def _cores(self, words: list[str]) -> list[str]:
+        """For each word the letters of it if it is letters with marks after them, small where that makes no difference;
+        else the word."""
+        joined = "\n".join(words)
+        small = joined.lower() if self._lowers and joined.isascii() else joined
+        cores = (_MARKS.sub("", small) if self._tail else small).split("\n")
+        return [core if core.isalpha() else word for core, word in zip(cores, words, strict=True)]
+
+    def _meet(self, words: set[str]) -> None:
+        """Remember these words."""
+        old, young = self._old, self._young
+        again = words & old.keys()
+        young.update((word, old[word]) for word in again)
+        ascii_, other = [], []
+        for word in words - again:
+            (ascii_ if word.isascii() else other).append(word)
+        new = ascii_ + other
+        if not new:
+            return
+        cores = (self._cores(ascii_) if ascii_ else []) + (self._cores(other) if other else [])
+        tails = [word[len(core) :] for word, core in zip(new, cores, strict=True)]
+        parts = {*cores, *tails} - young.keys()
+        again = parts & old.keys()
+        young.update((part, old[part]) for part in again)
+        parts -= again
+        if self._direct:
+            tokenize, pack = self._model.tokenize, struct.pack
+            letters = [part for part in parts if part.isascii() and part.isalpha() and part.islower()]
+            for part in letters:
+                ids = [token.id for token in tokenize(part)]
+                young[part] = pack(f"<{len(ids)}I", *ids)
+            parts.difference_update(letters)
+        plain = [part for part in parts if self._plain(part)]
         for at in range(0, len(plain), 4096):
             self._learn(plain[at : at + 4096])
-        return b"".join([known if (known := self._known.get(word)) is not None else self._rare(word) for word in words])
+        for part in parts.difference(plain):
+            young[part] = self._raw(part)
+        young.update((word, young[core] + young[tail]) for word, core, tail in zip(new, cores, tails, strict=True) if word != core)
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers; none for null."""
+        return next(self.encode_many([text]))
+
+    def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text. New words of about `_PIECE` characters of text are looked up together."""
+        waiting: list[str] = []
+        size = 0
+        for text in texts:
+            if text and len(text) > _PIECE:
+                yield from self._joined(waiting)
+                waiting, size = [], 0
+                yield b"".join(raw for piece in _pieces(text) for raw in self._joined([piece]))
+                continue
+            waiting.append(text or "")
+            size += len(waiting[-1])
+            if size > _PIECE:
+                yield from self._joined(waiting)
+                waiting, size = [], 0
+        yield from self._joined(waiting)
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        if len(self._young) > _KNOWN_WORDS:
+            self._old, self._young = self._young, {"": b""}
+        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
+        words: set[str] = set()
+        for own in split:
+            words.update(own)
+        words -= self._young.keys()
+        long = {word for word in words if len(word) > _LONG_WORD}
+        self._meet(words - long)
+        known = self._young | {word: self._raw(word) for word in long} if long else self._young
+        return [b"".join(map(known.__getitem__, own)) for own in split]
 
     @staticmethod
     def _plain(word: str) -> bool:
         """Whether the library's places in a joined text are sure to fall on the word's own ends."""
-        return len(word) <= _LONG_WORD and unicodedata.is_normalized("NFC", word)
-
-    def _rare(self, word: str) -> bytes:
-        ids = self._raw(word)
-        if len(word) <= _LONG_WORD and len(self._known) < _KNOWN_WORDS:
-            self._known[word] = ids
-        return ids
+        return word.isascii() or unicodedata.is_normalized("NFC", word)
 
 
 @lru_cache(maxsize=2)
