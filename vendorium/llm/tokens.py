@@ -94,7 +94,12 @@ class WordEncoder:
         joined = "\n".join(words)
         small = joined.lower() if self._lowers and joined.isascii() else joined
         cores = (_MARKS.sub("", small) if self._tail else small).split("\n")
-        return [core if core.isalpha() else word for core, word in zip(cores, words, strict=True)]
+        return [core if core.isalpha() and (core.isascii() or self._stays_letters(core)) else word for core, word in zip(cores, words, strict=True)]
+
+    @staticmethod
+    def _stays_letters(core: str) -> bool:
+        """Whether a normalizer leaves letters: some become a letter with a mark, which joins the marks after it."""
+        return unicodedata.is_normalized("NFC", core) and core.lower().isalpha()
 
     def _meet(self, words: set[str]) -> None:
         """Remember these words."""
