@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
 from typing import Any
@@ -18,7 +19,29 @@ _KINDS: dict[str, tuple[type, ...]] = {"string": (str,), "integer": (int,), "num
 
 def canonical(value: Any) -> str:
     """One text for equal values: keys in code point order, no spaces, no escapes but the needed ones."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def _refused(constant: str) -> None:
+    raise ValueError(f"{constant} is no JSON")
+
+
+def _finite(digits: str) -> float:
+    number = float(digits)
+    if math.isinf(number):
+        _refused(digits)
+    return number
+
+
+def parsed(text: str) -> Any:
+    """A JSON value that can be written as UTF-8 JSON again. ValueError for anything else: no JSON, NaN and infinite
+    numbers, lone surrogates, and values nested too deeply to be read."""
+    try:
+        value = json.loads(text, parse_constant=_refused, parse_float=_finite)
+        canonical(value).encode("utf-8")
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+    return value
 
 
 _LIMITS = ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "minItems", "maxItems")
@@ -192,11 +215,12 @@ def link_calls(calls: DataFrame, results: DataFrame, needs: DataFrame, schemas:
             for call_id, name, arguments, content, level, turn, result_turn in zip(*batch, strict=True):
                 error, value = None, None
                 try:
-                    value = json.loads(arguments) if arguments is not None else {}
+                    value = parsed(arguments) if arguments is not None else {}
+                    error = problem(value, schemas[name], "arguments") if name in schemas else f"unknown tool {name}"
                 except ValueError:
                     error, value = "arguments: no JSON", arguments
-                if error is None:
-                    error = problem(value, schemas[name], "arguments") if name in schemas else f"unknown tool {name}"
+                except RecursionError:  # read, but too deep to be checked
+                    error, value = "arguments: nested too deeply", arguments
                 if error is None and pd.isna(level):
                     error = "cycle"
                 if error is None and not pd.isna(result_turn) and not pd.isna(turn) and result_turn < turn:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.llm.shipping import ship
-from vendorium.llm.words import buffers
+from vendorium.llm.words import buffers, is_long
 
 ORDER = 3  # longest context, in bytes
 SAMPLE_PER_LANGUAGE = 2_000  # documents of each language that statistics are taken from, about
@@ -22,6 +22,7 @@ RAW_BITS = 8.0  # bits a byte takes without a model
 
 _START = b"\n" * ORDER  # what stands before a text
 _SLOTS = 18  # binary logarithm of the places of a worker's table of windows
+_PIECE = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -39,6 +40,13 @@ def windows(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return whole[np.cumsum(keep[: len(whole)]).astype(bool)], lengths
 
 
+def long_windows(text: bytes) -> Iterator[np.ndarray]:
+    """The windows of one text, some at a time."""
+    for at in range(0, len(text), _PIECE):
+        before = text[max(0, at - ORDER) : at]
+        yield windows([before + text[at : at + _PIECE]])[0][len(before) :]
+
+
 def normal(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "surrogatepass")
 
@@ -115,9 +123,12 @@ class Scorer:
         return costs
 
     def bits(self, texts: Sequence[bytes]) -> np.ndarray:
-        """Total bits of each text under each language."""
+        """Total bits of each text under each language. Long texts are read in pieces."""
         totals = np.zeros((len(texts), len(self._languages.names)))
         for first, last in buffers(texts):
+            if is_long(texts[first]):
+                totals[first] = sum(self._window_costs(found).sum(axis=0, dtype=np.float64) for found in long_windows(texts[first]))
+                continue
             found, lengths = windows(texts[first:last])
             rows = np.flatnonzero(lengths)
             if len(rows):
@@ -167,8 +178,9 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Languages
             rows = pd.DataFrame({"lang": batch.column(0).to_pylist(), "text": batch.column(1).to_pylist()})
             for lang, own in rows.groupby("lang"):
                 texts = [normal(text) for text in own["text"]]
-                for first, last in buffers(texts):
-                    found, number = np.unique(windows(texts[first:last])[0], return_counts=True)
+                parts = (part for first, last in buffers(texts) for part in (long_windows(texts[first]) if is_long(texts[first]) else [windows(texts[first:last])[0]]))
+                for part in parts:
+                    found, number = np.unique(part, return_counts=True)
                     yield pa.RecordBatch.from_pydict({"lang": [lang] * len(found), "window": found.astype(np.int64), "seen": number.astype(np.int64)})
 
     sample = known.filter(drawn < share).select("lang", "text").mapInArrow(count, "lang string, window long, seen long")

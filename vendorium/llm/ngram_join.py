@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,43 +13,66 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vendorium.llm.components import connected_components
 from vendorium.llm.scratch import Scratch, fresh_name
 from vendorium.llm.shipping import ship
-from vendorium.llm.words import shingle_sets
+from vendorium.llm.words import mix, shingle_sets
 
 WORDS, PERCENT = 4, 85
 FRAGMENTS = 8
+_TRIES = 8
 _BUCKET_BITS = 18  # n-grams are counted in 2**18 buckets of their hash
 _LOW_BITS = np.uint64(64 - _BUCKET_BITS)
 _LOW_MASK = (np.uint64(1) << _LOW_BITS) - np.uint64(1)
 _FILTER_BITS = 22  # classes that take part in a check are marked in 2**22 bits
 
 
-def _classes(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each text of the batch's `text` column the number of its set, a 64-bit digest, and the set as sorted hashes."""
+def digest(values: bytes, seed: int) -> int:
+    """The number of a set: 64 bits of a digest."""
+    return int.from_bytes(hashlib.blake2b(values, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "big", signed=True)
+
+
+@dataclass(frozen=True)
+class Sets:
+    """How texts become numbered sets: words a shingle, and the digest with its seed."""
+
+    words: int
+    digest: Callable[[bytes, int], int] = digest
+    seed: int = 0
+
+    def number(self, values: np.ndarray) -> int:
+        return self.digest(values.tobytes(), self.seed)
+
+
+def _classes(batch: pa.RecordBatch, sets: Sets) -> Iterator[tuple[int, np.ndarray]]:
+    """For each text of the batch's `text` column the number of its set, and the set as sorted hashes."""
     for at in range(0, batch.num_rows, 500):
-        for values in shingle_sets(batch.column("text").slice(at, 500).to_pylist(), words):
-            yield int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "big", signed=True), values
+        for values in shingle_sets(batch.column("text").slice(at, 500).to_pylist(), sets.words):
+            yield sets.number(values), values
 
 
-def _members(docs: DataFrame, words: int, carry: Sequence[str]) -> DataFrame:
-    """doc_id, what is carried along, set size n, and the number cls of the set."""
+def _members(docs: DataFrame, sets: Sets, carry: Sequence[str]) -> DataFrame:
+    """doc_id, what is carried along, set size n, the number cls of the set, and another 64 bits to hold it against."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(values), cls) for cls, values in _classes(batch, words)]
-            arrays = [pa.array([n for n, _ in found], pa.int32()), pa.array([cls for _, cls in found], pa.int64())]
-            names = ["doc_id", *batch.schema.names[2:], "n", "cls"]
+            found = [(len(values), cls, _check(values)) for cls, values in _classes(batch, sets)]
+            arrays = [pa.array([row[at] for row in found], kind) for at, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+            names = ["doc_id", *batch.schema.names[2:], "n", "cls", "other"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *arrays], names=names)
 
-    return source.mapInArrow(make, f"doc_id long, {kinds + ', ' if kinds else ''}n int, cls long")
+    return source.mapInArrow(make, f"doc_id long, {kinds + ', ' if kinds else ''}n int, cls long, other long")
+
+
+def _check(values: np.ndarray) -> int:
+    """64 bits of a set that do not depend on its digest."""
+    return int(np.add.reduce(mix(values)).view(np.int64)) if len(values) else 0
 
 
-def _each_class(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray]]:
+def _each_class(batches: Iterator[pa.RecordBatch], sets: Sets) -> Iterator[tuple[int, np.ndarray]]:
     """The classes of a task's texts, each once, without the empty set: copies go before anything is shuffled."""
     seen: set[int] = set()
     for batch in batches:
-        for cls, grams in _classes(batch, words):
+        for cls, grams in _classes(batch, sets):
             if len(grams) and cls not in seen:
                 seen.add(cls)
                 yield cls, grams
@@ -71,12 +95,12 @@ class GramOrder:
         return np.sort((self.rank[bucket] << _LOW_BITS) | (grams & _LOW_MASK))
 
 
-def _gram_order(texts: DataFrame, words: int, fragments: int) -> GramOrder:
+def _gram_order(texts: DataFrame, sets: Sets, fragments: int) -> GramOrder:
     """Count all n-grams in buckets; the driver gets one number for each of the 2**18 buckets, whatever the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _BUCKET_BITS, dtype=np.int64)
-        for _, grams in _each_class(batches, words):
+        for _, grams in _each_class(batches, sets):
             buckets, seen = np.unique((grams >> _LOW_BITS).astype(np.int64), return_counts=True)
             counts[buckets] += seen
         used = np.flatnonzero(counts)
@@ -88,11 +112,11 @@ def _gram_order(texts: DataFrame, words: int, fragments: int) -> GramOrder:
     return GramOrder(counts, fragments)
 
 
-def _prefixes(texts: DataFrame, words: int, order: GramOrder, percent: int) -> DataFrame:
+def _prefixes(texts: DataFrame, sets: Sets, order: GramOrder, percent: int) -> DataFrame:
     """The rarest n-grams of each class, so many that two similar sets must share one: (gram, cls, n, place)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cls, grams in _each_class(batches, words):
+        for cls, grams in _each_class(batches, sets):
             size = len(grams)
             prefix = order.places(grams)[: size - -(-percent * size // 100) + 1]
             columns = [
@@ -158,8 +182,9 @@ def _slot(cls: Column) -> Column:
     return F.shiftrightunsigned(cls, 64 - _FILTER_BITS)
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, percent: int, scratch: Scratch, label: str) -> DataFrame:
-    """Those of the pairs that are similar: overlaps are counted in each fragment by itself and summed per pair.
+def _links(pairs: DataFrame, texts: DataFrame, sets: Sets, order: GramOrder, percent: int, scratch: Scratch, label: str) -> DataFrame:
+    """Those of the pairs that are similar. A fragment of a set is a row: the overlap of each pair is counted for each
+    fragment by itself, by a join on class and fragment, and summed per pair.
 
     Only classes in a pair have their sets cut and sent. They are picked while the sets are read, by a bit for each
     of 2**22 hash slots; a class that only shares a slot is sent in vain and then has no pair.
@@ -171,31 +196,37 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, order: GramOrder, per
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(marked).astype(bool)
-        for cls, grams in _each_class(batches, words):
+        for cls, grams in _each_class(batches, sets):
             if wanted[(cls % 2**64) >> (64 - _FILTER_BITS)]:
                 places = order.places(grams)
                 bounds = [0, *np.searchsorted(places, order.pivots).tolist(), len(places)]
-                parts = [places[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict({"cls": pa.array([cls], pa.int64()), "parts": pa.array([parts], pa.list_(pa.list_(pa.int64())))})
-
-    # A class read by several tasks comes several times; its parts are equal, so any will do. Both joins use this one
-    # exchange.
-    parts = texts.mapInArrow(cut, "cls long, parts array<array<long>>").groupBy("cls").agg(F.first("parts").alias("parts"))
-    low = parts.select(F.col("cls").alias("low"), F.col("parts").alias("low_parts"))
-    high = parts.select(F.col("cls").alias("high"), F.col("parts").alias("high_parts"))
-    partial = F.zip_with("low_parts", "high_parts", lambda a, b: F.size(F.array_intersect(a, b)).cast("long"))
-    whole = pairs.join(low, "low").join(high, "high")
-    whole = whole.select("low", "high", "low_n", "high_n", F.aggregate(partial, F.lit(0).cast("long"), lambda x, y: x + y).alias("shared"))
+                filled = [(fragment, places[a:b].view(np.int64)) for fragment, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
+                columns = [pa.array([cls] * len(filled), pa.int64()), pa.array([fragment for fragment, _ in filled], pa.int32())]
+                grams_of = pa.array([part for _, part in filled], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*columns, grams_of], names=["cls", "fragment", "grams"])
+
+    # A class read by several tasks comes several times; its fragments are equal, so any will do. Both joins use this
+    # one exchange.
+    parts = texts.mapInArrow(cut, "cls long, fragment int, grams array<long>").groupBy("cls", "fragment").agg(F.first("grams").alias("grams"))
+    low = parts.select(F.col("cls").alias("low"), "fragment", F.col("grams").alias("low_grams"))
+    high = parts.select(F.col("cls").alias("high"), "fragment", F.col("grams").alias("high_grams"))
+    partial = F.size(F.array_intersect("low_grams", "high_grams")).cast("long")
+    each = pairs.join(low, "low").join(high, ["high", "fragment"]).select("low", "high", "low_n", "high_n", partial.alias("shared"))
+    whole = each.groupBy("low", "high", "low_n", "high_n").agg(F.sum("shared").alias("shared"))
     similar = 100 * F.col("shared") >= percent * (F.col("low_n") + F.col("high_n") - F.col("shared"))
     return scratch.write(whole.filter(similar).select("low", "high"), f"{label}-links")
 
 
-def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, fragments: int = FRAGMENTS, carry: Sequence[str] = ()) -> DataFrame:
+def similar_components(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, fragments: int = FRAGMENTS, carry: Sequence[str] = (), number: Callable[[bytes, int], int] = digest
+) -> DataFrame:
     """For every row its doc_id, what is carried along, its set size, its component's smallest doc_id and `component`,
     a number that tells components apart even where rows repeat a doc_id (null for an empty set).
 
     Sets are distinct word n-grams (as `words.shingle_sets` has them); two link if 100 * intersection >= percent *
-    union. Documents with equal sets form one class, found by a 64-bit digest, and classes are joined:
+    union. Documents with equal sets form one class, found by a 64-bit digest, `number`. Every class is held against its size and
+    another 64 bits of each of its sets first; if two sets share a digest, digests are made anew under another seed.
+    Classes are joined:
 
     1. Count n-grams, order them from rare to frequent and cut that order into fragments of equal weight.
     2. Each class puts its rarest n-grams forward. Where an n-gram has several classes, all are paired with one of
@@ -205,8 +236,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
        So every link either is found or joins two that are in one component already.
 
     Null, empty and blank texts have an empty set and stay alone. Null doc_ids take part; a component made of them
-    alone has null. Repeated rows are copies. Hashes have 64 bits, within sets and
-    of sets: among a thousand million different sets two are taken for one with a probability of 3 %.
+    alone has null. Repeated rows are copies. Shingles are 64-bit hashes. Long texts are read in pieces.
 
     Sets are made from the texts in each step that needs them: five passes over `docs`, so it should be a stored
     table. Kept sets would take twice the room of the compressed texts.
@@ -215,8 +245,16 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     ship(spark)
     scratch = Scratch(spark)
     texts = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null")
-    order = _gram_order(texts, words, fragments)
-    prefixes = scratch.write(_prefixes(texts, words, order, percent), "gram-prefixes")
+    for seed in range(_TRIES):
+        sets = Sets(words, number, seed)
+        narrow = scratch.write(_members(docs, sets, carry), "gram-members")
+        differ = (F.min("n") != F.max("n")) | (F.min("other") != F.max("other"))
+        if narrow.groupBy("cls").agg(differ.alias("differ")).filter("differ").isEmpty():
+            break
+    else:
+        raise RuntimeError(f"different sets share a digest under each of {_TRIES} seeds")
+    order = _gram_order(texts, sets, fragments)
+    prefixes = scratch.write(_prefixes(texts, sets, order, percent), "gram-prefixes")
     # Nearly all n-grams have one class, and go no further.
     several = prefixes.groupBy("gram").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).filter("first < last")
     shared = prefixes.join(several.select("gram"), "gram").distinct()
@@ -229,7 +267,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     star = star.select("cls", "n", "place", F.col("centre.cls").alias("other"), F.col("centre.n").alias("other_n"), F.col("centre.place").alias("other_place"))
     bound = _can_link(F.col("n"), F.col("place"), F.col("other_n"), F.col("other_place"), percent)
     pairs = scratch.write(_pairs(star.filter(bound)), "star-pairs")
-    links = _links(pairs, texts, words, order, percent, scratch, "star")
+    links = _links(pairs, texts, sets, order, percent, scratch, "star")
     joined = scratch.write(connected_components(links, scratch, "first-stars"), "first-components")
 
     grams = shared.select("gram", "cls", "n", "place").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
@@ -243,11 +281,10 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     rest = scratch.write(rest, "cross-candidates")
     # Every n-gram that classes of two components share is in `left`.
     rest = scratch.write(_sharing_enough(rest, left.select("cls", "gram"), percent), "cross-pairs")
-    links = links.unionByName(_links(rest, texts, words, order, percent, scratch, "cross"))
+    links = links.unionByName(_links(rest, texts, sets, order, percent, scratch, "cross"))
     joined = scratch.write(connected_components(links, scratch, "last-stars"), "last-components")
 
     scratch.drop("gram-shared", "gram-components")
-    narrow = scratch.write(_members(docs, words, carry), "gram-members")
     classes = narrow.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     classes = classes.join(joined.withColumnRenamed("node", "cls"), "cls", "left")
     classes = classes.withColumn("component", F.coalesce("component", "cls"))

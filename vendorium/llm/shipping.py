@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = 4 << 20
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 
@@ -28,5 +29,10 @@ def _sent(application: str, spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Spark's own file service hands the archive to every executor, also to those that come later."""
+    """Spark's own file service hands the archive to every executor, also to those that come later.
+
+    Batches of rows to and from the workers are held to `BATCH_BYTES`: the library's default of 64 MB stands several
+    times in the JVM and in Python at once, for each core.
+    """
     _sent(spark.sparkContext.applicationId, spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

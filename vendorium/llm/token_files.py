@@ -45,6 +45,10 @@ def unpack_ids(raw: bytes, count: int, bits: int) -> np.ndarray:
     return np.packbits(whole, axis=1, bitorder="little").view("<u4").ravel()
 
 
+# Hadoop's names of file systems, and pyarrow's.
+_SCHEMES = {"s3a://": "s3://", "s3n://": "s3://", "wasbs://": "abfs://", "dbfs:/": "/dbfs/"}
+
+
 class TokenFileWriter:
     """Write one file; only ids of the open block and two numbers for each document are kept in memory."""
 
@@ -138,6 +142,10 @@ class TokenFile:
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system for a path, also by the names that Hadoop has for it."""
+    for theirs, own in _SCHEMES.items():
+        if path.startswith(theirs):
+            path = own + path[len(theirs) :]
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
@@ -145,10 +153,11 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, ids_in_use:
     """Write `doc_id` and the ids of `text` in ascending doc_id order; one row for each file, with its id count.
 
     The folder must be shared by all executors and be one that pyarrow can write to. Nulls in doc_id come first; null
-    and empty texts have the end id alone; rows with equal doc_id follow in the order of their texts. A task writes
-    under a name of its own and then renames, so a repeated task replaces its file. An empty table gives no file.
+    and empty texts have the end id alone; rows with equal doc_id follow in the order of a hash of their texts. A
+    folder whose file system pyarrow does not know is refused before anything is encoded. A task writes under a name of its own and then renames, so a repeated task replaces its file. An empty table gives no file.
     """
     ship(docs.sparkSession)
+    _file_system(folder)  # raises for one that it does not know
     bits = bits_needed(ids_in_use)
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -174,7 +183,10 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, ids_in_use:
             yield pa.RecordBatch.from_pydict({"file": [f"{folder}/part-{task:06d}.tok"], "task": pa.array([task], pa.int64()), "n_docs": pa.array([rows], pa.int64()), "n_ids": pa.array([writer.n_ids], pa.int64())})
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share a doc_id, even whole rows, go to several ranges.
+    keyed = source.withColumn("_text", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
+    keys = ("doc_id", "_text", "_row")
+    ordered = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     manifest = f"{folder}/_files"
     ordered.mapInArrow(write, "file string, task long, n_docs long, n_ids long").write.parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)

@@ -14,7 +14,7 @@ import numpy as np
 
 _KNOWN_WORDS = 200_000  # words whose ids a Python worker remembers, and as many of the generation before
 _LONG_WORD = 64  # longer words are encoded each time
-_PIECE = 1 << 20  # longer texts are encoded piece by piece, cut at white space
+_PIECE = 1 << 17  # characters whose words are looked up together; longer texts are cut at white space
 _TAIL = ".,;:!?"
 _MARKS = re.compile(f"[{_TAIL}]+$", re.MULTILINE)
 _WHITE = re.compile("[ \n\t\r]")
@@ -101,23 +101,27 @@ class WordEncoder:
         """Whether a normalizer leaves letters: some become a letter with a mark, which joins the marks after it."""
         return unicodedata.is_normalized("NFC", core) and core.lower().isalpha()
 
-    def _meet(self, words: set[str]) -> None:
+    def _meet(self, words: list[str]) -> None:
         """Remember these words."""
         old, young = self._old, self._young
-        again = words & old.keys()
-        young.update((word, old[word]) for word in again)
         ascii_, other = [], []
-        for word in words - again:
-            (ascii_ if word.isascii() else other).append(word)
+        for word in words:
+            if (ids := old.get(word)) is not None:
+                young[word] = ids
+            else:
+                (ascii_ if word.isascii() else other).append(word)
         new = ascii_ + other
         if not new:
             return
         cores = (self._cores(ascii_) if ascii_ else []) + (self._cores(other) if other else [])
         tails = [word[len(core) :] for word, core in zip(new, cores, strict=True)]
-        parts = {*cores, *tails} - young.keys()
-        again = parts & old.keys()
-        young.update((part, old[part]) for part in again)
-        parts -= again
+        parts = set()
+        for part in {*cores, *tails}:  # looked up one by one: a difference of sets would go over all that is known
+            if part not in young:
+                if (ids := old.get(part)) is not None:
+                    young[part] = ids
+                else:
+                    parts.add(part)
         if self._direct:
             tokenize, pack = self._model.tokenize, struct.pack
             letters = [part for part in parts if part.isascii() and part.isalpha() and part.islower()]
@@ -160,9 +164,10 @@ class WordEncoder:
         words: set[str] = set()
         for own in split:
             words.update(own)
-        words -= self._young.keys()
-        long = {word for word in words if len(word) > _LONG_WORD}
-        self._meet(words - long)
+        young = self._young
+        new = [word for word in words if word not in young]
+        long = [word for word in new if len(word) > _LONG_WORD]
+        self._meet([word for word in new if len(word) <= _LONG_WORD] if long else new)
         known = self._young | {word: self._raw(word) for word in long} if long else self._young
         return [b"".join(map(known.__getitem__, own)) for own in split]
 

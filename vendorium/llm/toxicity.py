@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.llm.shipping import ship
-from vendorium.llm.words import Words, buffers, chain
+from vendorium.llm.words import Words, buffers, chain, is_long, pieces
 
 BITS = 20  # features are hashed to 2**BITS places; place 0 is the constant
 SAMPLE_PER_CLASS = 4_000  # labelled documents of each class that are learned from at most
@@ -49,11 +49,21 @@ class Weights:
 
 def feature_places(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
     """For each text the places of its words, word stems, pairs of words and pairs with one word between them,
-    repeats included. Null and empty texts have none."""
-    shift = np.uint64(64 - BITS)
+    repeats included. Null and empty texts have none. Long texts are read in pieces that overlap by two words, and have
+    each place once."""
     encoded = [(text or "").lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE) for text in texts]
     for first, last in buffers(encoded):
-        words = Words(encoded[first:last])
+        if is_long(encoded[first]):
+            yield np.unique(np.concatenate([np.unique(_places([piece])[0]) for piece in pieces(encoded[first], 2)]))
+            continue
+        yield from _places(encoded[first:last])
+
+
+def _places(encoded: Sequence[bytes]) -> list[np.ndarray]:
+    shift = np.uint64(64 - BITS)
+    found = []
+    if encoded:
+        words = Words(encoded)
         single = words.hashes()
         kinds = [single, *(chain(words.hashes(size), np.uint64(size)) for size in STEMS)]
         pairs = [(chain(single[:-ahead], single[ahead:] + np.uint64(ahead)), ahead) for ahead in (1, 2) if len(single) > ahead]
@@ -61,7 +71,8 @@ def feature_places(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         pairs = [((values >> shift).astype(np.int32), ahead) for values, ahead in pairs]
         for start, end in zip(words.bounds[:-1], words.bounds[1:], strict=True):
             own = [values[start:end] for values in kinds] + [values[start : max(start, end - ahead)] for values, ahead in pairs]
-            yield np.concatenate(own)
+            found.append(np.concatenate(own))
+    return found
 
 
 def learn(rows: Iterator[tuple[np.ndarray, int]], rates: Rates, shift: float = 0.0) -> Weights:

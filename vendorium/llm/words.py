@@ -7,6 +7,7 @@ have equal hashes; two different ones agree with a probability of about 2**-63 t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,15 +21,20 @@ _random = np.random.default_rng(_SEED)
 _BYTE_VALUES = _random.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(int(_random.integers(0, 2**63)) * 2 + 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_GAP = re.compile(rb"[ \t-\r]")
+_NEXT = re.compile(rb"[ \t-\r]*+[^ \t-\r]++")
 _powers: dict[int, np.ndarray] = {}
 
 
 def _power_table(base: np.uint64, size: int) -> np.ndarray:
+    """Powers of a number; those for usual buffers are kept, longer tables are made for one use."""
     known = _powers.get(int(base))
     if known is None or len(known) < size:
         factors = np.full(max(size, 2 * _BUFFER_BYTES), base, dtype=np.uint64)
         factors[0] = 1
-        known = _powers[int(base)] = np.cumprod(factors, dtype=np.uint64)
+        known = np.cumprod(factors, dtype=np.uint64)
+        if len(known) == 2 * _BUFFER_BYTES:
+            _powers[int(base)] = known
     return known[:size]
 
 
@@ -43,7 +49,7 @@ def buffers(texts: Sequence[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts whose joint size is about `_BUFFER_BYTES`; every range has at least one text."""
     first, size = 0, 0
     for place, text in enumerate(texts):
-        if size and size + len(text) > _BUFFER_BYTES:
+        if place > first and size + len(text) > _BUFFER_BYTES:
             yield first, place
             first, size = place, 0
         size += len(text) + 1
@@ -51,6 +57,35 @@ def buffers(texts: Sequence[bytes]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def is_long(text: bytes) -> bool:
+    """Whether a text is handled in pieces, so that memory does not grow with it."""
+    return len(text) > 4 * _BUFFER_BYTES
+
+
+def pieces(text: bytes, overlap: int) -> Iterator[bytes]:
+    """A long text in pieces of about `4 * _BUFFER_BYTES`, cut between words; each begins with the last `overlap` words
+    of the one before, so every run of one word more is whole in a piece. Only longer words make longer pieces."""
+    start, size = 0, 4 * _BUFFER_BYTES
+    while len(text) - start > size and (cut := _GAP.search(text, start + size)):
+        end = cut.start()
+        while (back := _last_words(text, start, end, overlap)) <= start and (more := _NEXT.match(text, end)):
+            end = more.end()
+        if back <= start:
+            break
+        yield text[start:end]
+        start = back
+    yield text[start:]
+
+
+def _last_words(text: bytes, start: int, end: int, number: int) -> int:
+    for _ in range(number):
+        end = start + len(text[start:end].rstrip())
+        end = max(text.rfind(space, start, end) for space in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")) + 1
+        if end <= start:
+            break
+    return end
+
+
 class Words:
     """The words of some texts: `bounds[i]:bounds[i + 1]` are the places of text i's words."""
 
@@ -77,19 +112,30 @@ def chain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+def _grams(single: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    grams = single[: max(0, len(single) - words + 1)]
+    for ahead in range(1, words):
+        grams = chain(grams, single[ahead : len(single) - words + 1 + ahead])
+    return grams
+
+
 def shingle_sets(texts: Sequence[str | None], words: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its word n-grams.
 
     A-Z are lower-cased and words are runs of anything but ASCII white space. A text with fewer words gives
-    the whole sequence as one shingle, a text without words none.
+    the whole sequence as one shingle, a text without words none. Long texts are read in overlapping pieces.
     """
     encoded = [(text or "").encode("utf-8", "surrogatepass").lower() for text in texts]
     for first, last in buffers(encoded):
+        if is_long(encoded[first]) and (parts := [np.unique(_grams(Words([piece]).hashes(), words)) for piece in pieces(encoded[first], words - 1)]):
+            whole = np.unique(np.concatenate(parts))
+            if len(whole):
+                yield whole
+                continue
         found = Words(encoded[first:last])
         single = found.hashes()
-        grams = single[: max(0, len(single) - words + 1)]
-        for ahead in range(1, words):
-            grams = chain(grams, single[ahead : len(single) - words + 1 + ahead])
+        grams = _grams(single, words)
         for start, end in zip(found.bounds[:-1], found.bounds[1:], strict=True):
             count = int(end - start)
             if count >= words:
