@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vendorium.llm import chat, language, mixing, ngram_join, token_files, tokens, toxicity, words
+from vendorium.llm import chat, language, mixing, ngram_join, sharding, token_files, tokens, toxicity, words
 
 
 def _long_text(size: int) -> str:
@@ -199,3 +199,37 @@ def test_learning_equals_a_plain_loop():
     plain = _plain_ftrl([(places.tolist(), label) for places, label in rows], rates, 0.25)
     assert dict(zip(learned.places.tolist(), learned.values.tolist(), strict=True)) == pytest.approx(plain, rel=1e-5)
     assert len(plain) > 10
+
+
+def _plain_feistel(number: int, rows: int, seed: int) -> int:
+    """One number through the network, again and again until it is below `rows`."""
+    keys = [int(key) for key in np.random.default_rng(seed).integers(0, 2**64, sharding.ROUNDS, dtype=np.uint64)]
+    half = max(1, (max(1, rows - 1).bit_length() + 1) // 2)
+    mask, all64 = (1 << half) - 1, (1 << 64) - 1
+
+    def mixed(value: int) -> int:
+        value = ((value ^ value >> 30) * 0xBF58476D1CE4E5B9) & all64
+        value = ((value ^ value >> 27) * 0x94D049BB133111EB) & all64
+        return value ^ value >> 31
+
+    while True:
+        left, right = number >> half, number & mask
+        for key in keys:
+            left, right = right, left ^ (mixed((right + key) & all64) & mask)
+        number = left << half | right
+        if number < rows:
+            return number
+
+
+def test_shards_equal_a_plain_loop(spark):
+    """Shard and slot of every row, also where a third of the rows are alike."""
+    import zlib
+
+    rows = [(5, "same")] * 300 + [(n % 400, f"text {n}") for n in range(600)] + [(None, None)] * 3
+    keys = sorted((doc is not None, doc or 0, len((text or "").encode()) + 1, zlib.crc32((text or "").encode())) for doc, text in rows)
+    wanted = []
+    for number, (known, doc, size, crc) in enumerate(keys):
+        place = _plain_feistel(number, len(rows), sharding.SEED)
+        wanted.append((doc if known else None, size, crc, "rows", place % 16, place // 16, None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert sorted(map(tuple, sharding.document_shards(docs).collect()), key=repr) == sorted(wanted, key=repr)
