@@ -44,6 +44,8 @@ LOADS = [
     ({"quality_score": "58.739999999999995"}, "quality_score", "58.74"),
     ({"quality_score": "100.01"}, "quality_score", "100.01"),
     ({"last_audit_date": "2022-1-5"}, "last_audit_date", "2022-01-05"),
+    ({"last_audit_date": "1/15/2022"}, "last_audit_date", "2022-01-15"),
+    ({"last_audit_date": "5-JAN-2022"}, "last_audit_date", "2022-01-05"),
     ({"is_active": "on"}, "is_active", True),
     ({"is_active": "N"}, "is_active", False),
 ]
@@ -54,6 +56,9 @@ FAILS = [
     ({"quality_score": "1000"}, "quality_score: cannot convert: 1000"),
     ({"last_audit_date": "2022"}, "last_audit_date: cannot convert: 2022"),
     ({"last_audit_date": "2022-02-30"}, "last_audit_date: cannot convert: 2022-02-30"),
+    ({"last_audit_date": "15/1/2022"}, "last_audit_date: cannot convert: 15/1/2022"),
+    ({"last_audit_date": "31-feb-2022"}, "last_audit_date: cannot convert: 31-feb-2022"),
+    ({"last_audit_date": "2022-01-05x"}, "last_audit_date: cannot convert: 2022-01-05x"),
     ({"is_active": "maybe"}, "is_active: cannot convert: maybe"),
     ({"supplier_id": "X" * 51}, "supplier_id: too long: " + "X" * 51),
 ]

@@ -28,6 +28,7 @@ NULL_TEXTS = ("NULL", "null", "")
 TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1")
 FALSE_TEXTS = ("false", "f", "no", "n", "off", "0")
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
+OTHER_DATES = ((r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"))
 UNCLOSED = "quoted field is not closed in the file"
 LINE_FEED = {"lineSep": "\n"}  # carriage returns stay, so that those inside quotes can be given back
 BROADCAST_BYTES = 128 << 20  # offsets of splits are broadcast up to this size
@@ -149,7 +150,10 @@ def _converted(name: str, kind: str, raw: Column) -> Column:
     if kind == "int":
         return raw.try_cast("decimal(38,0)").try_cast("int")
     if kind == "date":
-        return F.when(raw.rlike(DATE_PATTERN), raw.try_cast("date"))
+        found = F.when(raw.rlike(DATE_PATTERN), raw.try_cast("date"))
+        for pattern, form in OTHER_DATES:
+            found = found.when(raw.rlike(pattern), F.try_to_timestamp(F.initcap(raw), F.lit(form)).cast("date"))
+        return found
     if kind == "boolean":
         flag = F.lower(raw)
         return F.when(flag.isin(*TRUE_TEXTS), True).when(flag.isin(*FALSE_TEXTS), False)
