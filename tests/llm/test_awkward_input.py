@@ -78,6 +78,26 @@ def test_one_long_document_among_others(spark, make_docs):
     assert sets == {1: 3, 2: 1, 3: 1}
 
 
+def test_three_thousand_languages(spark):
+    """Each with a word of its own; what is learned stays within the sample's bytes, and most are told apart."""
+    rows = [(3 * n + k, f"l{n:04d}", f"w{n:04d} " * 12) for n in range(3000) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(8)
+    learned = language.train(docs)
+    assert len(learned.names) > 2500 and sum(len(tree.symbols[0]) for tree in learned.trees) < 100_000
+    few = docs.filter("doc_id % 601 = 0")
+    found = {row.doc_id: row.lang_pred for row in language.predict_documents(few, learned).collect()}
+    right = sum(found[doc] == lang for doc, lang, _ in rows if doc in found and lang in learned.names)
+    assert len(found) >= 8 and right >= 0.9 * sum(lang in learned.names for doc, lang, _ in rows if doc in found)
+
+
+def test_long_texts_make_the_sample_smaller(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 4000)
+    docs = spark.createDataFrame([(n, "en", f"word{n} " * 100) for n in range(400)], "doc_id long, lang string, text string")
+    few = language.train(docs)
+    monkeypatch.undo()
+    assert few.names == ("en",) and len(few.trees[0].symbols[-1]) < len(language.train(docs).trees[0].symbols[-1]) / 4
+
+
 @pytest.mark.parametrize("text", ["NaN", "[1, Infinity]", '{"a": -Infinity}', "1e999", '"\\ud800"', '{"\\udfff": 1}', "[" * 100_000, "{", ""])
 def test_json_that_cannot_be_written_again(text):
     with pytest.raises(ValueError):

@@ -16,12 +16,14 @@ from vendorium.llm.words import buffers, is_long
 
 ORDER = 3  # longest context, in bytes
 SAMPLE_PER_LANGUAGE = 2_000  # documents of each language that statistics are taken from, about
+SAMPLE_BYTES = 24 << 20  # text bytes of all languages together, about
+MOST_LANGUAGES = 4_096
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNKNOWN = "und"
 RAW_BITS = 8.0  # bits a byte takes without a model
 
 _START = b"\n" * ORDER  # what stands before a text
-_SLOTS = 18  # binary logarithm of the places of a worker's table of windows
+_SLOTS = 18  # binary logarithm of the places of a worker's table of windows, for up to 32 languages
 _PIECE = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -105,19 +107,20 @@ class Scorer:
 
     def __init__(self, languages: Languages):
         self._languages = languages
-        self._keys = np.zeros(1 << _SLOTS, dtype=np.uint32)
-        self._filled = np.zeros(1 << _SLOTS, dtype=bool)
-        self._costs = np.zeros((1 << _SLOTS, len(languages.names)), dtype=np.float32)
+        self._slots = max(8, _SLOTS - max(0, (len(languages.names) - 1).bit_length() - 5))  # fewer places for more languages
+        self._keys = np.zeros(1 << self._slots, dtype=np.uint32)
+        self._filled = np.zeros(1 << self._slots, dtype=bool)
+        self._costs = np.zeros((1 << self._slots, len(languages.names)), dtype=np.float32)
 
     def _window_costs(self, found: np.ndarray) -> np.ndarray:
-        slots = (found * np.uint32(2654435761)) >> np.uint32(32 - _SLOTS)
+        slots = (found * np.uint32(2654435761)) >> np.uint32(32 - self._slots)
         missing = np.flatnonzero((self._keys[slots] != found) | ~self._filled[slots])
         costs = self._costs[slots]
         if len(missing):
             new, place = np.unique(found[missing], return_inverse=True)
             own = np.stack([tree.cost(new) for tree in self._languages.trees], axis=1).astype(np.float32)
             costs[missing] = own[place]
-            slots = (new * np.uint32(2654435761)) >> np.uint32(32 - _SLOTS)
+            slots = (new * np.uint32(2654435761)) >> np.uint32(32 - self._slots)
             slots, first = np.unique(slots, return_index=True)
             self._keys[slots], self._filled[slots], self._costs[slots] = new[first], True, own[first]
         return costs
@@ -161,36 +164,41 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Languages
     """Statistics of a bounded sample of whole texts with a language, outside the held-out fold.
 
     A document is in the sample if the hash of its id and text is below the share that leaves about `per_language`
-    of its language. Windows are counted on the executors; the driver gets one number for each language and window of
-    the sample. Languages without a letter in their sample still count. No language at all gives an empty model.
+    of its language, or its part of `SAMPLE_BYTES` if that is less: many languages or long texts make shares smaller, so
+    what the driver gets, one number for each language and window of the sample, does not grow with either. Of more than
+    `MOST_LANGUAGES` languages those with the most documents are learned. Windows are counted on the executors.
+    Languages without a letter in their sample still count. No language at all gives an empty model.
     """
     ship(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT_FOLD))
-    counts = dict(known.groupBy("lang").count().collect())
-    if not counts:
+    counts = known.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text")).alias("bytes"))
+    most = counts.orderBy(F.desc("docs"), "lang").limit(MOST_LANGUAGES).collect()
+    if not most:
         return Languages((), ())
-    share = F.coalesce(*[F.when(F.col("lang") == lang, min(1.0, per_language / count)) for lang, count in sorted(counts.items())])
+    names = sorted(row.lang for row in most)
+    place = {name: at for at, name in enumerate(names)}
+    shares = [(place[row.lang], row.lang, min(1.0, per_language / row.docs, SAMPLE_BYTES / len(most) / max(1, row.bytes))) for row in most]
+    shares = docs.sparkSession.createDataFrame(shares, "place int, lang string, share double")  # MOST_LANGUAGES rows at most
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = pd.DataFrame({"lang": batch.column(0).to_pylist(), "text": batch.column(1).to_pylist()})
-            for lang, own in rows.groupby("lang"):
+            rows = pd.DataFrame({"place": batch.column(0).to_pylist(), "text": batch.column(1).to_pylist()})
+            for place, own in rows.groupby("place"):
                 texts = [normal(text) for text in own["text"]]
                 parts = (part for first, last in buffers(texts) for part in (long_windows(texts[first]) if is_long(texts[first]) else [windows(texts[first:last])[0]]))
                 for part in parts:
                     found, number = np.unique(part, return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"lang": [lang] * len(found), "window": found.astype(np.int64), "seen": number.astype(np.int64)})
-
-    sample = known.filter(drawn < share).select("lang", "text").mapInArrow(count, "lang string, window long, seen long")
-    seen = sample.groupBy("lang", "window").agg(F.sum("seen").alias("seen")).toPandas()
-    names = tuple(sorted(seen["lang"].unique()))
-    trees = []
-    for name in names:
-        own = seen[seen["lang"] == name]
-        trees.append(ContextTree.of(own["window"].to_numpy(np.uint32), own["seen"].to_numpy(np.float64)))
-    return Languages(names, tuple(trees))
+                    yield pa.RecordBatch.from_pydict({"place": pa.array([place] * len(found), pa.int32()), "window": found.astype(np.int64), "seen": number.astype(np.int64)})
+
+    sample = known.join(F.broadcast(shares), "lang").filter(drawn < F.col("share")).select("place", "text").mapInArrow(count, "place int, window long, seen long")
+    seen = sample.groupBy("place", "window").agg(F.sum("seen").alias("seen")).toPandas().sort_values(["place", "window"])
+    starts = np.searchsorted(seen["place"].to_numpy(), np.arange(len(names) + 1))
+    windows_, number = seen["window"].to_numpy(np.uint32), seen["seen"].to_numpy(np.float64)
+    learned = [at for at in range(len(names)) if starts[at] < starts[at + 1]]
+    trees = (ContextTree.of(windows_[starts[at] : starts[at + 1]], number[starts[at] : starts[at + 1]]) for at in learned)
+    return Languages(tuple(names[at] for at in learned), tuple(trees))
 
 
 def predict_column(languages: Languages) -> Callable[[Column], Column]:
