@@ -179,3 +179,33 @@ def test_unknown_schema_keywords_are_refused(spark, schema):
     nothing = spark.createDataFrame([], "conv_id long, turn long, call_id string, name string, arguments string, content string, needed string")
     with pytest.raises(ValueError, match="^tool"):
         chat.link_calls(nothing, nothing, nothing, {"tool": schema})
+
+
+def test_links_at_the_registered_recall(spark):
+    """Planted near copies under ten labels: nearly all links that comparing all pairs finds, and no other."""
+    random_ = np.random.default_rng(11)
+    rows, number = [], 0
+    for label in range(10):
+        centres = random_.standard_normal((40, 32))
+        for centre in centres:
+            for _ in range(random_.integers(1, 12)):
+                rows.append((number, str(label), (centre + random_.standard_normal(32) * 0.11).tolist()))
+                number += 1
+    found = multi_index.link_components(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")).collect()
+    units = np.array([row[2] for row in rows])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    labels = np.array([row[1] for row in rows])
+    linked = (units @ units.T >= 0.98) & (labels[:, None] == labels)
+    np.fill_diagonal(linked, False)
+    wanted = linked.sum(axis=1)
+    got = np.zeros(len(rows), dtype=np.int64)
+    for row in found:
+        got[row.vec_id] = row.n_links
+    assert wanted.sum() > 1000 and (got <= wanted).all() and got.sum() >= 0.97 * wanted.sum()
+    reach = np.arange(len(rows))
+    for _ in range(len(rows)):
+        again = np.minimum(reach, np.where(linked, reach[None, :], len(rows)).min(axis=1))
+        if (again == reach).all():
+            break
+        reach = again
+    assert np.mean([row.component_id == reach[row.vec_id] for row in found]) > 0.95

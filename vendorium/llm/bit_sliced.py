@@ -16,7 +16,7 @@ from vendorium.llm.vectors import by_dimension, is_usable
 SCALE = 1024
 K = 10
 BLOCK_ROWS = 16_384  # rows of one index block
-QUERY_ROWS = 128  # queries that meet a block together
+QUERY_ROWS = 2048  # queries that meet a block together
 _INT64 = 2.0**63
 _LEAST = -(2**63)
 

@@ -21,7 +21,8 @@ THRESHOLD = 0.98
 TARGET_RECALL = 0.99
 SAMPLE_BYTES = 16 << 20  # codebooks are fitted on at most so many bytes of vectors
 CELL_ROWS = 64  # rows that a cell of the grid should have about
-MOST_CODES = 256  # codes of one half at most, so the grid has up to 65,536 cells for each label
+MOST_CODES = 1024  # codes of one half at most, so the grid has up to a million cells for each label
+CODE_ROWS = 16  # sample rows for each code at least
 BLOCK_ROWS = 1024  # rows of a cell that are compared at once; larger cells are cut into blocks
 
 _KEYS = ["label", "dim", "cell"]
@@ -39,12 +40,17 @@ def _squared(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return np.maximum(0, (points**2).sum(1)[:, None] - 2 * points @ codes.T + (codes**2).sum(1))
 
 
+def _nearest(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The nearest code of each point, some thousand points at a time."""
+    return np.concatenate([_squared(points[at : at + 4096], codes).argmin(1) for at in range(0, len(points), 4096)])
+
+
 def _codebook(points: np.ndarray, codes: int, seed: int) -> np.ndarray:
     """Some rounds of k-means."""
     random = np.random.default_rng(seed)
     centres = points[random.choice(len(points), min(codes, len(points)), replace=False)]
     for _ in range(8):
-        nearest = _squared(points, centres).argmin(1)
+        nearest = _nearest(points, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, points)
         counts = np.bincount(nearest, minlength=len(centres))
@@ -102,11 +108,11 @@ class MultiIndex:
 
 
 def fit(sample: np.ndarray, total: int, threshold: float, recall: float) -> MultiIndex:
-    """Codebooks for `total` vectors from a sample of unit vectors, and the reach that finds `recall` of the pairs
+    """Codebooks for labels of about `total` vectors from a sample of unit vectors, and the reach that finds `recall` of the pairs
     at the threshold itself, measured on sample vectors turned by that angle in a random direction. Closer pairs are
     found more often. The reach never exceeds the distance at the threshold, which finds all."""
     width = sample.shape[1]
-    codes = int(min(MOST_CODES, max(2, math.sqrt(total / CELL_ROWS))))
+    codes = int(max(2, min(MOST_CODES, len(sample) / CODE_ROWS, math.sqrt(total / CELL_ROWS))))
     first, second = _halves(sample, width)
     index = MultiIndex(_codebook(first, codes, 1), _codebook(second, codes, 2), width, 0.0)
     random = np.random.default_rng(3)
@@ -194,7 +200,9 @@ def link_components(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     units = scratch.write(_unit_rows(vectors), "units")
     classes = units.groupBy("label", "dim", "cls").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.min("unit").alias("unit"))
     classes = scratch.write(classes, "classes")
-    total, width = classes.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    # Cells are those of one label, so the grid goes by the size of the label that a vector is in on average.
+    labels = classes.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    total, width = labels.agg(F.coalesce(F.sum(F.col("n").cast("double") ** 2) / F.sum("n"), F.lit(0.0)), F.coalesce(F.max("dim"), F.lit(1))).first()
     rows = max(2, SAMPLE_BYTES // (8 * width))
     drawn = classes.select("unit").orderBy(F.xxhash64("cls")).limit(rows).toPandas()["unit"]
     sample = np.zeros((max(1, len(drawn)), width))
