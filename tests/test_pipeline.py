@@ -291,6 +291,17 @@ def test_another_checkpoint_is_refused_and_logged_or_resumed(place):
     assert latest.duplicate_keys(tables.run_log(), "run_id").count() == 0
 
 
+def test_a_pattern_of_folders_and_a_missing_one(place):
+    tables, pipeline, landing = place
+    for name in ("a", "b"):
+        (landing / name).mkdir()
+        (landing / name / "x.csv").write_text(HEADER + _line(supplier_id=name))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        pipeline.start(str(landing / "nowhere")).awaitTermination()
+    _run(pipeline, f"{landing}/*")
+    assert {r.supplier_id for r in tables.clean().collect()} == {"a", "b"}
+
+
 def _write_in_order(landing, *texts, names=None):
     """Files whose times follow the order given."""
     begun = time.time() - 1000

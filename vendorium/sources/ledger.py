@@ -36,15 +36,17 @@ class Ledger:
         self._landing, self._offered = self._path(landing), self._path(offered)
         self._fs = self._landing.getFileSystem(self._conf)
         other = self._offered.getFileSystem(self._conf)
-        self.same_system = str(self._fs.getUri()) == str(other.getUri())
+        same_system = str(self._fs.getUri()) == str(other.getUri())
+        # A pattern of folders has no names below one folder; a folder that is not there is for the source to refuse.
+        self.offers = same_system and not re.search(r"[*?\[{]", landing) and self._fs.exists(self._landing)
         self.landing, self.offered = (str(self._fs.makeQualified(path).toUri().getPath()) for path in (self._landing, self._offered))
 
     def _path(self, *parts: str):
         return self._jvm.org.apache.hadoop.fs.Path(*parts)
 
     def source(self, landing: str) -> str:
-        """One pattern for both folders; the landing folder alone if they are on different file systems."""
-        if not self.same_system:
+        """One pattern for both folders; the landing folder alone if they are on different file systems or it is a pattern."""
+        if not self.offers:
             return landing
         self._fs.mkdirs(self._offered)
         uri = self._fs.getUri()

@@ -95,7 +95,7 @@ class SupplierPipeline:
         )
 
     def _offer(self) -> None:
-        if self._ledger is not None and self._ledger.same_system:
+        if self._ledger is not None and self._ledger.offers:
             self._ledger.offer(self.tables.load_log())
 
     def process(self, lines: DataFrame, batch_id: int) -> str:
