@@ -65,13 +65,13 @@ def draw(first: Column, step: Column, way: Column | int) -> Column:
     return ((first + step * way) % _RANGE).cast("double") / F.lit(float(_RANGE))
 
 
-def _numbered_repeats(docs: DataFrame, nth: str) -> DataFrame:
-    """Add the number of each row among those with its doc_id, by a digest of the text; equal rows are interchangeable.
+def _numbered_repeats(docs: DataFrame, nth: str, digest: str) -> DataFrame:
+    """Add the number of each row among those with its doc_id, by their `digest`; equal rows are interchangeable.
 
     Only rows whose doc_id comes again are moved, by ranges of (doc_id, digest, row), so that a frequent one is many
     tasks; without any nothing is.
     """
-    key, digest, place = (fresh_name(name, docs.columns) for name in ("_key", "_digest", "_place"))
+    key, place = (fresh_name(name, docs.columns) for name in ("_key", "_place"))
     keyed = docs.withColumn(key, F.col("doc_id").cast("string"))
     again = keyed.groupBy(key).agg(F.count("*").alias("_rows")).filter("_rows > 1").select(F.col(key).alias(f"{key}_"))
     again = Scratch(docs.sparkSession).write(again, "repeated-ids")
@@ -79,9 +79,9 @@ def _numbered_repeats(docs: DataFrame, nth: str) -> DataFrame:
         return docs.withColumn(nth, F.lit(1).cast("long"))
     same = F.col(key).eqNullSafe(F.col(f"{key}_"))
     once = keyed.join(again, same, "left_anti").withColumn(nth, F.lit(1).cast("long")).drop(key)
-    several = keyed.join(again, same, "left_semi").withColumn(digest, F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    several = keyed.join(again, same, "left_semi")
     row = fresh_name("_row", several.columns)
-    several = number_rows(several.withColumn(row, F.monotonically_increasing_id()), place, (key, digest, row)).drop(row, digest)
+    several = number_rows(several.withColumn(row, F.monotonically_increasing_id()), place, (key, digest, row)).drop(row)
     first = several.groupBy(F.col(key).alias(f"{key}_")).agg(F.min(place).alias(f"{place}_"))
     placed = several.join(first, same).withColumn(nth, F.col(place) - F.col(f"{place}_") + 1)
     return once.unionByName(placed.select(*docs.columns, nth))
@@ -99,11 +99,14 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int =
     new = ("size", "source_size", "target", "copies")
     kept = [name for name in docs.columns if name.lower() not in new]
     marked, own = fresh_name("_source", kept), fresh_name("_of", kept)
-    nth, first, step, way = (fresh_name(name, kept) for name in ("_nth", "_first", "_step", "_way"))
+    nth, first, step, way, digest = (fresh_name(name, kept) for name in ("_nth", "_first", "_step", "_way", "_digest"))
     scratch = Scratch(docs.sparkSession)
-    repeats = _numbered_repeats(docs.select(*kept), nth)
+    text = F.col("text").cast("string")
+    # Sizes and digests first: where only numbers are wanted, repeated rows are moved without their texts.
+    measured = docs.select(*kept, word_count(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias(digest))
+    repeats = _numbered_repeats(measured, nth, digest)
     hashes = [number.alias(name) for number, name in zip(draw_seeds(F.col("doc_id"), F.col(nth), seed), (first, step), strict=True)]
-    sized = repeats.select(*kept, word_count(F.col("text").cast("string")).alias("size"), *hashes, F.col("source").cast("string").alias(marked))
+    sized = repeats.select(*kept, "size", *hashes, F.col("source").cast("string").alias(marked))
     # Numbers only: texts are not written, and their words are counted once for all that follows.
     narrow = scratch.write(sized.select(marked, "size", first, step), "source-words")
     sizes = scratch.write(narrow.groupBy(F.col(marked).alias("source")).agg(F.sum("size").alias("source_size")), "source-sizes")
