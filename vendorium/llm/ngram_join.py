@@ -211,7 +211,9 @@ def _links(pairs: DataFrame, texts: DataFrame, sets: Sets, order: GramOrder, per
     low = parts.select(F.col("cls").alias("low"), "fragment", F.col("grams").alias("low_grams"))
     high = parts.select(F.col("cls").alias("high"), "fragment", F.col("grams").alias("high_grams"))
     partial = F.size(F.array_intersect("low_grams", "high_grams")).cast("long")
-    each = pairs.join(low, "low").join(high, ["high", "fragment"]).select("low", "high", "low_n", "high_n", partial.alias("shared"))
+    # Pairs have their fragments before they meet the sets, so that both joins are on the keys the exchange deals by.
+    each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(len(order.pivots)))))
+    each = each.join(low, ["low", "fragment"]).join(high, ["high", "fragment"]).select("low", "high", "low_n", "high_n", partial.alias("shared"))
     whole = each.groupBy("low", "high", "low_n", "high_n").agg(F.sum("shared").alias("shared"))
     similar = 100 * F.col("shared") >= percent * (F.col("low_n") + F.col("high_n") - F.col("shared"))
     return scratch.write(whole.filter(similar).select("low", "high"), f"{label}-links")
