@@ -12,7 +12,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 
-_KNOWN_WORDS = 200_000  # words whose ids a Python worker remembers, and as many of the generation before
+_KNOWN_WORDS = 350_000  # words whose ids a Python worker remembers, and as many of the generation before
 _LONG_WORD = 64  # longer words are encoded each time
 _PIECE = 1 << 17  # characters whose words are looked up together; longer texts are cut at white space
 _TAIL = ".,;:!?"
@@ -66,6 +66,7 @@ class WordEncoder:
         self._lowers = lowers is not None and lowers.normalize_str(ascii_uppercase) == ascii_lowercase
         # Small ASCII letters that stay one piece and stay as they are need the model alone.
         self._model = self._tokenizer.model
+        self._packed = [struct.pack("<I", number) for number in range(self._tokenizer.get_vocab_size() + 1)]
         one_piece = splits is not None and [piece for piece, _ in splits.pre_tokenize_str(ascii_lowercase)] == [ascii_lowercase]
         self._direct = self._lowers and one_piece and lowers.normalize_str(ascii_lowercase) == ascii_lowercase and self._of_model(ascii_lowercase) == self._raw(ascii_lowercase)
 
@@ -73,8 +74,7 @@ class WordEncoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _of_model(self, word: str) -> bytes:
-        ids = [token.id for token in self._model.tokenize(word)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join([self._packed[token.id] for token in self._model.tokenize(word)])
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words as one text and cut the ids where the words end."""
@@ -115,25 +115,20 @@ class WordEncoder:
             return
         cores = (self._cores(ascii_) if ascii_ else []) + (self._cores(other) if other else [])
         tails = [word[len(core) :] for word, core in zip(new, cores, strict=True)]
-        parts = set()
+        plain, direct, tokenize, packed = [], self._direct, self._model.tokenize, self._packed
         for part in {*cores, *tails}:  # looked up one by one: a difference of sets would go over all that is known
-            if part not in young:
-                if (ids := old.get(part)) is not None:
-                    young[part] = ids
-                else:
-                    parts.add(part)
-        if self._direct:
-            tokenize, pack = self._model.tokenize, struct.pack
-            letters = [part for part in parts if part.isascii() and part.isalpha() and part.islower()]
-            for part in letters:
-                ids = [token.id for token in tokenize(part)]
-                young[part] = pack(f"<{len(ids)}I", *ids)
-            parts.difference_update(letters)
-        plain = [part for part in parts if self._plain(part)]
+            if part in young:
+                continue
+            if (ids := old.get(part)) is not None:
+                young[part] = ids
+            elif direct and part.isalpha() and part.isascii() and part.islower():
+                young[part] = b"".join([packed[token.id] for token in tokenize(part)])
+            elif self._plain(part):
+                plain.append(part)
+            else:
+                young[part] = self._raw(part)
         for at in range(0, len(plain), 4096):
             self._learn(plain[at : at + 4096])
-        for part in parts.difference(plain):
-            young[part] = self._raw(part)
         young.update((word, young[core] + young[tail]) for word, core, tail in zip(new, cores, tails, strict=True) if word != core)
 
     def encode(self, text: str | None) -> bytes:
