@@ -260,13 +260,21 @@ def _once(work: Callable[[SparkSession, str, str], Any]) -> Callable[[SparkSessi
     return lambda spark, sf: kept(spark, sf, _inputs(spark, sf))
 
 
+@_once
+def _texts(spark: SparkSession, sf: str, _: str) -> DataFrame:
+    return materialize(landing_text(spark, sf), "texts")
+
+
+def _write_batch(spark: SparkSession, sf: str, number: int, landing: str, by_supplier: bool = False) -> None:
+    write_landing(_texts(spark, sf).filter(F.col("batch_no") == number), f"{landing}/batch_{number}", by_supplier)
+
+
 @_once
 def _landed(spark: SparkSession, sf: str, _: str) -> str:
     """A folder with one folder of CSV files per batch."""
     folder = scratch_path(spark, "landing")
-    texts = materialize(landing_text(spark, sf), "texts")
     for number in range(1, BATCHES + 1):
-        write_landing(texts.filter(F.col("batch_no") == number), f"{folder}/batch_{number}")
+        _write_batch(spark, sf, number, folder)
     return folder
 
 
@@ -313,28 +321,28 @@ def load_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @_once
-def _streamed(spark: SparkSession, sf: str, _: str) -> tuple[SupplierTables, str]:
-    """The tables after streaming the five batches one after the other, and the landing folder."""
+def _tables(spark: SparkSession, sf: str, _: str) -> SupplierTables:
+    """The tables after streaming the five batches one after the other."""
     root = scratch_path(spark, "stream")
     tables = SupplierTables(spark, f"{root}/tables")
-    texts = materialize(landing_text(spark, sf), "texts")
     for number in range(1, BATCHES + 1):
         now = datetime(2024, 1, 1) + timedelta(minutes=5 * number)
-        write_landing(texts.filter(F.col("batch_no") == number), f"{root}/landing/batch_{number}", by_supplier=True)
+        _write_batch(spark, sf, number, f"{root}/landing", by_supplier=True)
         SupplierPipeline(tables, lambda now=now: now).start(f"{root}/landing").awaitTermination()
-    return tables, f"{root}/landing"
-
-
-def _tables(spark: SparkSession, sf: str) -> SupplierTables:
-    return _streamed(spark, sf)[0]
+    return tables
 
 
 @_once
 def _cadenced(spark: SparkSession, sf: str, _: str) -> tuple[SupplierTables, bool]:
     """The tables after all batches in one trigger of a stream that then finds a file without rows and nothing more; last
-    its checkpoint is lost and a start with another one refused. And whether idle triggers were seen."""
-    landing = _streamed(spark, sf)[1]
-    tables = SupplierTables(spark, f"{scratch_path(spark, 'cadence')}/tables")
+    its checkpoint is lost and a start with another one refused. And whether idle triggers were seen.
+
+    The landing files are written for this stream alone: taking those of `_tables` would mean to stream them before.
+    """
+    root = scratch_path(spark, "cadence")
+    landing, tables = f"{root}/landing", SupplierTables(spark, f"{root}/tables")
+    for number in range(1, BATCHES + 1):
+        _write_batch(spark, sf, number, landing, by_supplier=True)
     pipeline = SupplierPipeline(tables, lambda: datetime(2024, 1, 1, 0, 25))
     query = pipeline.start(landing, every="1 second")
     try:
