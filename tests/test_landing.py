@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from vendorium.plans import registry
 from vendorium.schemas import RAW_TEXT
+from vendorium.sources import csv_batches
+from vendorium.sources.csv_records import joined_records
 from vendorium.sources.feed import BATCHES, FEED_TABLES
 
 CELLS = "S1,acme,DE,EMEA,MRO,10.00,5,80.00,70.00,LOW,2022-01-05,True".split(",")
@@ -34,3 +36,20 @@ def test_one_trigger_streams_once(spark, tmp_path, monkeypatch):
     found = versions.orderBy("version").select("version", "batch", F.col("contract_value_usd").cast("int").alias("value")).collect()
     assert [tuple(row) for row in found] == [(n, f"batch_{n}", n) for n in range(1, BATCHES + 1)]
     assert len(starts) == 2  # the stream, and the start that is refused
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_need_one_pass_over_their_lines(spark, tmp_path):
+    """Only lines of records over several lines are gathered: numbers come from the pass that finds the quotes."""
+    lines = ["id,name", "1,plain", '2,"two', 'lines"', "", "3,plain", '4,"open', "5,plain", "", "6,plain"]
+    (tmp_path / "one.csv").write_text("\n".join(lines) + "\n")
+    records = joined_records(csv_batches.split_rows(csv_batches.read_lines(spark, str(tmp_path))))
+    assert "Window" not in _plan(records)
+    found = records.orderBy("_source_row_number").select("_source_row_number", "value", "_unclosed").collect()
+    assert [tuple(row) for row in found] == [
+        (0, "id,name", False), (1, "1,plain", False), (2, '2,"two\nlines"', False), (3, "3,plain", False),
+        (4, '4,"open', True), (5, "5,plain", False), (6, "6,plain", False),
+    ]

@@ -36,7 +36,7 @@ def record_hash(columns: Sequence[str] = HASHED) -> Column:
 
 def file_stem(path: Column) -> Column:
     """Last path part, up to its first dot."""
-    return F.split_part(F.split_part(path, F.lit("/"), F.lit(-1)), F.lit("."), F.lit(1))
+    return F.substring_index(F.substring_index(path, "/", -1), ".", 1)
 
 
 def count_where(condition: Column) -> Column:

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM interprets methods of more than 8,000 bytes and never compiles them. Beyond that many, wide expressions are
+    # generated in pieces in place of one method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -180,15 +180,16 @@ def typed(records: DataFrame, load_ts: Column) -> DataFrame:
             bad, label = cell.isNotNull() & F.col(field.name).isNull(), "cannot convert"
         problems.append(F.when(bad, F.concat(F.lit(f"{field.name}: {label}: "), cell)))
     header = F.col("_source_row_number") == 0
-    return raw.select("*", *values).select(
+    checked = raw.select("*", *values).withColumn("_problem", F.coalesce(*problems))
+    return checked.select(
         *BUSINESS.names,
         FILE,
         "_source_row_number",
         load_ts.alias("_load_ts"),
         file_stem(F.col(FILE)).alias("_batch_id"),
         F.lit("LOADED").alias("_ingestion_status"),
-        F.when(~header, F.coalesce(*problems)).alias("_error"),
-        (~header & F.coalesce(*problems).isNull()).alias("_loaded"),
+        F.when(~header, F.col("_problem")).alias("_error"),
+        (~header & F.col("_problem").isNull()).alias("_loaded"),
         "_file_time",
     )
 

@@ -31,12 +31,14 @@ def open_quote(line: Column) -> Column:
     Closed quoted fields are taken out first; a quote left at the start of a field is open.
     If no line of a file is open, then by induction every line of it starts outside quotes.
     """
-    return F.regexp_replace(line, CLOSED_FIELD, "$1").rlike(r'(^|,)[ \t]*"')
+    found = F.regexp_replace(line, CLOSED_FIELD, "$1").rlike(r'(^|,)[ \t]*"')
+    return F.when(F.contains(line, F.lit('"')), found).otherwise(False)
 
 
 def still_open(line: Column) -> Column:
     """Whether a line that starts inside quotes ends inside them."""
-    return ~line.rlike(CLOSING_PART) | open_quote(F.regexp_replace(line, CLOSING_PART, ""))
+    found = ~line.rlike(CLOSING_PART) | open_quote(F.regexp_replace(line, CLOSING_PART, ""))
+    return F.when(F.contains(line, F.lit('"')), found).otherwise(True)
 
 
 def _turned(state: Column, times: Column) -> Column:
@@ -59,36 +61,56 @@ def _state_before(df: DataFrame, after_out: str, after_in: str, *partition: str,
     return anchored.withColumns({"_before_out": before(False), "_before_in": before(True)}).drop("_turns", "_set")
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """Add `_n_out` and `_n_in`, the records begun up to a line if its split starts outside or inside quotes, and `_n_all`,
+    its lines that are not blank: as many records, once no line is inside quotes any more."""
+    so_far = Window.partitionBy(FILE, "_split").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    filled = ~F.col("_blank")
+
+    def total(condition: Column) -> Column:
+        return F.sum(condition.cast("long")).over(so_far)
+
+    return df.withColumns({
+        "_n_out": total(filled & ~F.col("_before_out")), "_n_in": total(filled & ~F.col("_before_in")), "_n_all": total(filled)
+    })
+
+
 def _after(before: str) -> Column:
     return F.when(F.col(before), F.col("_in")).otherwise(F.col("_out"))
 
 
 def _entered(stated: DataFrame) -> DataFrame:
-    """One row per split: the state it is entered in, the one it is left in, and its last line that opens a quote."""
+    """One row per split: the state it is entered in, the one it is left in, its records and lines, and its last line that
+    opens a quote, with the records and lines up to it."""
 
-    def opening(before: str) -> Column:
-        return F.max(F.when(~F.col(before) & F.col("_out"), F.col("_place")))
+    def opening(start: str) -> Column:
+        line = F.struct("_place", F.col(f"_n_{start}").alias("records"), F.col("_n_all").alias("lines"))
+        return F.max(F.when(~F.col(f"_before_{start}") & F.col("_out"), line))
 
     per_split = stated.groupBy(FILE, "_split").agg(
         F.max_by(_after("_before_out"), "_place").alias("_split_out"),
         F.max_by(_after("_before_in"), "_place").alias("_split_in"),
-        opening("_before_out").alias("_opens_out"),
-        opening("_before_in").alias("_opens_in"),
+        opening("out").alias("_opens_out"),
+        opening("in").alias("_opens_in"),
+        *[F.max(name).alias(name) for name in ("_n_out", "_n_in", "_n_all")],
     )
     entered = _state_before(per_split, "_split_out", "_split_in", FILE, order="_split")
     inside = F.col("_before_out")  # a file starts outside
+
+    def either(name: str) -> Column:
+        return F.when(inside, F.col(f"{name}_in")).otherwise(F.col(f"{name}_out"))
+
     return entered.select(
-        FILE, "_split", inside.alias("_inside"),
-        F.when(inside, F.col("_split_in")).otherwise(F.col("_split_out")).alias("_left_inside"),
-        F.when(inside, F.col("_opens_in")).otherwise(F.col("_opens_out")).alias("_opens"),
+        FILE, "_split", inside.alias("_inside"), either("_split").alias("_left_inside"), either("_opens").alias("_opens"),
+        either("_n").alias("_records"), F.col("_n_all").alias("_lines"),
     )
 
 
 def _forgotten(entered: DataFrame) -> DataFrame:
     """For each file that ends inside quotes, the line that opened them."""
     last = F.max(F.when(F.col("_opens").isNotNull(), F.struct("_split", "_opens")))
-    per_file = entered.groupBy(FILE).agg(F.max_by("_left_inside", "_split").alias("_open_end"), last.alias("_at"))
-    return per_file.filter("_open_end").select(FILE, F.col("_at._split").alias("_at_split"), F.col("_at._opens").alias("_at_place"))
+    per_file = entered.groupBy(FILE).agg(F.max_by("_left_inside", "_split").alias("_open_end"), last.alias("_last"))
+    return per_file.filter("_open_end").select(FILE, F.struct("_last._split", "_last._opens.*").alias("_at"))
 
 
 def _whole(parts: Column) -> Column:
@@ -97,36 +119,49 @@ def _whole(parts: Column) -> Column:
     return F.array_join(ended, "")
 
 
+def _split_records(entered: DataFrame) -> DataFrame:
+    """For each split its state, the file's forgotten quote, and the records before it."""
+    known = entered.join(_forgotten(entered), FILE, "left")
+    rest = F.col("_at.records") + F.col("_lines") - F.col("_at.lines")
+    own = F.when(F.col("_split") > F.col("_at._split"), F.col("_lines")).when(F.col("_split") == F.col("_at._split"), rest)
+    earlier = Window.partitionBy(FILE).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.coalesce(own, F.col("_records"))).over(earlier), F.lit(0))
+    return known.select(FILE, "_split", "_inside", "_at", before.alias("_earlier"))
+
+
 def joined_records(lines: DataFrame) -> DataFrame:
     """Whole records as `value`, with file, its time and record number, the header being 0.
 
     `lines` has every line with its place and its `_end`, blank ones too. Those outside quotes are dropped; line ends
     inside quotes stay what they were. `_unclosed` marks a record whose quote is never closed.
+
+    Lines are shuffled once, to their split. Only records of several lines are then put together, by another shuffle.
     """
     marked = lines.withColumns({"_out": open_quote(F.col("value")), "_in": still_open(F.col("value"))})
-    stated = _state_before(marked, "_out", "_in", FILE, "_split", order="_place")
+    stated = _numbered(_state_before(marked, "_out", "_in", FILE, "_split", order="_place"))
     stated = materialize(stated, "line_states")
     entered = materialize(_entered(stated), "split_states")
+    splits = materialize(_split_records(entered), "split_records")
 
     state = F.when(F.col("_inside"), F.col("_before_in")).otherwise(F.col("_before_out"))
-    own, at = F.struct("_split", "_place"), F.struct(F.col("_at_split").alias("_split"), F.col("_at_place").alias("_place"))
-    later = F.coalesce(F.col("_at_split").isNotNull() & (own > at), F.lit(False))
-    known = stated.join(entered.select(FILE, "_split", "_inside"), [FILE, "_split"]).join(_forgotten(entered), FILE, "left")
-    known = known.withColumns({"_state": state & ~later, "_unclosed": F.coalesce(own == at, F.lit(False))})
+    same = F.col("_split") == F.col("_at._split")
+    later = F.coalesce((F.col("_split") > F.col("_at._split")) | (same & (F.col("_place") > F.col("_at._place"))), F.lit(False))
+    rest = F.when(same, F.col("_at.records") - F.col("_at.lines")).otherwise(0) + F.col("_n_all")
+    begun = F.when(later, rest).when(F.col("_inside"), F.col("_n_in")).otherwise(F.col("_n_out"))
+    known = stated.join(splits, [FILE, "_split"]).select(
+        "value", "_end", "_blank", "_out", FILE, "_split", "_place", "_file_time",
+        (state & ~later).alias("_state"),
+        F.coalesce(same & (F.col("_place") == F.col("_at._place")), F.lit(False)).alias("_unclosed"),
+        (F.col("_earlier") + begun - 1).cast("long").alias("_source_row_number"),
+    )
     known = known.filter(F.col("_state") | ~F.col("_blank"))
-
-    starts = (~F.col("_state")).cast("int")
-    per_split = known.groupBy(FILE, "_split").agg(F.sum(starts).alias("_starts"))
-    earlier = Window.partitionBy(FILE).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_split.select(FILE, "_split", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_records"))
-    so_far = Window.partitionBy(FILE, "_split").orderBy("_place")
-    number = F.col("_records") + F.sum(starts).over(so_far) - 1
+    alone = ~F.col("_state") & ~F.col("_out")
+    columns = (FILE, "_source_row_number", "_file_time", "_unclosed", "value")
     parts = F.array_sort(F.collect_list(F.struct("_split", "_place", "value", "_end")))
-    return (
-        known.join(before, [FILE, "_split"])
-        .withColumn("_source_row_number", number.cast("long"))
+    together = (
+        known.filter(~alone)
         .groupBy(FILE, "_source_row_number")
         .agg(F.max("_file_time").alias("_file_time"), F.max("_unclosed").alias("_unclosed"), parts.alias("_parts"))
         .withColumn("value", _whole(F.col("_parts")))
-        .drop("_parts")
     )
+    return known.filter(alone).select(*columns).unionByName(together.select(*columns))
