@@ -42,6 +42,31 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lines_stay_where_they_are_for_parts(spark, tmp_path):
+    """Parts within the bound are broadcast whatever the planner takes their files for, and hashes are shuffled as bytes."""
+    tables = {
+        "region": "SELECT 1 r_regionkey, 'EMEA' r_name",
+        "nation": "SELECT 1 n_nationkey, 'DE' n_name, 1 n_regionkey",
+        "supplier": "SELECT id s_suppkey, 'acme' s_name, 1 s_nationkey FROM range(3)",
+        "part": "SELECT id p_partkey, 'mro' p_type FROM range(3)",
+        "lineitem": "SELECT 102 + id l_orderkey, id % 3 l_partkey, id % 3 l_suppkey, 1 l_linenumber, 5D l_quantity, 10D l_extendedprice,"
+        " 'O' l_linestatus, timestamp_ntz'2022-01-05' l_shipdate FROM range(40)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        rows = registry.deliveries(spark, str(tmp_path))
+        plan = _plan(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [l_partkey" in plan
+    assert "unhex(" in plan
+    found = rows.select("record_hash").collect()
+    assert found and all(len(row.record_hash) == 32 and row.record_hash == row.record_hash.lower() for row in found)
+
+
 def test_records_need_one_pass_over_their_lines(spark, tmp_path):
     """Only lines of records over several lines are gathered: numbers come from the pass that finds the quotes."""
     lines = ["id,name", "1,plain", '2,"two', 'lines"', "", "3,plain", '4,"open', "5,plain", "", "6,plain"]

@@ -64,8 +64,10 @@ def accepted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf: str) -> DataFrame:
-    """The last accepted row of each supplier in each batch."""
-    return latest.latest_per_key(accepted(spark, sf), ("supplier_id", "load_ts"))
+    """The last accepted row of each supplier in each batch. Hashes are shuffled as bytes, which sort like their text."""
+    packed = accepted(spark, sf).withColumn("record_hash", F.unhex("record_hash"))
+    newest = latest.latest_per_key(packed, ("supplier_id", "load_ts"))
+    return newest.withColumn("record_hash", F.lower(F.hex("record_hash")))
 
 
 def versions(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,8 @@ from vendorium.schemas import PIPELINE_RUN_LOG, RAW_SUPPLIERS, RAW_TEXT, conform
 from vendorium.session import read_table, spread
 
 BATCHES = 5
+BROADCAST_BYTES = 128 << 20  # parts are broadcast up to this size
+_PART_BYTES = 64  # a key and a type in the hash table of a broadcast, rounded up
 FEED_TABLES = ("lineitem", "supplier", "nation", "region", "part")
 LINE_COLUMNS = (
     "l_orderkey",
@@ -48,6 +50,12 @@ def batch_time(batch_no: Column) -> Column:
     return start + F.make_dt_interval(F.lit(0), F.lit(0), (batch_no * 5).cast("int"))
 
 
+def _small(parts: DataFrame) -> DataFrame:
+    """Marked for broadcast while all rows, counted from the file's metadata, fit `BROADCAST_BYTES`: the lines then stay
+    where they are, and their suppliers' rows together, so that less is left to shuffle after them."""
+    return F.broadcast(parts) if parts.count() * _PART_BYTES <= BROADCAST_BYTES else parts
+
+
 def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Bronze-shaped rows of all five batches, plus `batch_no`; of the derived columns only these, if any are named.
 
@@ -61,12 +69,13 @@ def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     checksum = (
         F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
     )
+    # Parts are joined first: where they are too many to broadcast, lines are shuffled without the suppliers' texts.
     lines = (
         spread(table("lineitem").select(*LINE_COLUMNS), "l_orderkey")
+        .join(_small(table("part").select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("h", checksum)
         .withColumn("bn", (F.col("l_orderkey") % 4 + 1).cast("int"))
     )
