@@ -67,6 +67,27 @@ def test_lines_stay_where_they_are_for_parts(spark, tmp_path):
     assert found and all(len(row.record_hash) == 32 and row.record_hash == row.record_hash.lower() for row in found)
 
 
+def test_rows_are_sorted_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """Lines are dealt into more tasks than there are cores once a task would sort too many; results stay."""
+    tables = {
+        "region": "SELECT 1 r_regionkey, 'EMEA' r_name",
+        "nation": "SELECT 1 n_nationkey, 'DE' n_name, 1 n_regionkey",
+        "supplier": "SELECT id s_suppkey, 'acme' s_name, 1 s_nationkey FROM range(3)",
+        "part": "SELECT id p_partkey, 'mro' p_type FROM range(3)",
+        "lineitem": "SELECT 102 + id l_orderkey, id % 3 l_partkey, id % 3 l_suppkey, 1 l_linenumber, 5D l_quantity, 10D l_extendedprice,"
+        " 'O' l_linestatus, timestamp_ntz'2022-01-05' l_shipdate FROM range(60)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain = registry.deliveries(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" not in _plan(plain) or ", 8), REPARTITION_BY_NUM" in _plan(plain)
+    expected = sorted(map(str, plain.collect()))
+    monkeypatch.setattr(registry, "SORTED_LINES", 5)
+    dealt = registry.deliveries(spark, str(tmp_path))
+    assert ", 12), REPARTITION_BY_NUM" in _plan(dealt)
+    assert expected and sorted(map(str, dealt.collect())) == expected
+
+
 def test_records_need_one_pass_over_their_lines(spark, tmp_path):
     """Only lines of records over several lines are gathered: numbers come from the pass that finds the quotes."""
     lines = ["id,name", "1,plain", '2,"two', 'lines"', "", "3,plain", '4,"open', "5,plain", "", "6,plain"]

@@ -26,6 +26,8 @@ from vendorium.streaming.pipeline import PIPE, SupplierPipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SORTED_LINES = 750_000  # order lines of a task that sorts their rows: some 600 bytes each while they are sorted
+
 
 def as_of() -> Column:
     return F.lit(AS_OF).cast("date")
@@ -64,8 +66,12 @@ def accepted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def deliveries(spark: SparkSession, sf: str) -> DataFrame:
-    """The last accepted row of each supplier in each batch. Hashes are shuffled as bytes, which sort like their text."""
-    packed = accepted(spark, sf).withColumn("record_hash", F.unhex("record_hash"))
+    """The last accepted row of each supplier in each batch. Hashes are shuffled as bytes, which sort like their text.
+
+    Each task sorts its whole rows to send one per supplier and batch, so tasks are kept to lines that sort in memory.
+    """
+    lines = routing.flag(supplier_feed(spark, sf, most_rows=SORTED_LINES))
+    packed = routing.accepted(lines).withColumn("record_hash", F.unhex("record_hash"))
     newest = latest.latest_per_key(packed, ("supplier_id", "load_ts"))
     return newest.withColumn("record_hash", F.lower(F.hex("record_hash")))
 

@@ -96,10 +96,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input with fewer splits than cores; large inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, key: str, most_rows: int | None = None) -> DataFrame:
+    """Give every core a share of an input with fewer splits than cores; large inputs stay as they are.
+
+    With `most_rows` a table is dealt into tasks of about so many rows at most, for work that keeps a task's rows in
+    memory. Rows are counted from the file's metadata.
+    """
+    shares = df.sparkSession.sparkContext.defaultParallelism
+    if most_rows is not None:
+        shares = max(shares, -(-df.count() // most_rows))
+    return df.repartition(shares, key) if df.rdd.getNumPartitions() < shares else df
 
 
 @cache

@@ -56,8 +56,9 @@ def _small(parts: DataFrame) -> DataFrame:
     return F.broadcast(parts) if parts.count() * _PART_BYTES <= BROADCAST_BYTES else parts
 
 
-def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str, most_rows: int | None = None) -> DataFrame:
     """Bronze-shaped rows of all five batches, plus `batch_no`; of the derived columns only these, if any are named.
+    `most_rows` bounds the lines of a task, see `spread`.
 
     Rows come out of a generator whole, so columns that a query does not need are best not made: what they are
     derived from is then not read either.
@@ -71,7 +72,7 @@ def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     )
     # Parts are joined first: where they are too many to broadcast, lines are shuffled without the suppliers' texts.
     lines = (
-        spread(table("lineitem").select(*LINE_COLUMNS), "l_orderkey")
+        spread(table("lineitem").select(*LINE_COLUMNS), "l_orderkey", most_rows)
         .join(_small(table("part").select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
