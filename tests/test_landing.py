@@ -88,6 +88,18 @@ def test_rows_are_sorted_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
     assert expected and sorted(map(str, dealt.collect())) == expected
 
 
+def test_row_numbers_are_counted_without_a_row_for_each_line(spark, monkeypatch):
+    """Gaps and repeats are seen, and lines are not dealt by their numbers."""
+    lines = [("x/batch_1/a.csv", n, "a") for n in (1, 2, 2, 63, 64, 65, 127, 128, 5_000_000_000)]
+    lines += [("x/batch_1/b.csv", n, "c") for n in range(1, 200)] + [("x/batch_2/c.csv", 1, "c"), ("x/batch_2/c.csv", 0, "c")]
+    parsed = spark.createDataFrame(lines, "_source_file_name string, _source_row_number long, _batch_id string")
+    monkeypatch.setattr(registry, "_parsed", lambda spark, sf: parsed)
+    counted = registry.csv_row_numbers(spark, "")
+    assert "_source_row_number" not in "".join(line for line in _plan(counted).splitlines() if "Exchange" in line)
+    found = counted.orderBy("batch").select("batch", "lines", "numbers", "last_number", "stems").collect()
+    assert [tuple(row) for row in found] == [("batch_1", 208, 207, 5_000_000_199, 9), ("batch_2", 1, 1, 1, 1)]
+
+
 def test_records_need_one_pass_over_their_lines(spark, tmp_path):
     """Only lines of records over several lines are gathered: numbers come from the pass that finds the quotes."""
     lines = ["id,name", "1,plain", '2,"two', 'lines"', "", "3,plain", '4,"open', "5,plain", "", "6,plain"]

@@ -27,6 +27,7 @@ from vendorium.streaming.pipeline import PIPE, SupplierPipeline
 Query = Callable[[SparkSession, str], DataFrame]
 
 SORTED_LINES = 750_000  # order lines of a task that sorts their rows: some 600 bytes each while they are sorted
+_WORD_BITS = 6  # one long marks 2**6 row numbers
 
 
 def as_of() -> Column:
@@ -306,12 +307,21 @@ def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def csv_row_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per batch, counted and by the highest row number of each file: equal if numbering is dense."""
     rows = _parsed(spark, sf).filter("_source_row_number > 0")
-    per_file = rows.groupBy("_source_file_name").agg(
+    number = F.col("_source_row_number")
+    # Distinct numbers are marked as bits, so that tasks hold and send a row for each word of them and not for each line.
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (number % (1 << _WORD_BITS)).cast("int"))
+    per_word = rows.groupBy("_source_file_name", F.shiftright(number, _WORD_BITS).alias("_word")).agg(
         F.count("*").alias("lines"),
-        F.countDistinct("_source_row_number").alias("numbers"),
-        F.max("_source_row_number").alias("last_number"),
+        F.bit_or(bit).alias("_bits"),
+        F.max(number).alias("last_number"),
         F.count_if(F.col("_batch_id") == csv_batches.file_stem(F.col("_source_file_name"))).alias("stems"),
     )
+    per_file = per_word.groupBy("_source_file_name").agg(
+        F.sum("lines").alias("lines"),
+        F.sum(F.bit_count("_bits")).alias("numbers"),
+        F.max("last_number").alias("last_number"),
+        F.sum("stems").alias("stems"),
+    )
     return per_file.groupBy(_landing_batch("_source_file_name").alias("batch")).agg(
         *[F.sum(name).alias(name) for name in ("lines", "numbers", "last_number", "stems")]
     )
