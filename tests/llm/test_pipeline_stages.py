@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 from conftest_llm import AWKWARD
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from vendorium.llm import language, mixing, tokens, toxicity, words
+from vendorium.llm import language, mixing, ngram_join, tokens, toxicity, words
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,23 @@ def test_decisions(spark, awkward, folder):
     assert sorted(str(r.doc_id) for r in stages["near_duplicates"](spark, awkward, folder).collect()) == sorted(["1", "2", "3", "4", "None", "6", "7", "8"])
 
 
+def test_other_work_does_not_hold_remembered_words():
+    """A worker that packed before, and now compares texts, has let go of the words it remembered for packing."""
+    tokens.encoder(tokens.read_vocabulary(tokens.default_vocabulary())).encode("some words")
+    texts = pa.RecordBatch.from_pydict({"text": ["one two three four five six"]})
+    assert len(list(ngram_join._each_class(iter([texts]), ngram_join.Sets(5)))) == 1
+    assert tokens.encoder.cache_info().currsize == 0
+
+
+def test_pipeline_remembers_fewer_words_with_the_same_ids():
+    """So many words are remembered as are asked for, and ids do not depend on it."""
+    vocabulary = tokens.read_vocabulary(tokens.default_vocabulary())
+    texts = [f"word{n} and more words {n}" for n in range(300)] * 2
+    few, many = tokens.WordEncoder(vocabulary, 5), tokens.WordEncoder(vocabulary)
+    assert [few.encode(text) for text in texts] == [many.encode(text) for text in texts]
+    assert len(few._young) + len(few._old) < 30 < len(many._young)
+
+
 def _near_copies(rows) -> set[int]:
     """The smallest doc_id of each group, by comparing all pairs of five-word shingle sets."""
     sets = {row.doc_id: set(found.tolist()) for row, found in zip(rows, words.shingle_sets([row.text for row in rows], 5), strict=True)}

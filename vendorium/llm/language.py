@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.llm.shipping import ship
+from vendorium.llm.tokens import forget
 from vendorium.llm.words import buffers, is_long
 
 ORDER = 3  # longest context, in bytes
@@ -206,6 +207,7 @@ def predict_column(languages: Languages) -> Callable[[Column], Column]:
 
     @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         scorer = Scorer(languages)
         for batch in batches:
             parts = [scorer.predict(batch.iloc[at : at + 500].tolist()) for at in range(0, max(1, len(batch)), 500)]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vendorium.llm.components import connected_components
 from vendorium.llm.scratch import Scratch, fresh_name
 from vendorium.llm.shipping import ship
+from vendorium.llm.tokens import forget
 from vendorium.llm.words import mix, shingle_sets
 
 WORDS, PERCENT = 4, 85
@@ -54,6 +55,7 @@ def _members(docs: DataFrame, sets: Sets, carry: Sequence[str]) -> DataFrame:
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [(len(values), cls, _check(values)) for cls, values in _classes(batch, sets)]
             arrays = [pa.array([row[at] for row in found], kind) for at, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
@@ -70,6 +72,7 @@ def _check(values: np.ndarray) -> int:
 
 def _each_class(batches: Iterator[pa.RecordBatch], sets: Sets) -> Iterator[tuple[int, np.ndarray]]:
     """The classes of a task's texts, each once, without the empty set: copies go before anything is shuffled."""
+    forget()
     seen: set[int] = set()
     for batch in batches:
         for cls, grams in _classes(batch, sets):

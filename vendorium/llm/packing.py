@@ -96,18 +96,19 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(runs), dtype=np.int64).reshape(-1, 5)
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False, known: int | None = None) -> DataFrame:
     """Each text's token ids and the end id, cut into pieces of at most `capacity` ids.
 
     Null and empty texts have the end id alone. With `ids`, a last column holds the ids of the piece as
-    little-endian unsigned 32-bit integers.
+    little-endian unsigned 32-bit integers. A worker remembers the ids of `known` words, twice at most; results do not
+    depend on it.
     """
     ship(docs.sparkSession)
     schema = PIECE_SCHEMA + (", ids binary" if ids else "")
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_many
+        encode = encoder(vocabulary, known).encode_many
         names = ("doc_id", "piece", "start", "length", "ids_crc32") + ("ids",) * ids
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
@@ -196,9 +197,9 @@ def assemble(packed: DataFrame) -> DataFrame:
     return packed.filter("sequence_id is not null").groupBy("sequence_id").agg(joined.alias("ids"))
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False, known: int | None = None) -> DataFrame:
     """Encode, cut and pack whole documents: a row for each piece. An empty table gives no rows."""
-    return best_fit_pack(token_pieces(docs, vocabulary, end_id, capacity, ids), capacity)
+    return best_fit_pack(token_pieces(docs, vocabulary, end_id, capacity, ids, known), capacity)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

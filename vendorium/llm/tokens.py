@@ -53,10 +53,10 @@ class WordEncoder:
     capitals those of the small letters, where the tokenizer itself splits and lowers so.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, known: int | None = None):
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_str(vocabulary)
+        self._tokenizer, self._known = Tokenizer.from_str(vocabulary), known
         self._young: dict[str, bytes] = {"": b""}
         self._old: dict[str, bytes] = {}
         splits = self._tokenizer.pre_tokenizer
@@ -153,7 +153,7 @@ class WordEncoder:
         yield from self._joined(waiting)
 
     def _joined(self, texts: list[str]) -> list[bytes]:
-        if len(self._young) > _KNOWN_WORDS:
+        if len(self._young) > (self._known or _KNOWN_WORDS):
             self._old, self._young = self._young, {"": b""}
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
         words: set[str] = set()
@@ -173,9 +173,15 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> WordEncoder:
-    """One encoder for each Python worker and vocabulary."""
-    return WordEncoder(vocabulary)
+def encoder(vocabulary: str, known: int | None = None) -> WordEncoder:
+    """One encoder for each Python worker, vocabulary and number of words to remember, `_KNOWN_WORDS` if none is given."""
+    return WordEncoder(vocabulary, known)
+
+
+def forget() -> None:
+    """Drop the encoders and the words they remember. Spark hands Python workers on from one job to the next, so tasks of
+    other work begin with this: else they hold those words beside their own memory."""
+    encoder.cache_clear()
 
 
 def ids_of(raw: bytes | Sequence[int]) -> np.ndarray:

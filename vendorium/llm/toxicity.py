@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.llm.shipping import ship
+from vendorium.llm.tokens import forget
 from vendorium.llm.words import Words, buffers, chain, is_long, pieces
 
 BITS = 20  # features are hashed to 2**BITS places; place 0 is the constant
@@ -165,6 +166,7 @@ def score_column(weights: Weights) -> "callable":
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         table, learned = weights.dense(), len(weights.places) > 0
         for batch in batches:
             parts = [scores(batch.iloc[at : at + 500].tolist(), table, learned) for at in range(0, len(batch), 500)]
