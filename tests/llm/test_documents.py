@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import itertools
 import random
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -36,6 +38,41 @@ def test_word_encoder_equals_whole_texts(vocabulary, whole):
         assert tokens.ids_of(encoder.encode(text)).tolist() == whole(text)
 
 
+def test_words_of_letters_need_the_model_alone(vocabulary, whole):
+    """Letters beyond ASCII, capitals and marks after words do not go through the whole tokenizer, with the same ids."""
+    encoder, seen = tokens.WordEncoder(vocabulary), []
+    library, raw = encoder._library, encoder._library.raw
+    library.raw = lambda text: seen.append(text) or raw(text)
+    texts = ["Ci\u00f3nasasas, graci\u00f3.", "\u0413\u0434\u0435 \u03a3\u03af\u03c3\u03c5\u03c6\u03bf\u03a3 \u00dcber", "Reattion$$$ WORD### word(*)", "\u0130a e\u0301t\u00e9. it's"]
+    assert [tokens.ids_of(encoder.encode(text)).tolist() for text in texts] == [whole(text) for text in texts]
+    assert set(seen) == {",", ".", "$$$", "###", "(*)", "\u0130a", "e\u0301t\u00e9.", "it's"}
+
+
+def test_forgotten_words_are_freed(vocabulary):
+    """Nothing but the encoder holds its words, and a generation does not hold the ones before."""
+    encoder = tokens.WordEncoder(vocabulary, 2)
+    for n in range(6):
+        encoder.encode(f"w{n}a w{n}b w{n}c")
+    assert not encoder._young._old._old
+    alive = weakref.ref(encoder._young)
+    gc.disable()
+    try:
+        del encoder
+        assert alive() is None
+    finally:
+        gc.enable()
+
+
+@pytest.mark.parametrize("bits", [8, 16, 24, 32])
+def test_ids_of_whole_bytes_are_copied_without_unpacking_bits(bits, monkeypatch):
+    ids = np.random.default_rng(bits).integers(0, 2**bits, 1001, dtype=np.uint64).astype("<u4")
+    flat = np.unpackbits(ids.view(np.uint8).reshape(-1, 4), axis=1, count=bits, bitorder="little")
+    expected = np.packbits(flat, bitorder="little").tobytes()
+    monkeypatch.setattr(np, "unpackbits", None)
+    assert token_files.pack_ids(ids, bits) == expected
+    assert token_files.unpack_ids(expected, len(ids), bits).tolist() == ids.tolist()
+
+
 def one_by_one(lengths, capacity):
     bins, places = [], []
     for length in sorted(lengths, reverse=True):

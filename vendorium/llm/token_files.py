@@ -35,10 +35,16 @@ def bits_needed(ids_in_use: int) -> int:
 
 def pack_ids(ids: np.ndarray, bits: int) -> bytes:
     raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
+    if bits % 8 == 0:  # whole bytes
+        return raw[:, : bits // 8].tobytes()
     return np.packbits(np.unpackbits(raw, axis=1, count=bits, bitorder="little"), bitorder="little").tobytes()
 
 
 def unpack_ids(raw: bytes, count: int, bits: int) -> np.ndarray:
+    if bits % 8 == 0:
+        filled = np.zeros((count, 4), dtype=np.uint8)
+        filled[:, : bits // 8] = np.frombuffer(raw, dtype=np.uint8, count=count * bits // 8).reshape(count, bits // 8)
+        return filled.view("<u4").ravel()
     flat = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=count * bits, bitorder="little")
     whole = np.zeros((count, 32), dtype=np.uint8)
     whole[:, :bits] = flat.reshape(count, bits)

@@ -5,18 +5,18 @@ from __future__ import annotations
 import re
 import struct
 import unicodedata
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
-from string import ascii_lowercase, ascii_uppercase
+from string import ascii_lowercase, ascii_uppercase, punctuation
 
 import numpy as np
 
 _KNOWN_WORDS = 350_000  # words whose ids a Python worker remembers, and as many of the generation before
 _LONG_WORD = 64  # longer words are encoded each time
-_PIECE = 1 << 17  # characters whose words are looked up together; longer texts are cut at white space
-_TAIL = ".,;:!?"
-_MARKS = re.compile(f"[{_TAIL}]+$", re.MULTILINE)
+_PIECE = 1 << 17  # characters whose words are split at once; longer texts are cut at white space
+_TAIL = punctuation.replace("'", "")  # an apostrophe and letters can be one piece
+_LETTERS = range(ord("A"), 0x530)  # to the end of Cyrillic
 _WHITE = re.compile("[ \n\t\r]")
 
 
@@ -41,135 +41,128 @@ def read_vocabulary(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
-class WordEncoder:
-    """Encode texts word by word, remembering the ids of words.
+class _Words(dict):
+    """Ids of words. One that is not there is taken from the generation before or encoded, and remembered if it is short."""
 
-    For vocabularies that drop white space and never join tokens across it (as `word_bpe_49k.json`), the ids of a
-    text are those of its parts between white space, one after the other. The library encodes every part; a part
-    seen before is looked up. Results equal those of encoding the whole text.
+    def __init__(self, new: Callable[[str, _Words], bytes], old: dict[str, bytes]):
+        super().__init__({"": b""})
+        self._new, self._old = new, old
+        if isinstance(old, _Words):
+            old._old = {}  # nothing is looked up there any more
 
-    Words are remembered in two generations: when the young one is full it becomes the old one, and of that only words
-    that are met again are taken over. A word of letters with marks after it takes the ids of both, and one in ASCII
-    capitals those of the small letters, where the tokenizer itself splits and lowers so.
-    """
+    def __missing__(self, word: str) -> bytes:
+        ids = self._old.get(word)
+        if ids is None:
+            ids = self._new(word, self)
+        if len(word) <= _LONG_WORD:
+            self[word] = ids
+        return ids
 
-    def __init__(self, vocabulary: str, known: int | None = None):
+
+class _Library:
+    """The tokenizer, and which words it encodes by their parts or by the model alone. It holds no words, so that they are
+    freed with the encoder."""
+
+    def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._known = Tokenizer.from_str(vocabulary), known
-        self._young: dict[str, bytes] = {"": b""}
-        self._old: dict[str, bytes] = {}
-        splits = self._tokenizer.pre_tokenizer
-        marked = "ab" + _TAIL
-        self._tail = _TAIL if splits is not None and [piece for piece, _ in splits.pre_tokenize_str(marked)] == ["ab", _TAIL] and self._raw(marked) == self._raw("ab") + self._raw(_TAIL) else ""
+        self._tokenizer = Tokenizer.from_str(vocabulary)
+        self._tail = _TAIL if self._splits_marks() else ""
         lowers = self._tokenizer.normalizer
         self._lowers = lowers is not None and lowers.normalize_str(ascii_uppercase) == ascii_lowercase
         # Small ASCII letters that stay one piece and stay as they are need the model alone.
         self._model = self._tokenizer.model
         self._packed = [struct.pack("<I", number) for number in range(self._tokenizer.get_vocab_size() + 1)]
-        one_piece = splits is not None and [piece for piece, _ in splits.pre_tokenize_str(ascii_lowercase)] == [ascii_lowercase]
-        self._direct = self._lowers and one_piece and lowers.normalize_str(ascii_lowercase) == ascii_lowercase and self._of_model(ascii_lowercase) == self._raw(ascii_lowercase)
+        one_piece = self._split(ascii_lowercase) == [ascii_lowercase]
+        self._direct = self._lowers and one_piece and lowers.normalize_str(ascii_lowercase) == ascii_lowercase and self._of_model(ascii_lowercase) == self.raw(ascii_lowercase)
+        self._spelling = self._spellings() if self._direct else {}
+        self._spelled = re.compile(f"[{''.join(map(chr, self._spelling))}]+").fullmatch if self._spelling else lambda word: None
+
+    def _split(self, text: str) -> list[str]:
+        splits = self._tokenizer.pre_tokenizer
+        return [] if splits is None else [piece for piece, _ in splits.pre_tokenize_str(text)]
+
+    def _splits_marks(self) -> bool:
+        """Whether marks after letters are a piece of their own, and no added token is made of marks alone."""
+        apart = all(self._split("ab" + marks) == ["ab", marks] for marks in (_TAIL, *_TAIL))
+        added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
+        return apart and all(content.strip(_TAIL) for content in added) and self.raw("ab" + _TAIL) == self.raw("ab") + self.raw(_TAIL)
+
+    def _spellings(self) -> dict[int, str]:
+        """Latin, Greek and Cyrillic letters, each as the model gets it: normalized and in the tokenizer's bytes. Only those
+        that stay within one piece and change nothing beside them; none if they do not give what the tokenizer gives."""
+        found = {}
+        for code in _LETTERS:
+            letter = chr(code)
+            if not letter.isalpha() or not unicodedata.is_normalized("NFC", letter):
+                continue
+            pieces = self._split(f"a{self._tokenizer.normalizer.normalize_str(letter)}a")
+            if len(pieces) == 1 and pieces[0][0] == pieces[0][-1] == "a":
+                found[code] = pieces[0][1:-1]
+        every = "".join(map(chr, found))
+        return found if all(self._of_model(word.translate(found)) == self.raw(word) for word in (every, every[::-1])) else {}
 
-    def _raw(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def raw(self, text: str) -> bytes:
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _of_model(self, word: str) -> bytes:
         return b"".join([self._packed[token.id] for token in self._model.tokenize(word)])
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words as one text and cut the ids where the words end."""
-        encoding = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoding.ids, dtype="<u4")
-        first = np.fromiter((place for place, _ in encoding.offsets), dtype=np.int64, count=len(ids))
-        ends = np.cumsum(np.fromiter((len(word) + 1 for word in words), dtype=np.int64, count=len(words)))
-        cuts = np.searchsorted(first, ends)
-        raw, start = ids.tobytes(), 0
-        for word, cut in zip(words, (4 * cuts).tolist(), strict=True):
-            self._young[word] = raw[start:cut]
-            start = cut
-
-    def _cores(self, words: list[str]) -> list[str]:
-        """For each word the letters of it if it is letters with marks after them, small where that makes no difference;
-        else the word."""
-        joined = "\n".join(words)
-        small = joined.lower() if self._lowers and joined.isascii() else joined
-        cores = (_MARKS.sub("", small) if self._tail else small).split("\n")
-        return [core if core.isalpha() and (core.isascii() or self._stays_letters(core)) else word for core, word in zip(cores, words, strict=True)]
-
     @staticmethod
     def _stays_letters(core: str) -> bool:
         """Whether a normalizer leaves letters: some become a letter with a mark, which joins the marks after it."""
         return unicodedata.is_normalized("NFC", core) and core.lower().isalpha()
 
-    def _meet(self, words: list[str]) -> None:
-        """Remember these words."""
-        old, young = self._old, self._young
-        ascii_, other = [], []
-        for word in words:
-            if (ids := old.get(word)) is not None:
-                young[word] = ids
-            else:
-                (ascii_ if word.isascii() else other).append(word)
-        new = ascii_ + other
-        if not new:
-            return
-        cores = (self._cores(ascii_) if ascii_ else []) + (self._cores(other) if other else [])
-        tails = [word[len(core) :] for word, core in zip(new, cores, strict=True)]
-        plain, direct, tokenize, packed = [], self._direct, self._model.tokenize, self._packed
-        for part in {*cores, *tails}:  # looked up one by one: a difference of sets would go over all that is known
-            if part in young:
-                continue
-            if (ids := old.get(part)) is not None:
-                young[part] = ids
-            elif direct and part.isalpha() and part.isascii() and part.islower():
-                young[part] = b"".join([packed[token.id] for token in tokenize(part)])
-            elif self._plain(part):
-                plain.append(part)
-            else:
-                young[part] = self._raw(part)
-        for at in range(0, len(plain), 4096):
-            self._learn(plain[at : at + 4096])
-        young.update((word, young[core] + young[tail]) for word, core, tail in zip(new, cores, tails, strict=True) if word != core)
+    def encode_word(self, word: str, known: _Words) -> bytes:
+        """The ids of a new word; its parts are taken from `known`."""
+        core = word.rstrip(self._tail)
+        if not core.isalpha():
+            return self.raw(word)
+        if core.isascii():
+            small = core.lower() if self._lowers else core
+            spelled = small if self._direct else None
+        else:
+            small, spelled = core, core.translate(self._spelling) if self._spelled(core) else None
+            if spelled is None and not self._stays_letters(core):
+                return self.raw(word)
+        if small != word:
+            return known[small] + known[word[len(core) :]]
+        return self._of_model(spelled) if spelled else self.raw(word)
+
+
+class WordEncoder:
+    """Encode texts word by word, remembering the ids of words.
+
+    For vocabularies that drop white space and never join tokens across it (as `word_bpe_49k.json`), the ids of a
+    text are those of its parts between white space, one after the other. The library encodes every part; a part
+    seen before is looked up. Results equal those of encoding the whole text.
+
+    Words are remembered in two generations: when the young one is full it becomes the old one, and of that only words
+    that are met again are taken over. A word of letters with marks after it takes the ids of both, and one in ASCII
+    capitals those of the small letters, where the tokenizer itself splits and lowers so.
+    """
+
+    def __init__(self, vocabulary: str, known: int | None = None):
+        self._library, self._known = _Library(vocabulary), known
+        self._raw = self._library.raw
+        self._old: dict[str, bytes] = {}
+        self._young = _Words(self._library.encode_word, self._old)
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; none for null."""
-        return next(self.encode_many([text]))
+        return b"".join([self._joined(piece) for piece in _pieces(text or "")])
 
     def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of each text. New words of about `_PIECE` characters of text are looked up together."""
-        waiting: list[str] = []
-        size = 0
-        for text in texts:
-            if text and len(text) > _PIECE:
-                yield from self._joined(waiting)
-                waiting, size = [], 0
-                yield b"".join(raw for piece in _pieces(text) for raw in self._joined([piece]))
-                continue
-            waiting.append(text or "")
-            size += len(waiting[-1])
-            if size > _PIECE:
-                yield from self._joined(waiting)
-                waiting, size = [], 0
-        yield from self._joined(waiting)
-
-    def _joined(self, texts: list[str]) -> list[bytes]:
-        if len(self._young) > (self._known or _KNOWN_WORDS):
-            self._old, self._young = self._young, {"": b""}
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        words: set[str] = set()
-        for own in split:
-            words.update(own)
-        young = self._young
-        new = [word for word in words if word not in young]
-        long = [word for word in new if len(word) > _LONG_WORD]
-        self._meet([word for word in new if len(word) <= _LONG_WORD] if long else new)
-        known = self._young | {word: self._raw(word) for word in long} if long else self._young
-        return [b"".join(map(known.__getitem__, own)) for own in split]
+        """The ids of each text."""
+        return map(self.encode, texts)
 
-    @staticmethod
-    def _plain(word: str) -> bool:
-        """Whether the library's places in a joined text are sure to fall on the word's own ends."""
-        return word.isascii() or unicodedata.is_normalized("NFC", word)
+    def _joined(self, text: str) -> bytes:
+        if len(self._young) > (self._known or _KNOWN_WORDS):
+            self._old = self._young
+            self._young = _Words(self._library.encode_word, self._old)
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self._young.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
