@@ -8,6 +8,7 @@ import duckdb
 import pyarrow as pa
 import pytest
 from conftest_llm import AWKWARD
+from pyspark import SparkContext
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -52,6 +53,22 @@ def test_pipeline_remembers_fewer_words_with_the_same_ids():
     assert len(few._young) + len(few._old) < 30 < len(many._young)
 
 
+def test_packing_has_one_python_step_a_task(spark, awkward, folder, monkeypatch):
+    """Texts are encoded, cut and numbered in one step before the items are written, and placed in another one after it."""
+    steps, plain = [], type(awkward).mapInArrow
+    monkeypatch.setattr(type(awkward), "mapInArrow", lambda self, *given, **named: steps.append(self) or plain(self, *given, **named))
+    rows = dict(corpus_pipeline.STAGES)["packing"](spark, awkward, folder).collect()
+    assert len(steps) == 2 and sum(row.piece == 0 for row in rows) == len(AWKWARD)
+
+
+def test_languages_are_learned_without_rows_from_python(spark, sf_dir, monkeypatch):
+    """Rows that Python hands over as an RDD start workers of another kind on every executor, beside the others."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = language.train(docs).names
+    monkeypatch.setattr(SparkContext, "parallelize", None)
+    assert names and language.train(docs).names == names
+
+
 def _near_copies(rows) -> set[int]:
     """The smallest doc_id of each group, by comparing all pairs of five-word shingle sets."""
     sets = {row.doc_id: set(found.tolist()) for row, found in zip(rows, words.shingle_sets([row.text for row in rows], 5), strict=True)}

@@ -179,8 +179,10 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Languages
         return Languages((), ())
     names = sorted(row.lang for row in most)
     place = {name: at for at, name in enumerate(names)}
-    shares = [(place[row.lang], row.lang, min(1.0, per_language / row.docs, SAMPLE_BYTES / len(most) / max(1, row.bytes))) for row in most]
-    shares = docs.sparkSession.createDataFrame(shares, "place int, lang string, share double")  # MOST_LANGUAGES rows at most
+    shares = [min(1.0, per_language / row.docs, SAMPLE_BYTES / len(most) / max(1, row.bytes)) for row in most]
+    # As an Arrow table: Python rows would start workers of another kind beside those that count.
+    shares = pa.table({"place": pa.array([place[row.lang] for row in most], pa.int32()), "lang": [row.lang for row in most], "share": shares})
+    shares = docs.sparkSession.createDataFrame(shares)  # MOST_LANGUAGES rows at most
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

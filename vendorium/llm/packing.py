@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ _RANK_BITS = 40  # places of items of one length; 2**40 items of one length are
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
+Batches = Iterator[pa.RecordBatch]
+
 
 class CapacityTree:
     """A segment tree over remaining capacities 0..capacity: which of them an open bin has."""
@@ -96,18 +98,19 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(runs), dtype=np.int64).reshape(-1, 5)
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False, known: int | None = None) -> DataFrame:
-    """Each text's token ids and the end id, cut into pieces of at most `capacity` ids.
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    Null and empty texts have the end id alone. With `ids`, a last column holds the ids of the piece as
-    little-endian unsigned 32-bit integers. A worker remembers the ids of `known` words, twice at most; results do not
-    depend on it.
-    """
-    ship(docs.sparkSession)
-    schema = PIECE_SCHEMA + (", ids binary" if ids else "")
+
+def _piece_schema(ids: bool) -> str:
+    return PIECE_SCHEMA + (", ids binary" if ids else "")
+
+
+def _cutter(vocabulary: str, end_id: int, capacity: int, ids: bool, known: int | None) -> Callable[[Batches], Batches]:
+    """The function that makes pieces of a task's texts."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Batches) -> Batches:
         encode = encoder(vocabulary, known).encode_many
         names = ("doc_id", "piece", "start", "length", "ids_crc32") + ("ids",) * ids
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -122,8 +125,18 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacit
             arrays = [pa.array(columns[place], kinds[place]) for place in range(len(names))]
             yield pa.RecordBatch.from_arrays(arrays, names=list(names))
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(cut, schema)
+    return cut
+
+
+def token_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False, known: int | None = None) -> DataFrame:
+    """Each text's token ids and the end id, cut into pieces of at most `capacity` ids.
+
+    Null and empty texts have the end id alone. With `ids`, a last column holds the ids of the piece as
+    little-endian unsigned 32-bit integers. A worker remembers the ids of `known` words, twice at most; results do not
+    depend on it.
+    """
+    ship(docs.sparkSession)
+    return _texts(docs).mapInArrow(_cutter(vocabulary, end_id, capacity, ids, known), _piece_schema(ids))
 
 
 def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, length: str = "length") -> DataFrame:
@@ -135,18 +148,28 @@ def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, length: str = "len
     of the new ones are replaced. Equal lengths are interchangeable; which of them shares a sequence with which
     other follows the order of the rows in the files.
     """
-    spark = items.sparkSession
+    kept = [name for name in items.columns if name.lower() not in ("sequence_id", "offset")]
+    source = items.select(*kept, F.col(length).cast("long").alias(fresh_name("_size", kept)))
+    return _packed(source, source.schema, lambda batches: batches, capacity)
+
+
+def _packed(source: DataFrame, schema: StructType, make: Callable[[Batches], Batches], capacity: int) -> DataFrame:
+    """Pack the items that `make` makes of a task's rows of `source`: columns of `schema`, the last one the length.
+
+    Items are made and numbered in one step, so that a task has one Python worker: each stands beside the others of its
+    executor, and Spark keeps it for the work that follows.
+    """
+    spark = source.sparkSession
     ship(spark)
     scratch = Scratch(spark)
-    kept = [name for name in items.columns if name.lower() not in ("sequence_id", "offset")]
-    part, rank, base, size = (fresh_name(name, kept) for name in ("_part", "_rank", "_base", "_size"))
-    source = items.select(*kept, F.col(length).cast("long").alias(size))
-    numbered_schema = StructType([*source.schema.fields, StructField(part, LongType()), StructField(rank, LongType())])
+    *kept, size = schema.names
+    part, rank, base = (fresh_name(name, schema.names) for name in ("_part", "_rank", "_base"))
+    numbered_schema = StructType([*schema.fields, StructField(part, LongType()), StructField(rank, LongType())])
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Batches) -> Batches:
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in make(batches):
             sizes = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             sizes = np.nan_to_num(sizes.astype(np.float64), nan=0).astype(np.int64)
             sizes[(sizes < 1) | (sizes > capacity)] = 0
@@ -169,9 +192,9 @@ def best_fit_pack(items: DataFrame, capacity: int = CAPACITY, length: str = "len
     earlier = Window.partitionBy(size).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     before = counts.filter(fits).select(part, size, F.coalesce(F.sum(base).over(earlier), F.lit(0)).alias(base))
     keys = (plan[:, 0] << _RANK_BITS) + plan[:, 1]
-    placed_schema = StructType([*source.schema.fields[:-1], StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    placed_schema = StructType([*schema.fields[:-1], StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Batches) -> Batches:
         for batch in batches:
             lengths = batch.column(len(kept))
             missing = pa.array(batch.column(len(kept) + 1)).is_null().to_numpy(zero_copy_only=False)
@@ -199,7 +222,13 @@ def assemble(packed: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, ids: bool = False, known: int | None = None) -> DataFrame:
     """Encode, cut and pack whole documents: a row for each piece. An empty table gives no rows."""
-    return best_fit_pack(token_pieces(docs, vocabulary, end_id, capacity, ids, known), capacity)
+    cut = _cutter(vocabulary, end_id, capacity, ids, known)
+
+    def sized(batches: Batches) -> Batches:
+        for batch in cut(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, batch.column("length")], names=[*batch.schema.names, "_size"])
+
+    return _packed(_texts(docs), StructType.fromDDL(_piece_schema(ids) + ", _size long"), sized, capacity)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
