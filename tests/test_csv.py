@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vendorium.plans.audit import load_log
 from vendorium.schemas import BUSINESS_COLUMNS
-from vendorium.sources import csv_batches
+from vendorium.sources import csv_batches, csv_records
 from vendorium.sources.csv_records import still_open
 
 HEADER = ",".join(BUSINESS_COLUMNS) + "\n"
@@ -243,6 +243,25 @@ def test_quote_forgotten_on_the_last_line(spark, tmp_path):
     assert [(r._loaded, r._error) for r in rows] == [(True, None), (False, csv_batches.UNCLOSED)]
 
 
+@pytest.mark.parametrize("size", ["997", "1000000"])
+def test_lines_of_a_split_are_dealt_in_runs(spark, tmp_path, monkeypatch, size):
+    """However large a split is, no key of the shuffle has more lines than a run; records and a forgotten quote go over runs."""
+    names = ["plain", "two\nlines", "a\n\n\n\n\n\n\n\n\n\nb"]
+    lines = [_line(supplier_id=f"S{n:03d}", supplier_name=f'"{names[n % 3]}"') for n in range(60)]
+    after = [_line(supplier_id=f"T{n:03d}") for n in range(20)]
+    (tmp_path / "m.csv").write_text(HEADER + "\n".join(lines) + _line(supplier_id="BAD", supplier_name='"never closed') + "".join(after))
+    stored, plain = {}, csv_records.materialize
+    monkeypatch.setattr(csv_records, "RUN_BITS", 3, raising=False)
+    monkeypatch.setattr(csv_records, "materialize", lambda df, label: stored.setdefault(label, plain(df, label)))
+    with _splits_of(spark, size):
+        rows = _parse(spark, tmp_path).filter("_source_row_number > 0").orderBy("_source_row_number").collect()
+    assert [(r._source_row_number, r.supplier_id, r.supplier_name) for r in rows if r._loaded] == [
+        *((n + 1, f"S{n:03d}", names[n % 3]) for n in range(60)), *((n + 62, f"T{n:03d}", "acme") for n in range(20))]
+    assert [(r._source_row_number, r._error) for r in rows if not r._loaded] == [(61, csv_batches.UNCLOSED)]
+    counts = [r["count"] for r in stored["line_states"].groupBy("_source_file_name", "_split").count().collect()]
+    assert sum(counts) > 300 and max(counts) <= 8
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -23,6 +23,7 @@ CLOSING_PART = r'^[^"]*+(?:""[^"]*+)*+"(?!")[^,]*+'
 
 FILE = "_source_file_name"
 PLACE = (FILE, "_split", "_place")
+RUN_BITS = 16  # lines are dealt to tasks in runs of 2**16 places at most
 
 
 def open_quote(line: Column) -> Column:
@@ -135,9 +136,13 @@ def joined_records(lines: DataFrame) -> DataFrame:
     `lines` has every line with its place and its `_end`, blank ones too. Those outside quotes are dropped; line ends
     inside quotes stay what they were. `_unclosed` marks a record whose quote is never closed.
 
-    Lines are shuffled once, to their split. Only records of several lines are then put together, by another shuffle.
+    Lines are shuffled once, to their run: so many places of a split. Few splits would lie unevenly on the tasks, and one of
+    a file that no reader can split would be one task. From here on a run is what `_split` means; runs have the
+    order of the splits and, within one, of the places. Only records of several lines are then put together, by another
+    shuffle.
     """
-    marked = lines.withColumns({"_out": open_quote(F.col("value")), "_in": still_open(F.col("value"))})
+    runs = lines.withColumn("_split", F.struct("_split", F.shiftright("_place", RUN_BITS).alias("_run")))
+    marked = runs.withColumns({"_out": open_quote(F.col("value")), "_in": still_open(F.col("value"))})
     stated = _numbered(_state_before(marked, "_out", "_in", FILE, "_split", order="_place"))
     stated = materialize(stated, "line_states")
     entered = materialize(_entered(stated), "split_states")
