@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vendorium import session
 from vendorium.plans import registry
 from vendorium.schemas import RAW_TEXT
 from vendorium.sources import csv_batches
 from vendorium.sources.csv_records import joined_records
-from vendorium.sources.feed import BATCHES, FEED_TABLES
+from vendorium.sources.feed import BATCHES, FEED_TABLES, landing_text, line_key, supplier_feed, write_landing
 
 CELLS = "S1,acme,DE,EMEA,MRO,10.00,5,80.00,70.00,LOW,2022-01-05,True".split(",")
 
@@ -111,3 +112,66 @@ def test_records_need_one_pass_over_their_lines(spark, tmp_path):
         (0, "id,name", False), (1, "1,plain", False), (2, '2,"two\nlines"', False), (3, "3,plain", False),
         (4, '4,"open', True), (5, "5,plain", False), (6, "6,plain", False),
     ]
+
+
+def _tables(spark, folder) -> None:
+    tables = {
+        "region": "SELECT 1 r_regionkey, 'EMEA' r_name",
+        "nation": "SELECT 1 n_nationkey, 'DE' n_name, 1 n_regionkey",
+        "supplier": "SELECT id s_suppkey, 'acme' s_name, 1 s_nationkey FROM range(3)",
+        "part": "SELECT id p_partkey, 'mro' p_type FROM range(3)",
+        "lineitem": "SELECT 102 + id l_orderkey, id % 3 l_partkey, id % 3 l_suppkey, 1 l_linenumber, 5D l_quantity, 10D l_extendedprice,"
+        " 'O' l_linestatus, timestamp_ntz'2022-01-05' l_shipdate FROM range(40)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_texts_of_a_batch_derive_its_lines_alone(spark, tmp_path):
+    """All batches are the feed's rows; with a filter one branch is left, whose filter is where the lines are read, and no
+    key of a line is made or stored."""
+    _tables(spark, tmp_path)
+    texts = landing_text(spark, str(tmp_path))
+    feed = supplier_feed(spark, str(tmp_path))
+    for number in range(1, BATCHES + 1):
+        one = texts.filter(F.col("batch_no") == number)
+        plan = _plan(one)
+        scan = next(line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line)
+        assert plan.count("FileScan parquet [l_orderkey") == 1 and "PushedFilters: []" not in scan
+        assert "md5" not in plan
+        names = ["_source_row_number", "country_code"]
+        expected = feed.filter(F.col("batch_no") == number).select(*names)
+        found = one.select(F.col("_order").alias(names[0]), "country_code")
+        assert found.count() == expected.count() > 0 and found.exceptAll(expected).isEmpty()
+
+
+def test_lines_that_share_a_position_follow_their_keys(spark, tmp_path):
+    """Also though the key is no column of what is shuffled."""
+    cells = [f"name {n}" for n in range(30)]
+    lines = spark.createDataFrame([(1, n // 10, "S1", *CELLS[1:2], name, *CELLS[3:]) for n, name in enumerate(cells)],
+                                  ", ".join(["batch_no int", "_order long", *[f"{name} string" for name in RAW_TEXT.names]]))
+    keys = {row[0]: (row[1], row[2]) for row in lines.select(RAW_TEXT.names[2], "_order", line_key()).collect()}
+    write_landing(lines, f"{tmp_path}/out", by_supplier=True)
+    [file] = [path for path in (tmp_path / "out").glob("*.csv") if path.stat().st_size]
+    found = [line.split(",")[2] for line in file.read_text().splitlines()[1:]]
+    assert found == sorted(cells, key=keys.get) != cells
+
+
+def test_splits_stay_when_cores_come(spark):
+    """Two reads of a file must number its lines alike."""
+    key = "spark.sql.files.minPartitionNum"
+    assert spark.conf.get(key, None) is None
+    with session.same_splits(spark):
+        assert spark.conf.get(key) == str(spark.sparkContext.defaultParallelism)
+    assert spark.conf.get(key, None) is None
+
+
+def test_reading_is_generated_apart_from_conversions(spark, tmp_path):
+    """Together they are a method that is too large to compile."""
+    (tmp_path / "one.csv").write_text("\n".join([",".join(CELLS)] * 3))
+    rows = csv_batches.split_rows(csv_batches.read_lines(spark, str(tmp_path)))
+    parsed = csv_batches.parse(rows, F.lit("2024-01-01").cast("timestamp_ntz"))
+    steps = [line.strip(" :+-") for line in _plan(parsed).splitlines()]
+    apart = next(n for n, step in enumerate(steps) if step.startswith("Coalesce"))
+    assert any("Generate posexplode" in step for step in steps[apart:]) and not any("Generate" in step for step in steps[:apart])
+    assert parsed.rdd.getNumPartitions() == rows.rdd.getNumPartitions() and parsed.count() == 3

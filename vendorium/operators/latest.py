@@ -16,10 +16,12 @@ def latest_per_key(
     """Keep the last row of each key.
 
     `row_number() = 1` lets Spark put a group limit in front of the shuffle, so each
-    task sends at most one row per key and a hot key arrives already reduced.
+    task sends at most one row per key and a hot key arrives already reduced. Rows are sorted by a
+    hash of their key first: numbers are told apart at once, texts that begin alike are not.
     """
-    newest = Window.partitionBy(*keys).orderBy(*[F.desc(name) for name in order])
-    return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
+    newest = Window.partitionBy("_key", *keys).orderBy(*[F.desc(name) for name in order])
+    keyed = df.withColumn("_key", F.xxhash64(*keys))
+    return keyed.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn", "_key")
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

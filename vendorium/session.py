@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from contextvars import ContextVar
 from functools import cache
 
@@ -83,14 +83,42 @@ def discarding_scratch(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, path)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` as Parquet to shared storage and read it back.
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def releasing_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of what runs inside the block are deleted with the end of each write or read, not when the driver
+    happens to collect garbage: a long job would pile up a copy of all rows for each of its shuffles."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def same_splits(spark: SparkSession) -> AbstractContextManager[None]:
+    """Files that are read more than once inside the block are cut into the same splits each time, also if executors
+    come or go meanwhile: the size of splits depends on the number of cores."""
+    return _setting(spark, "spark.sql.files.minPartitionNum", _least_splits(spark))
+
+
+def _least_splits(spark: SparkSession) -> str:
+    """What Spark would take at this moment."""
+    chosen = [spark.conf.get(key, None) for key in ("spark.sql.files.minPartitionNum", "spark.sql.leafNodeDefaultParallelism")]
+    return next((one for one in chosen if one is not None), str(spark.sparkContext.defaultParallelism))
+
+
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write `df` as Parquet to shared storage and read it back; with `keep` it outlives `discarding_scratch`.
 
     Unlike a cache it survives lost executors, and unlike an RDD checkpoint it
     keeps column pruning and gives the planner a real size for join choices.
     """
     path = scratch_path(df.sparkSession, label)
-    if (paths := _written.get()) is not None:
+    if (paths := _written.get()) is not None and not keep:
         paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

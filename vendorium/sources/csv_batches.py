@@ -32,12 +32,14 @@ OTHER_DATES = ((r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{1,2}-[A-Za-z]{3}
 UNCLOSED = "quoted field is not closed in the file"
 LINE_FEED = {"lineSep": "\n"}  # carriage returns stay, so that those inside quotes can be given back
 BROADCAST_BYTES = 128 << 20  # offsets of splits are broadcast up to this size
+_ANY_PARTITIONS = 1 << 20  # no fewer than a read has, so that `coalesce` leaves them as they are
 _OFFSET_BYTES = 64  # a row of four numbers in the hash table of a broadcast, rounded up
 
 
 def file_name(path: Column) -> Column:
-    """Readable path: the metadata column is percent-encoded, and a plain '+' must stay one."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """Readable path: the metadata column is percent-encoded, and a plain '+' must stay one. Most paths have nothing to
+    decode."""
+    return F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def _located(df: DataFrame, first_name: Callable[[Column], Column]) -> DataFrame:
@@ -161,9 +163,14 @@ def _converted(name: str, kind: str, raw: Column) -> Column:
 
 
 def typed(records: DataFrame, load_ts: Column) -> DataFrame:
-    """Map the twelve fields by position to typed columns, with `_error` naming the first that fails."""
+    """Map the twelve fields by position to typed columns, with `_error` naming the first that fails.
+
+    The conversions are more code than the JVM compiles as one method and are generated in pieces, which is slow for all
+    steps that would be one method with them. So `coalesce`, to more partitions than there are, sets them apart from
+    the reading and numbering of lines.
+    """
     kinds = ", ".join(f"{name} string" for name in RAW_TEXT.names)
-    numbered = records.withColumn("_text", F.from_csv("value", kinds, CSV_OPTIONS))
+    numbered = records.coalesce(_ANY_PARTITIONS).withColumn("_text", F.from_csv("value", kinds, CSV_OPTIONS))
     text = {f.name: F.col(f"_text.{f.name}") for f in BUSINESS}
     cells = {name: F.when(~cell.isin(*NULL_TEXTS), cell) for name, cell in text.items()}
     lineage = (FILE, "_file_time", "_source_row_number")
@@ -197,8 +204,10 @@ def typed(records: DataFrame, load_ts: Column) -> DataFrame:
 def parse(rows: DataFrame, load_ts: Column) -> DataFrame:
     """All rows of `split_rows` converted, with their `_error`; row 0 of a file is its header.
 
-    The caller persists `rows`, which are read more than once. A lost block is read again
-    from the same split, so places do not change. `_file_time` is the file's modification time.
+    `rows` are read more than once, and the result is read once: building a cache of them takes longer than reading
+    files again, and what memory does not hold of it goes to disk. The caller sees to it that all reads have the same
+    splits, by `same_splits`, unless `rows` stand on one RDD, as those of a stream's batch do. `_file_time` is the file's
+    modification time.
     """
     splits = _splits(rows)
     by_line = _numbered(rows, splits)

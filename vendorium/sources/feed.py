@@ -7,6 +7,8 @@ is one scan of the lines with dimension joins: no window, no extra pass for batc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vendorium.schemas import PIPELINE_RUN_LOG, RAW_SUPPLIERS, RAW_TEXT, conform
@@ -56,13 +58,8 @@ def _small(parts: DataFrame) -> DataFrame:
     return F.broadcast(parts) if parts.count() * _PART_BYTES <= BROADCAST_BYTES else parts
 
 
-def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str, most_rows: int | None = None) -> DataFrame:
-    """Bronze-shaped rows of all five batches, plus `batch_no`; of the derived columns only these, if any are named.
-    `most_rows` bounds the lines of a task, see `spread`.
-
-    Rows come out of a generator whole, so columns that a query does not need are best not made: what they are
-    derived from is then not read either.
-    """
+def _delivered(spark: SparkSession, sf_dir: str, most_rows: int | None = None) -> DataFrame:
+    """Order lines with their derived columns, the number of their batch `bn`, and whether batch five has them `_again`."""
 
     def table(name: str) -> DataFrame:
         return read_table(spark, f"{sf_dir}/{name}.parquet")
@@ -81,7 +78,7 @@ def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str, most_rows: in
         .withColumn("bn", (F.col("l_orderkey") % 4 + 1).cast("int"))
     )
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    delivered = lines.select(
+    return lines.select(
         F.when(~_every(101), _supplier_id()).alias("supplier_id"),
         F.when(_every(103), "  ")
         .when(_every(107), None)
@@ -115,14 +112,12 @@ def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str, most_rows: in
         "bn",
         ((F.col("bn") == 4) & (F.col("l_suppkey") % 3 == 0) & ~_every(101)).alias("_again"),
     )
-    # The rows come out of a generator as whole structs. Later filters on them then stay above it:
-    # pushed below, each would repeat these derivations and outgrow what the JVM compiles.
-    row = [name for name in delivered.columns if name not in ("bn", "_again") and (not columns or name in columns)]
-    first = F.struct(F.col("bn").alias("batch_no"), *row)
-    second = F.struct(F.lit(5).alias("batch_no"), *row)
-    batches = F.inline(F.when(F.col("_again"), F.array(first, second)).otherwise(F.array(first)))
+
+
+def _raw(batches: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with their `batch_no` in the shape of Bronze."""
     stem = F.concat(F.lit("suppliers_batch_00"), F.col("batch_no").cast("string"))
-    raw = delivered.select(batches).select(
+    raw = batches.select(
         "*",
         F.concat(F.lit("raw/"), stem, F.lit(".csv")).alias("_source_file_name"),
         batch_time(F.col("batch_no")).alias("_load_ts"),
@@ -133,6 +128,40 @@ def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str, most_rows: in
     return raw.select(*[raw[f.name].cast(f.dataType).alias(f.name) for f in wanted], "batch_no")
 
 
+def _row_columns(delivered: DataFrame) -> list[str]:
+    return [name for name in delivered.columns if name not in ("bn", "_again")]
+
+
+def supplier_feed(spark: SparkSession, sf_dir: str, *columns: str, most_rows: int | None = None) -> DataFrame:
+    """Bronze-shaped rows of all five batches, plus `batch_no`; of the derived columns only these, if any are named.
+    `most_rows` bounds the lines of a task, see `spread`.
+
+    Rows come out of a generator whole, so columns that a query does not need are best not made: what they are
+    derived from is then not read either.
+    """
+    delivered = _delivered(spark, sf_dir, most_rows)
+    # The rows come out of a generator as whole structs. Later filters on them then stay above it:
+    # pushed below, each would repeat these derivations and outgrow what the JVM compiles.
+    row = [name for name in _row_columns(delivered) if not columns or name in columns]
+    first = F.struct(F.col("bn").alias("batch_no"), *row)
+    second = F.struct(F.lit(5).alias("batch_no"), *row)
+    batches = F.inline(F.when(F.col("_again"), F.array(first, second)).otherwise(F.array(first)))
+    return _raw(delivered.select(batches), columns)
+
+
+def _feed_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed, a branch for each batch: with a filter on `batch_no` only the lines of that batch are derived, as the
+    branch's own filter is on columns of the lines and goes down to where they are read."""
+    delivered = _delivered(spark, sf_dir)
+
+    def branch(number: int) -> DataFrame:
+        lines = delivered.filter("_again") if number == BATCHES else delivered.filter(F.col("bn") == number)
+        rows = lines.select(F.inline(F.array(F.struct(*_row_columns(delivered)))))
+        return _raw(rows.withColumn("batch_no", F.lit(number)))
+
+    return reduce(DataFrame.unionAll, [branch(number) for number in range(1, BATCHES + 1)])
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pipeline run log derived from the event table, one run per event."""
     event, failed = F.col("event_id"), F.col("event_id") % 11 == 0
@@ -158,9 +187,9 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as it would stand in CSV files, with cells that fail, round, quote or span lines.
 
-    `_line_key` orders lines that share a position; equal keys mean equal lines.
+    A filter on `batch_no` derives the lines of that batch alone.
     """
-    feed = supplier_feed(spark, sf_dir)
+    feed = _feed_by_batch(spark, sf_dir)
     place = F.col("_source_row_number")
 
     def at(n: int) -> Column:
@@ -169,7 +198,7 @@ def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(name: str) -> Column:
         return F.col(name).cast("string")
 
-    lines = feed.select(
+    return feed.select(
         "batch_no",
         place.alias("_order"),
         F.when(at(233), F.rpad("supplier_id", 60, "X")).otherwise(F.col("supplier_id")).alias("supplier_id"),
@@ -192,16 +221,21 @@ def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(at(197), "2022").otherwise(text("last_audit_date")).alias("last_audit_date"),
         F.when(at(199), "maybe").otherwise(F.initcap(text("is_active"))).alias("is_active"),
     )
-    key = F.md5(F.concat_ws("|", *[F.coalesce(F.col(name), F.lit("")) for name in RAW_TEXT.names]))
-    return lines.withColumn("_line_key", key)
+
+
+def line_key() -> Column:
+    """Orders lines that share a position; equal keys mean equal lines."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(name), F.lit("")) for name in RAW_TEXT.names]))
 
 
 def write_landing(texts: DataFrame, folder: str, by_supplier: bool = False) -> None:
     """Write lines as CSV files: names and rows follow the feed's order, or, `by_supplier`, each file holds all lines of
-    its suppliers, in order."""
-    order = ("_order", "_line_key")
-    dealt = texts.repartition("supplier_id") if by_supplier else texts.repartitionByRange(*order)
-    rows = dealt.sortWithinPartitions(*order).select(*RAW_TEXT.names)
+    its suppliers, in order.
+
+    Line keys are not stored or shuffled: as an expression of the sort they are made only for lines that share a position.
+    """
+    dealt = texts.repartition("supplier_id") if by_supplier else texts.repartitionByRange("_order")
+    rows = dealt.sortWithinPartitions("_order", line_key()).select(*RAW_TEXT.names)
     rows.write.options(
         header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(folder)

@@ -23,7 +23,7 @@ from vendorium.schemas import (
     REJECTED_SUPPLIERS,
     conform,
 )
-from vendorium.session import discarding_scratch, materialize
+from vendorium.session import discarding_scratch, materialize, same_splits
 from vendorium.sources import csv_batches
 from vendorium.sources.csv_records import FILE
 from vendorium.sources.ledger import Ledger
@@ -186,13 +186,14 @@ class SupplierPipeline:
         tables = self.tables
         first_name = self._ledger.first_name if self._ledger is not None else lambda name: name
         rows = csv_batches.split_rows(lines, first_name)
-        if skip_loaded:  # a new checkpoint offers every file again
-            rows = rows.join(tables.load_log().select(F.col("file_name").alias(FILE)), FILE, "left_anti")
-        rows = rows.persist()
+        if skip_loaded:  # a new checkpoint offers every file again; a join may put rows elsewhere when it is done again
+            rows = rows.join(tables.load_log().select(F.col("file_name").alias(FILE)), FILE, "left_anti").persist()
         try:
-            tables.write_batch(csv_batches.parse(rows, run_ts), RAW, batch_id, "_loaded")
+            with same_splits(tables.spark), same_splits(lines.sparkSession), discarding_scratch(tables.spark):
+                tables.write_batch(csv_batches.parse(rows, run_ts), RAW, batch_id, "_loaded")
         finally:
-            rows.unpersist()
+            if skip_loaded:
+                rows.unpersist()
         stored = tables.raw_batch(batch_id, True).unionByName(tables.raw_batch(batch_id, False))
         log = number_rows(audit.load_log(stored, PIPE, run_ts), "log_id", ("file_name",), last_log_id)
         tables.write_batch(conform(log, PIPE_LOAD_LOG), LOAD_LOG, batch_id)
@@ -219,9 +220,11 @@ class SupplierPipeline:
         tables.write_batch(conform(rejects, REJECTED_SUPPLIERS), REJECTED, batch_id)
         ids["reject"] += rejected
 
-        # One row per supplier and file: the last one in the file.
-        accepted = routing.accepted(flagged, "_file_time").withColumnRenamed("_file_time", "file_time")
-        staged = materialize(latest.latest_per_key(accepted, ("supplier_id", "source_file_name"), ARRIVAL), "staged")
+        # One row per supplier and file: the last one in the file, whose rows have numbers of their own. It is found
+        # before text is standardised and hashed, which most rows then need not be.
+        last_rows = latest.latest_per_key(flagged.filter("_dq_passed"), ("supplier_id", FILE), ("_source_row_number",))
+        accepted = routing.accepted(last_rows, "_file_time").withColumnRenamed("_file_time", "file_time")
+        staged = materialize(accepted, "staged")
         opened, closed = self._update_dimension(staged, batch_id, run_ts, ids["sk"])
         ids["sk"] += opened
 
