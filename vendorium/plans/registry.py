@@ -18,7 +18,7 @@ from vendorium.operators.numbering import number_rows
 from vendorium.plans import audit, dashboard, gold
 from vendorium.plans.oracle import AS_OF, RUN_TS
 from vendorium.schemas import BUSINESS_COLUMNS, DIM_SUPPLIERS, RAW_SUPPLIERS, SUPPLIERS_CLEAN
-from vendorium.session import materialize, scratch_path
+from vendorium.session import discarding_scratch, materialize, releasing_shuffles, scratch_path
 from vendorium.sources import csv_batches
 from vendorium.sources.feed import BATCHES, FEED_TABLES, batch_time, landing_text, run_log, supplier_feed, write_landing
 from vendorium.sources.tables import Folder, SupplierTables
@@ -265,17 +265,26 @@ def _inputs(spark: SparkSession, sf: str) -> str:
 
 def _once(work: Callable[[SparkSession, str, str], Any]) -> Callable[[SparkSession, str], Any]:
     """Do `work` once per session, folder and state of its files."""
-    kept = cache(work)
+
+    @cache
+    def kept(spark: SparkSession, sf: str, inputs: str) -> Any:
+        with releasing_shuffles(spark):
+            return work(spark, sf, inputs)
+
     return lambda spark, sf: kept(spark, sf, _inputs(spark, sf))
 
 
 @_once
 def _texts(spark: SparkSession, sf: str, _: str) -> DataFrame:
-    return materialize(landing_text(spark, sf), "texts")
+    """Not stored: each batch is derived when it lands, which costs no more than reading all of them for each batch."""
+    return landing_text(spark, sf)
 
 
 def _write_batch(spark: SparkSession, sf: str, number: int, landing: str, by_supplier: bool = False) -> None:
-    write_landing(_texts(spark, sf).filter(F.col("batch_no") == number), f"{landing}/batch_{number}", by_supplier)
+    texts = _texts(spark, sf).filter(F.col("batch_no") == number)
+    with discarding_scratch(spark):
+        # Ranges come from a sample, for which the lines would be derived a second time.
+        write_landing(texts if by_supplier else materialize(texts, "texts"), f"{landing}/batch_{number}", by_supplier)
 
 
 @_once
