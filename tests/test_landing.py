@@ -157,6 +157,35 @@ def test_lines_that_share_a_position_follow_their_keys(spark, tmp_path):
     assert found == sorted(cells, key=keys.get) != cells
 
 
+def test_ingest_leaves_only_its_rows(spark, tmp_path, monkeypatch):
+    """Texts, landing files and steps in between are deleted, rows of files are not cached, shuffle files are released."""
+    for table in FEED_TABLES:
+        (tmp_path / f"{table}.parquet").write_text("")
+    released, levels = [], []
+
+    def texts(spark, sf):
+        released.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        return _texts(spark, sf).withColumn("supplier_name", F.lit("two\nlines"))
+
+    def parse(rows, load_ts):
+        levels.append(rows.storageLevel)
+        return csv_batches_parse(rows, load_ts)
+
+    csv_batches_parse = csv_batches.parse
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(scratch))
+    monkeypatch.setattr(registry, "landing_text", texts)
+    monkeypatch.setattr(csv_batches, "parse", parse)
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    found = registry.csv_ingest(spark, str(tmp_path))
+    assert sorted(row.batch for row in found.collect()) == [f"batch_{n}" for n in range(1, BATCHES + 1)]
+    assert registry.load_log(spark, str(tmp_path)).count() == BATCHES
+    kept = [path.name.split("-")[0] for path in scratch.glob("vendorium/*/*")]
+    assert kept == ["parsed"]
+    assert released == ["true"] and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+    assert not any(level.useMemory or level.useDisk for level in levels) and levels
+
+
 def test_splits_stay_when_cores_come(spark):
     """Two reads of a file must number its lines alike."""
     key = "spark.sql.files.minPartitionNum"

@@ -18,7 +18,7 @@ from vendorium.operators.numbering import number_rows
 from vendorium.plans import audit, dashboard, gold
 from vendorium.plans.oracle import AS_OF, RUN_TS
 from vendorium.schemas import BUSINESS_COLUMNS, DIM_SUPPLIERS, RAW_SUPPLIERS, SUPPLIERS_CLEAN
-from vendorium.session import discarding_scratch, materialize, releasing_shuffles, scratch_path
+from vendorium.session import delete_folder, discarding_scratch, materialize, releasing_shuffles, same_splits, scratch_path
 from vendorium.sources import csv_batches
 from vendorium.sources.feed import BATCHES, FEED_TABLES, batch_time, landing_text, run_log, supplier_feed, write_landing
 from vendorium.sources.tables import Folder, SupplierTables
@@ -287,8 +287,7 @@ def _write_batch(spark: SparkSession, sf: str, number: int, landing: str, by_sup
         write_landing(texts if by_supplier else materialize(texts, "texts"), f"{landing}/batch_{number}", by_supplier)
 
 
-@_once
-def _landed(spark: SparkSession, sf: str, _: str) -> str:
+def _landed(spark: SparkSession, sf: str) -> str:
     """A folder with one folder of CSV files per batch."""
     folder = scratch_path(spark, "landing")
     for number in range(1, BATCHES + 1):
@@ -302,9 +301,12 @@ def _landing_batch(path: str) -> Column:
 
 @_once
 def _parsed(spark: SparkSession, sf: str, _: str) -> DataFrame:
-    rows = csv_batches.split_rows(csv_batches.read_lines(spark, f"{_landed(spark, sf)}/*")).persist()
-    stored = materialize(csv_batches.parse(rows, run_ts()), "parsed")
-    rows.unpersist()
+    """All records of the landing files, which are deleted once they are read."""
+    landing = _landed(spark, sf)
+    with discarding_scratch(spark), same_splits(spark):
+        rows = csv_batches.split_rows(csv_batches.read_lines(spark, f"{landing}/*"))
+        stored = materialize(csv_batches.parse(rows, run_ts()), "parsed", keep=True)
+    delete_folder(spark, landing)
     return stored
 
 
